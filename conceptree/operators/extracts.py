@@ -49,7 +49,7 @@ def demographic_extract_omop(person: DataFrame, concept: DataFrame, location: Da
     )
 
 
-def _recode(column: Column, mapping: dict[str, str]) -> Column:
+def recode(column: Column, mapping: dict[str, str]) -> Column:
     return reduce(lambda c, kv: c.when(column == kv[0], kv[1]), mapping.items(), F)
 
 
@@ -65,7 +65,7 @@ def demographic_extract_pcornet(demographic: DataFrame, death: DataFrame) -> Dat
         F.col("birth_date").alias("birthDate"),
         F.col("died").alias("deceasedDateTime"),
         F.when(hispanic, fixed.HISPANIC).otherwise(fixed.NOT_HISPANIC).alias("ethnicity"),
-        _recode(F.col("sex"), fixed.PCORNET_SEX).otherwise("Other").alias("gender"),
+        recode(F.col("sex"), fixed.PCORNET_SEX).otherwise("Other").alias("gender"),
         unknown.alias("language"),
         unknown.alias("maritalStatus"),
         F.lit(False).alias("marriedBoolean"),
@@ -73,6 +73,6 @@ def demographic_extract_pcornet(demographic: DataFrame, death: DataFrame) -> Dat
         F.col("dead").isNotNull().alias("deceasedBoolean"),
         F.lit("Unknown Unknown").alias("name"),
         unknown.alias("mrn"),
-        _recode(F.col("race"), fixed.PCORNET_RACE).otherwise("Other").alias("race"),
+        recode(F.col("race"), fixed.PCORNET_RACE).otherwise("Other").alias("race"),
         unknown.alias("religion"),
     )

@@ -19,7 +19,7 @@ def path_decode(hier: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """
     whole = F.split(F.col("ptr"), r"\.")
     closed = F.col("ptr").endswith(".")  # a final dot: nothing follows, the end is not repeated
-    names = F.transform(F.when(closed, F.slice(whole, 1, F.size(whole) - 1)).otherwise(whole), F.trim)
+    names = F.transform(F.when(closed, F.slice(whole, 1, F.size(whole) - 1)).otherwise(whole), lambda step: F.trim(step))
     steps = F.when(closed | (F.col("ptr") == ""), names).otherwise(F.concat(names, F.slice(names, -1, 1)))
     kept = F.slice(F.col("steps"), 1, max_tokens)
 

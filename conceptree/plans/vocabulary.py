@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from conceptree.functions.numbering import number_rows
 from conceptree.operators.hierarchy import descendant_closure, parent_link
@@ -46,4 +46,6 @@ def insert_concepts(
     last = existing.agg({"id": "max"}).first()[0] or 0
     numbered = number_rows(new.drop("id"), ["external_id", "external_parent_id"], start=last + 1)
     rows = materialize(existing.unionByName(conform(numbered, CONCEPT)), "catalog")
-    return parent_link(rows, relink=numbered.select("external_id"))
+    # Also those that existed before: the ontology may know their parents by now.
+    named = ontology.select(F.concat(F.lit("UMLS_AUI:"), "aui").alias("external_id"))
+    return parent_link(rows, relink=named)
