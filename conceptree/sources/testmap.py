@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from conceptree.functions.tables import union_all
+from conceptree.session import materialize
 
 ROOT = 1
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]  # 101 .. 106
@@ -32,14 +33,22 @@ class TestTables:
 
     __test__ = False
 
+    # Read many times over by what is built on them: stored, as the real ones are.
+    VOCABULARY = ("concept", "concept_relationship", "concept_ancestor", "mrconso", "mrhier")
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._stored: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def __getitem__(self, name: str) -> DataFrame:
-        return getattr(self, "_" + name.lower())()
+        if name not in self.VOCABULARY:
+            return getattr(self, "_" + name)()
+        if name not in self._stored:
+            self._stored[name] = materialize(getattr(self, "_" + name)(), name)
+        return self._stored[name]
 
     # ------------------------------------------------------------------ people and visits
     def _person(self) -> DataFrame:

@@ -401,7 +401,7 @@ def age_numeric(spark, t):
 # ----------------------------------------------------------------------------- vocabulary chain
 @query("ontology_nodes")
 def ontology_nodes(spark, t):
-    return shown(onto.ontology_nodes(parts_edges(t), parts_terms(t)))
+    return shown(onto.ontology_nodes(materialize(parts_edges(t), "edges"), parts_terms(t)))
 
 
 def _closure(t):
