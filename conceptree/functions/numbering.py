@@ -48,7 +48,7 @@ def number_within(df: DataFrame, key: str, order: list[str], name: str = "rank")
     A key's rows are consecutive in the overall numbering, so its first number is enough.
     Only keys that repeat are joined back; a hot one is split by the adaptive skew join.
     """
-    numbered = materialize(number_rows(df, [key, *order], "_g"), "within")
+    numbered = number_rows(df, [key, *order], "_g")
     repeated = (
         numbered.groupBy(key)
         .agg(F.min("_g").alias("_first"), F.max("_g").alias("_last"))

@@ -10,8 +10,9 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
+from conceptree.functions.numbering import number_rows
 from conceptree.functions.ranges import match_ranges
 from conceptree.functions.tables import union_all
 from conceptree.functions.text import age_in_years
@@ -43,31 +44,27 @@ class Dataset:
 def admitted_codes(
     tests: DataFrame, codes: Callable[[], DataFrame], ancestors: DataFrame | None = None
 ) -> DataFrame:
-    """Distinct (external_id, value, code) that the tests let through.
+    """Distinct (test_id, value, code) that the tests for several codes let through.
 
-    ``tests`` has external_id, kind, lo, hi, value; ``codes()`` gives the codes in the data,
+    ``tests`` has test_id, kind, lo, hi, value; ``codes()`` gives the codes in the data,
     which only ranges need.
     """
-    kinds = {r["kind"] for r in tests.select("kind").distinct().collect()}  # at most four
+    kinds = {r["kind"] for r in tests.select("kind").distinct().collect()}  # at most three
     found = []
-    if kinds & {"eq", "in"}:
-        listed = F.when(F.col("kind") == "in", F.array("lo", "hi")).otherwise(F.array("lo"))
-        found.append(
-            tests.where(F.col("kind").isin("eq", "in")).select("external_id", "value", F.explode(listed).alias("code"))
-        )
+    if "in" in kinds:
+        listed = tests.where("kind = 'in'")
+        found.append(listed.select("test_id", "value", F.explode(F.array("lo", "hi")).alias("code")))
     if "between" in kinds:
         spans = tests.where("kind = 'between'")
-        found.append(
-            spans.join(match_ranges(codes(), spans), ["lo", "hi"]).select("external_id", "value", "code")
-        )
+        found.append(spans.join(match_ranges(codes(), spans), ["lo", "hi"]).select("test_id", "value", "code"))
     if "descendant_of" in kinds:
         above = tests.where("kind = 'descendant_of'").select(
-            "external_id", "value", F.col("lo").cast("long").alias("ancestor_concept_id")
+            "test_id", "value", F.col("lo").cast("long").alias("ancestor_concept_id")
         )
         found.append(
             ancestors.select("ancestor_concept_id", "descendant_concept_id")
             .join(above, "ancestor_concept_id")
-            .select("external_id", "value", F.col("descendant_concept_id").cast("string").alias("code"))
+            .select("test_id", "value", F.col("descendant_concept_id").cast("string").alias("code"))
         )
     return union_all(*found).distinct()
 
@@ -75,10 +72,11 @@ def admitted_codes(
 def range_join_codes(facts: DataFrame, code: str, concepts: DataFrame) -> DataFrame:
     """Facts joined to the concepts whose code range (columns lo, hi) covers ``code``.
 
-    The ranges meet the distinct codes, not the facts; the facts follow by an equi-join.
+    The ranges meet the distinct codes, not the facts; the facts follow by an equi-join
+    with that result, which is stored so that its true size decides how it is joined.
     """
     codes = facts.select(F.col(code).alias("code")).distinct()
-    covered = concepts.join(match_ranges(codes, concepts), ["lo", "hi"])
+    covered = materialize(concepts.join(match_ranges(codes, concepts), ["lo", "hi"]), "covered")
     return facts.join(covered, facts[code] == covered["code"]).drop("code")
 
 
@@ -87,48 +85,76 @@ def cohort_counts(
 ) -> DataFrame:
     """(external_id, patient_count): distinct people of its dataset that satisfy each concept.
 
-    Concepts of datasets that are not given are left out.
+    Concepts of datasets that are not given are left out. Equal predicates are evaluated
+    once, under a number: people are then told apart by two numbers, not by long texts.
     """
-    concepts = materialize(
-        catalog.select("external_id", "predicate.*").where(F.col("dataset").isin(list(datasets))).distinct(), "tests"
+    concepts = catalog.where(F.col("predicate.dataset").isin(list(datasets))).select(
+        "external_id", F.to_json("predicate").alias("test"), "predicate"
+    )
+    tests = materialize(
+        number_rows(concepts.select("test", "predicate.*").distinct(), ["test"], "test_id"), "tests"
+    )
+    counts = []
+    # As many rows as there are datasets and tested columns, however many concepts.
+    for group in tests.select("dataset", "field", "value_field", "other").distinct().collect():
+        mine = _only(tests, group)
+        data = datasets[group["dataset"]]
+        if group["field"] is None:
+            counts.append(_whole_counts(mine, data, datasets.get(group["other"])))
+        else:
+            counts.append(_coded_counts(mine, data, group["field"], group["value_field"], ancestors))
+    found = tests.select("test", "test_id").join(union_all(*counts), "test_id", "left")
+    return (
+        concepts.select("external_id", "test")
+        .distinct()
+        .join(found, "test")
+        .select("external_id", F.coalesce("patient_count", F.lit(0)).alias("patient_count"))
     )
-    # Which columns are tested: as many rows as there are datasets and columns, not concepts.
-    groups = concepts.select(
-        "dataset", F.col("field"), "value_field", F.col("kind").isin("all", "exists", "not_exists").alias("whole"),
-        "other", F.when(F.col("kind").isin("all", "exists", "not_exists"), F.col("kind")).alias("whole_kind"),
-    ).distinct().collect()
 
-    parts = []
-    for g in groups:
-        data = datasets[g["dataset"]]
-        mine = concepts.where(F.col("dataset") == g["dataset"])
-        if g["whole"]:
-            people = data.people()
-            if g["whole_kind"] != "all":
-                how = "left_semi" if g["whole_kind"] == "exists" else "left_anti"
-                people = people.join(datasets[g["other"]].people(), "person", how)
-            number = people.agg(F.count(F.lit(1))).scalar()
-            wanted = mine.where(F.col("kind") == g["whole_kind"]).select("external_id").distinct()
-            parts.append(wanted.withColumn("patient_count", number))
-            continue
-        tests = mine.where(F.col("field") == g["field"]).where(F.col("value_field").eqNullSafe(g["value_field"]))
-        people = materialize(data.coded_people(g["field"], g["value_field"]), "people")
-        admitted = admitted_codes(tests, lambda: people.select("code"), ancestors)
-        on = ["code", "value"] if g["value_field"] else ["code"]
-        match = people.join(admitted if g["value_field"] else admitted.drop("value"), on)
-        counts = (
-            match.select("external_id", "person")
-            .distinct()
-            .groupBy("external_id")
-            .agg(F.count(F.lit(1)).alias("patient_count"))
-        )
-        parts.append(
-            tests.select("external_id")
-            .distinct()
-            .join(counts, "external_id", "left")
-            .select("external_id", F.coalesce("patient_count", F.lit(0)).alias("patient_count"))
+
+def _only(tests: DataFrame, group: Row) -> DataFrame:
+    for column, value in group.asDict().items():
+        tests = tests.where(F.col(column).eqNullSafe(F.lit(value)))
+    return tests
+
+
+def _whole_counts(tests: DataFrame, data: Dataset, other: Dataset | None) -> DataFrame:
+    """Everyone in the dataset, or those who are, or are not, in the other one too."""
+    people = data.people()
+    if other is None:
+        return tests.select("test_id", people.agg(F.count(F.lit(1))).scalar().alias("patient_count"))
+    both = people.join(other.people().withColumn("there", F.lit(True)), "person", "left").agg(
+        F.create_map(
+            F.lit("exists"), F.count("there"), F.lit("not_exists"), F.count_if(F.col("there").isNull())
         )
-    return union_all(*parts)
+    )
+    return tests.withColumn("by_kind", both.scalar()).select(
+        "test_id", F.element_at("by_kind", F.col("kind")).alias("patient_count")
+    )
+
+
+def _coded_counts(
+    tests: DataFrame, data: Dataset, code: str, value: str | None, ancestors: DataFrame | None
+) -> DataFrame:
+    people = materialize(data.coded_people(code, value), "people")
+    on = ["code", "value"] if value else ["code"]
+    # The people of one code are distinct already: a plain count, no second shuffle of them.
+    by_code = people.groupBy(*on).agg(F.count(F.lit(1)).alias("patient_count"))
+    single = tests.where("kind = 'eq'").select("test_id", F.col("lo").alias("code"), "value")
+    counts = single.join(by_code, on).select("test_id", "patient_count")
+
+    several = tests.where("kind <> 'eq'")
+    if several.isEmpty():
+        return counts
+    admitted = materialize(admitted_codes(several, lambda: people.select("code"), ancestors), "admitted")
+    reached = (
+        people.join(admitted.select("test_id", *on), on)
+        .select("test_id", "person")
+        .distinct()
+        .groupBy("test_id")
+        .agg(F.count(F.lit(1)).alias("patient_count"))
+    )
+    return counts.unionByName(reached)
 
 
 def numeric_concept_values(

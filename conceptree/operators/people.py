@@ -145,8 +145,8 @@ def vital_concepts(
 ) -> DataFrame:
     """Vital signs. Codes without a concept form one nameless row."""
     ids = sorted(set(ids or fixed.VITAL_CONCEPT_IDS.values()))
-    # concept_id is the key of `concept`: at most one row per listed id, so broadcast is safe
-    names = concept.where(F.col("concept_id").isin(ids)).select("concept_id", "concept_name")
+    # One row per listed id at the most, so broadcasting is safe.
+    names = concept.where(F.col("concept_id").isin(ids)).select("concept_id", "concept_name").dropDuplicates(["concept_id"])
     facts = (
         measurement.where(F.col("measurement_concept_id").isin(ids))
         .select("person_id", "measurement_concept_id")

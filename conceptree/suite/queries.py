@@ -262,7 +262,7 @@ def join_equi_residual(spark, t):
 def range_join_codes(spark, t):
     """Diagnoses and patients inside each code range of the ontology."""
     ranges = parts_ontology(t).select("aui", F.col("min_code").alias("lo"), F.col("max_code").alias("hi")).distinct()
-    people_by_code = t["diagnosis"].groupBy("dx", "patid").agg(F.count(F.lit(1)).alias("n"))
+    people_by_code = materialize(t["diagnosis"].groupBy("dx", "patid").agg(F.count(F.lit(1)).alias("n")), "facts")
     return (
         cohort.range_join_codes(people_by_code, "dx", ranges)
         .groupBy("aui", "patid")
