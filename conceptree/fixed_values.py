@@ -47,14 +47,14 @@ OMOP_DEMOGRAPHICS = [
     ("demographics:vital:deceased", "demographics:vital", False, False, False, "dbo.v_death", None, None,
      "Deceased", "Are known to be deceased", None, None, "all"),
 ]
-OMOP_VISITS = [
-    ("visit", None, False, True, True, "dbo.visit_occurrence", None, None,
-     "Encounters", "Have had an encounter", None, None, "all"),
-]
-OMOP_VITALS = [
-    ("vitals", None, False, True, True, "dbo.measurement", None, None,
-     "Vitals", "Had vitals measured", None, None, "all"),
-]
+OMOP_VISITS_ROOT = (
+    "visit", None, False, True, True, "dbo.visit_occurrence", None, None,
+    "Encounters", "Have had an encounter", None, None, "all",
+)
+OMOP_VITALS_ROOT = (
+    "vitals", None, False, True, True, "dbo.measurement", None, None,
+    "Vitals", "Had vitals measured", None, None, "all",
+)
 # (measurement, concept id); heart rate and pulse share one
 VITAL_CONCEPT_IDS = {
     "temperature": 3020891,

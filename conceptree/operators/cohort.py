@@ -161,8 +161,9 @@ def numeric_concept_values(
     catalog: DataFrame, datasets: dict[str, Dataset], as_of: date
 ) -> DataFrame:
     """(external_id, person_id, value) of the numeric concepts: ages and measured numbers."""
-    numeric = catalog.where("is_numeric").select(
-        "external_id", F.col("sql_field_numeric").alias("number"), "predicate.*"
+    numeric = materialize(
+        catalog.where("is_numeric").select("external_id", F.col("sql_field_numeric").alias("number"), "predicate.*"),
+        "numeric",
     )
     parts = []
     for name, data in datasets.items():

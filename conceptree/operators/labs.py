@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from conceptree import fixed_values as fixed
 from conceptree.functions.tables import flag, restrict
 from conceptree.functions.text import comment, contains_word, cut, drop_first, first_upper, remove_word
-from conceptree.operators.registry import with_sql_set
+from conceptree.operators.registry import sql_set
 from conceptree.schema import CONCEPT, as_catalog, predicate
 from conceptree.session import materialize
 
@@ -33,7 +33,6 @@ def lab_candidates(levels: DataFrame, registry: DataFrame, as_of=None) -> DataFr
     stamp = F.current_timestamp() if as_of is None else F.lit(as_of)
     pairs = levels.select(*_SOURCE).distinct()
     pairs = flag(pairs, "concept_id", levels.where("parent_concept_id is not null"), "parent_concept_id", "is_parent")
-    pairs = with_sql_set(pairs.withColumn("dataset", F.lit(fixed.LAB_DATASET)), registry)
 
     code, is_parent = F.col("concept_id").cast("string"), F.col("is_parent")
     parent_test = F.concat(F.lit(fixed.LAB_PARENT_WHERE), code, F.lit(")"))
@@ -47,6 +46,7 @@ def lab_candidates(levels: DataFrame, registry: DataFrame, as_of=None) -> DataFr
             "is_numeric": F.lit(False),
             "is_root": F.col("parent_concept_id").isNull(),
             "is_specializable": F.lit(False),
+            "sql_set_id": sql_set(registry, fixed.LAB_DATASET),
             "sql_set_where": F.concat(comment(plain_name), F.when(is_parent, parent_test).otherwise(own_test)),
             "ui_display_name": F.col("concept_name"),
             "ui_display_text": F.concat(F.lit("Had laboratory test for "), "concept_name"),

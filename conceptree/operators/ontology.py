@@ -10,8 +10,9 @@ from conceptree import fixed_values as fixed
 from conceptree.functions.numbering import number_within
 from conceptree.functions.tables import exclude, flag, union_all
 from conceptree.functions.text import cut
-from conceptree.operators.registry import fixed_rows, with_sql_set
+from conceptree.operators.registry import fixed_rows, sql_set
 from conceptree.schema import ONTOLOGY, as_catalog, conform, predicate
+from conceptree.session import materialize
 
 NAME_LENGTH = 400
 
@@ -217,7 +218,7 @@ def universal_id_catalog(
         F.concat(F.lit(kind.text_prefix), "ui_display_name").alias("ui_display_text"),
         _code_predicate(kind.dataset, kind.code_field).alias("predicate"),
     )
-    rows = dedupe_suffix(rows, "universal_id", ["aui", "parent_aui"])
+    rows = materialize(dedupe_suffix(rows, "universal_id", ["aui", "parent_aui"]), "universal")
 
     ids = rows.groupBy(F.col("aui").alias("parent_aui")).agg(F.min("universal_id").alias("external_parent_id"))
     below = rows.where("parent_aui is not null")
@@ -232,31 +233,37 @@ def universal_id_catalog(
         )
 
     name = cut(F.col("ui_display_name"), NAME_LENGTH) if kind.cut_name else F.col("ui_display_name")
-    dataset = F.lit(kind.dataset)
+    set_id = sql_set(registry, kind.dataset)
     parts = [
         as_catalog(
-            with_sql_set(top.withColumn("dataset", dataset), registry),
+            top,
             external_id=F.col("universal_id"),
             external_parent_id=fixed.URN + kind.parent_urn,
             is_numeric=False,
             is_parent=True,
             is_root=False,
+            sql_set_id=set_id,
             ui_display_name=kind.name,
             ui_display_text=kind.text,
             predicate=predicate(kind.dataset, "all"),
         ),
         as_catalog(
-            with_sql_set(coded.withColumn("dataset", dataset), registry),
+            coded,
             external_id=F.col("universal_id"),
             is_numeric=False,
             is_root=False,
+            sql_set_id=set_id,
             ui_display_name=name,
         ),
     ]
     if kind.group_row:
         urn = F.concat(F.lit(fixed.URN), "external_id")
-        group = with_sql_set(fixed_rows(spark, [kind.group_row]), registry)
-        parts.insert(
-            0, as_catalog(group, external_id=urn, universal_id=urn, predicate=predicate(kind.dataset, "all"))
+        group = as_catalog(
+            fixed_rows(spark, [kind.group_row]),
+            external_id=urn,
+            universal_id=urn,
+            sql_set_id=set_id,
+            predicate=predicate(kind.dataset, "all"),
         )
+        parts.insert(0, group)
     return union_all(*parts)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from conceptree import fixed_values as fixed
 from conceptree.functions.tables import union_all
 from conceptree.functions.text import comment
-from conceptree.operators.registry import fixed_rows, with_sql_set
+from conceptree.operators.registry import FIXED_ROW, fixed_rows, sql_set, with_sql_set
 from conceptree.schema import as_catalog, predicate
 
 
@@ -20,20 +20,30 @@ def _named(counts: DataFrame, concept: DataFrame) -> DataFrame:
     return counts.join(concept.select("concept_id", "concept_name"), "concept_id")
 
 
-def _fixed_part(rows: list[tuple], tallies: DataFrame, registry: DataFrame, **predicates: Column) -> DataFrame:
+def _fixed_part(rows: list[tuple], tallies: DataFrame, registry: DataFrame) -> DataFrame:
     frame = fixed_rows(tallies.sparkSession, rows).join(tallies, "external_id", "left")
     return as_catalog(
         with_sql_set(frame, registry),
         ui_display_patient_count=F.col("patients"),
         predicate=predicate(
-            F.col("dataset"),
-            F.col("kind"),
-            other=F.when(F.col("kind") == "not_exists", F.lit("dbo.v_death")),
-            **predicates,
+            F.col("dataset"), F.col("kind"), other=F.when(F.col("kind") == "not_exists", F.lit("dbo.v_death"))
         ),
     )
 
 
+def _root_part(row: tuple, tally: DataFrame, registry: DataFrame) -> DataFrame:
+    """A root concept made of the one row that holds its count."""
+    values = dict(zip((c.split()[0] for c in FIXED_ROW.split(",")), row))
+    dataset, kind = values.pop("dataset"), values.pop("kind")
+    return as_catalog(
+        tally,
+        **values,
+        sql_set_id=sql_set(registry, dataset),
+        ui_display_patient_count=F.col("patients"),
+        predicate=predicate(dataset, kind),
+    )
+
+
 def _coded_part(
     named: DataFrame,
     registry: DataFrame,
@@ -49,10 +59,11 @@ def _coded_part(
     test = F.concat(F.lit(f"@.{field} = "), code)
     where = F.concat(comment(F.col("concept_name")), test) if where_comment else test
     return as_catalog(
-        with_sql_set(named.withColumn("dataset", F.lit(dataset)), registry),
+        named,
         external_id=F.concat(F.lit(prefix + ":"), code),
         external_parent_id=prefix,
         is_root=False,
+        sql_set_id=sql_set(registry, dataset),
         sql_set_where=where,
         ui_display_name=F.col("concept_name"),
         ui_display_text=text,
@@ -123,7 +134,7 @@ def _people_by_code(facts: DataFrame, code: str) -> tuple[DataFrame, DataFrame]:
 def visit_concepts(visit_occurrence: DataFrame, concept: DataFrame, registry: DataFrame) -> DataFrame:
     """Visit types. The root counts every visit, also those of unknown type (code 0)."""
     overall, by_code = _people_by_code(visit_occurrence.select("person_id", "visit_concept_id"), "visit_concept_id")
-    root = _fixed_part(fixed.OMOP_VISITS, overall.select(F.lit("visit").alias("external_id"), "patients"), registry)
+    root = _root_part(fixed.OMOP_VISITS_ROOT, overall, registry)
     types = _coded_part(
         _named(by_code.where("concept_id != 0"), concept),
         registry,
@@ -153,7 +164,7 @@ def vital_concepts(
         .join(F.broadcast(names), F.col("measurement_concept_id") == F.col("concept_id"), "left")
     )
     overall, by_code = _people_by_code(facts, "concept_id")
-    root = _fixed_part(fixed.OMOP_VITALS, overall.select(F.lit("vitals").alias("external_id"), "patients"), registry)
+    root = _root_part(fixed.OMOP_VITALS_ROOT, overall, registry)
     named = by_code.join(F.broadcast(names), "concept_id", "left").select("concept_id", "concept_name", "patients")
     signs = _coded_part(
         named,

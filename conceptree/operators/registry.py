@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from conceptree import fixed_values as fixed
 from conceptree.schema import SQL_SET, as_catalog, predicate
 
-_FIXED_ROW = """
+FIXED_ROW = """
     external_id string, external_parent_id string, is_numeric boolean, is_parent boolean,
     is_root boolean, dataset string, sql_set_where string, sql_field_numeric string,
     ui_display_name string, ui_display_text string, ui_display_units string,
@@ -35,14 +35,19 @@ def dataset_registry(
     return spark.createDataFrame(rows, SQL_SET)
 
 
+def sql_set(registry: DataFrame, dataset: str) -> Column:
+    """The id of one dataset, as a scalar subquery; the smallest if it is listed twice."""
+    return registry.where(F.col("sql_set_from") == dataset).agg(F.min("id")).scalar()
+
+
 def with_sql_set(df: DataFrame, registry: DataFrame, dataset: str = "dataset") -> DataFrame:
-    """Add ``sql_set_id`` by the dataset's name; the smallest id if it is listed twice."""
+    """Add ``sql_set_id`` by the name in the column ``dataset``."""
     ids = registry.groupBy(F.col("sql_set_from").alias(dataset)).agg(F.min("id").alias("sql_set_id"))
     return df.join(ids, dataset, "left").select(*df.columns, "sql_set_id")
 
 
 def fixed_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, _FIXED_ROW)
+    return spark.createDataFrame(rows, FIXED_ROW)
 
 
 def fixed_catalog(spark: SparkSession, registry: DataFrame) -> DataFrame:

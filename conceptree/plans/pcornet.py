@@ -9,6 +9,7 @@ from conceptree.operators.ontology import CPT, ICD10, ICD10PCS, universal_id_cat
 from conceptree.operators.registry import fixed_catalog
 from conceptree.plans.omop import with_links
 from conceptree.schema import CONCEPT
+from conceptree.session import materialize
 
 
 def build_catalog_pcornet(
@@ -30,5 +31,5 @@ def build_catalog_pcornet(
         universal_id_catalog(cpt, registry, CPT),
         universal_id_catalog(icd10pcs, registry, ICD10PCS, icd10pcs_top),
     ).withColumns({"add_date_time": stamp, "content_last_update_date_time": stamp})
-    absent = exclude(new, "universal_id", existing, "universal_id")
+    absent = exclude(materialize(new, "new"), "universal_id", existing, "universal_id")
     return with_links(absent, ["universal_id", "external_parent_id"], existing)

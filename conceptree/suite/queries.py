@@ -564,7 +564,7 @@ def parent_link(spark, t):
     catalog = people.visit_concepts(t["visit_occurrence"], t["concept"], omop(spark)).unionByName(
         people.vital_concepts(t["measurement"], t["concept"], omop(spark))
     )
-    numbered = number_rows(catalog.drop("id"), ["external_id"]).select(*CONCEPT.names)
+    numbered = materialize(number_rows(catalog.drop("id"), ["external_id"]).select(*CONCEPT.names), "catalog")
     return shown(linked(hierarchy.parent_link(numbered)), "id", "external_id", "parent", "root")
 
 
