@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from conceptree import fixed_values as fixed
-from conceptree.functions.tables import union_all
 from conceptree.functions.text import comment
 from conceptree.operators.registry import FIXED_ROW, fixed_rows, sql_set, with_sql_set
 from conceptree.schema import as_catalog, predicate
+from conceptree.session import materialize
 
 
 def _named(counts: DataFrame, concept: DataFrame) -> DataFrame:
@@ -48,19 +48,19 @@ def _coded_part(
     named: DataFrame,
     registry: DataFrame,
     dataset: str,
-    field: str,
-    prefix: str,
+    field: Column,
+    prefix: Column,
     text: Column,
     where_comment: bool = True,
     **values,
 ) -> DataFrame:
     """One row per code: (concept_id, concept_name, patients) as catalog rows."""
     code = F.col("concept_id").cast("string")
-    test = F.concat(F.lit(f"@.{field} = "), code)
+    test = F.concat(F.lit("@."), field, F.lit(" = "), code)
     where = F.concat(comment(F.col("concept_name")), test) if where_comment else test
     return as_catalog(
         named,
-        external_id=F.concat(F.lit(prefix + ":"), code),
+        external_id=F.concat(prefix, F.lit(":"), code),
         external_parent_id=prefix,
         is_root=False,
         sql_set_id=sql_set(registry, dataset),
@@ -97,36 +97,46 @@ def demographic_concepts(person: DataFrame, concept: DataFrame, death: DataFrame
             ).alias("external_id", "patients")
         )
     )
-
-    tallies, coded = [totals], []
-    for kind in ("gender", "ethnicity", "race"):
-        field, prefix = f"{kind}_concept_id", f"demographics:{kind}"
-        counts = (
-            person.where(F.col(field) != 0)
-            .groupBy(F.col(field).alias("concept_id"))
-            .agg(F.countDistinct("person_id").alias("patients"))
-        )
-        named = _named(counts, concept)
-        tallies.append(named.agg(F.sum("patients").alias("patients")).select(F.lit(prefix).alias("external_id"), "patients"))
-        coded.append(
-            _coded_part(
-                named,
-                registry,
-                "dbo.person",
-                field,
-                prefix,
-                F.concat(F.lit("Identify as "), "concept_name"),
-                is_numeric=False,
-                is_parent=False,
-            )
-        )
-    return union_all(_fixed_part(fixed.OMOP_DEMOGRAPHICS, union_all(*tallies), registry), *coded)
+    # And one pass the people of every gender, ethnicity and race code.
+    codes = F.create_map(
+        F.lit("gender"), "gender_concept_id",
+        F.lit("ethnicity"), "ethnicity_concept_id",
+        F.lit("race"), "race_concept_id",
+    )
+    counts = materialize(
+        person.select("person_id", F.explode(codes).alias("kind", "concept_id"))
+        .where("concept_id <> 0")
+        .groupBy("kind", "concept_id")
+        .agg(F.countDistinct("person_id").alias("patients")),
+        "counts",
+    )
+    named = _named(counts, concept)
+    parent = F.concat(F.lit("demographics:"), "kind")
+    sums = named.groupBy(parent.alias("external_id")).agg(F.sum("patients").alias("patients"))
+    coded = _coded_part(
+        named,
+        registry,
+        "dbo.person",
+        F.concat("kind", F.lit("_concept_id")),
+        parent,
+        F.concat(F.lit("Identify as "), "concept_name"),
+        is_numeric=False,
+        is_parent=False,
+    )
+    return _fixed_part(fixed.OMOP_DEMOGRAPHICS, totals.unionByName(sums), registry).unionByName(coded)
 
 
 def _people_by_code(facts: DataFrame, code: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct people overall and by code, from one scan of the facts."""
-    counts = facts.rollup(F.col(code).alias("concept_id")).agg(
-        F.countDistinct("person_id").alias("patients"), F.grouping_id().alias("overall")
+    """Distinct people overall and by code.
+
+    One scan of the facts gives both; the counts are stored, as the two filters below would
+    otherwise each reach down to a scan of their own.
+    """
+    counts = materialize(
+        facts.rollup(F.col(code).alias("concept_id")).agg(
+            F.countDistinct("person_id").alias("patients"), F.grouping_id().alias("overall")
+        ),
+        "counts",
     )
     return counts.where("overall = 1").select("patients"), counts.where("overall = 0").drop("overall")
 
@@ -139,8 +149,8 @@ def visit_concepts(visit_occurrence: DataFrame, concept: DataFrame, registry: Da
         _named(by_code.where("concept_id != 0"), concept),
         registry,
         "dbo.visit_occurrence",
-        "visit_concept_id",
-        "visit",
+        F.lit("visit_concept_id"),
+        F.lit("visit"),
         F.concat(F.lit("Had an "), "concept_name"),
         is_numeric=False,
         is_parent=True,
@@ -170,8 +180,8 @@ def vital_concepts(
         named,
         registry,
         "dbo.measurement",
-        "measurement_concept_id",
-        "vitals",
+        F.lit("measurement_concept_id"),
+        F.lit("vitals"),
         F.concat(F.lit("Had "), "concept_name", F.lit(" measured")),
         where_comment=False,
         is_numeric=True,

@@ -123,14 +123,14 @@ def as_catalog(df: DataFrame, **values) -> DataFrame:
 
 
 def predicate(
-    dataset: str,
-    kind: str,
-    field: str | None = None,
+    dataset: Column | str | None,
+    kind: Column | str,
+    field: Column | str | None = None,
     lo: Column | str | None = None,
     hi: Column | str | None = None,
-    value_field: str | None = None,
+    value_field: Column | str | None = None,
     value: Column | str | None = None,
-    other: str | None = None,
+    other: Column | str | None = None,
 ) -> Column:
     """The structured form of a concept's predicate."""
 

@@ -355,9 +355,8 @@ SELECT DISTINCT 'lab:' || x.concept_id AS external_id, 'lab:' || x.parent_concep
        CASE WHEN x.parent_concept_id IS NULL THEN 1 ELSE 0 END AS is_root, 7 AS sql_set_id,
        '/* ' || regexp_replace(regexp_replace(x.concept_name, 'WITH', '', 'gi'), 'SET', '', 'gi') || ' */ ' ||
        CASE WHEN EXISTS (SELECT 1 FROM levels l WHERE l.parent_concept_id = x.concept_id)
-            THEN 'EXISTS (SELECT 1 ' || '         FROM dbo.concept_ancestor AS @CA ' ||
-                 '         WHERE @CA.descendant_concept_id = @.measurement_concept_id ' ||
-                 '               AND @CA.ancestor_concept_id = ' || x.concept_id || ')'
+            THEN 'EXISTS (SELECT 1          FROM dbo.concept_ancestor AS @CA          WHERE @CA.descendant_concept_id = @.measurement_concept_id                AND @CA.ancestor_concept_id = '
+                 || x.concept_id || ')'
             ELSE '@.measurement_concept_id = ' || x.concept_id END AS sql_set_where,
        CAST(NULL AS VARCHAR) AS sql_field_numeric, x.concept_name AS ui_display_name,
        'Had laboratory test for ' || x.concept_name AS ui_display_text, CAST(NULL AS VARCHAR) AS ui_display_units,
