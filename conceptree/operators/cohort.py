@@ -88,8 +88,11 @@ def cohort_counts(
     Concepts of datasets that are not given are left out. Equal predicates are evaluated
     once, under a number: people are then told apart by two numbers, not by long texts.
     """
-    concepts = catalog.where(F.col("predicate.dataset").isin(list(datasets))).select(
-        "external_id", F.to_json("predicate").alias("test"), "predicate"
+    concepts = materialize(
+        catalog.where(F.col("predicate.dataset").isin(list(datasets))).select(
+            "external_id", F.to_json("predicate").alias("test"), "predicate"
+        ),
+        "concepts",
     )
     tests = materialize(
         number_rows(concepts.select("test", "predicate.*").distinct(), ["test"], "test_id"), "tests"

@@ -16,6 +16,8 @@ from conceptree.session import materialize
 ROOT = 1
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]  # 101 .. 106
 GENDERS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"]  # 8501 .. 8504
+ETHNICITIES = ["Hispanic or Latino", "Not Hispanic or Latino"]  # 8700, 8701
+VISITS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]  # 9201, 9202, 9203, 9205
 VITALS = {"click": 3020891, "error": 3027018, "purchase": 3024171, "signup": 3012888, "view": 3004249}
 VALUES = {"A": (45001, "Alpha"), "N": (45002, "Negative"), "R": (45003, "Reactive")}
 
@@ -188,48 +190,30 @@ class TestTables:
         return upper.unionByName(parts)
 
     def _concept(self) -> DataFrame:
-        def domain(df: DataFrame, concept_id: Column, name: Column, vocabulary: str) -> DataFrame:
-            return df.select(
-                concept_id.cast("int").alias("concept_id"),
-                name.alias("concept_name"),
-                concept_id.cast("string").alias("concept_code"),
-                F.lit(vocabulary).alias("vocabulary_id"),
-            ).distinct()
-
         nodes = self._nodes().select(
             "concept_id",
             F.col("name").alias("concept_name"),
             F.col("code").alias("concept_code"),
             F.lit("LOINC").alias("vocabulary_id"),
         )
-        customer, region, orders, events = map(self.raw, ("customer", "region", "orders", "events"))
-        segment, nation = F.col("c_mktsegment"), F.col("c_nationkey")
-        gender = _lookup(segment, {g: 8501 + i for i, g in enumerate(GENDERS)})
-        flag = F.col("l_returnflag")
-        return union_all(
-            nodes,
-            domain(customer.where(segment.isin(GENDERS)), gender, segment, "Gender"),
-            domain(region, F.lit(8600) + F.col("r_regionkey"), F.col("r_name"), "Race"),
-            domain(
-                customer.where(nation % 5 != 4),
-                F.lit(8700) + nation % 2,
-                F.when(nation % 2 == 0, "Hispanic or Latino").otherwise("Not Hispanic or Latino"),
-                "Ethnicity",
-            ),
-            domain(
-                orders.where(F.col("o_orderpriority") != "4-NOT SPECIFIED"),
-                F.lit(9200) + _digit(F.col("o_orderpriority")),
-                F.col("o_orderpriority"),
-                "Visit",
-            ),
-            domain(events, _lookup(F.col("event_type"), VITALS), F.col("event_type"), "LOINC"),
-            domain(
-                self.raw("lineitem"),
-                _lookup(flag, {f: v for f, (v, _) in VALUES.items()}),
-                _lookup(flag, {f: n for f, (_, n) in VALUES.items()}),
-                "SNOMED",
-            ),
+        races = self.raw("region").select(
+            (F.lit(8600) + F.col("r_regionkey")).alias("concept_id"),
+            F.col("r_name").alias("concept_name"),
+            (F.lit(8600) + F.col("r_regionkey")).cast("string").alias("concept_code"),
+            F.lit("Race").alias("vocabulary_id"),
+        )
+        listed = [
+            *[(8501 + i, name, "Gender") for i, name in enumerate(GENDERS)],
+            *[(8700 + i, name, "Ethnicity") for i, name in enumerate(ETHNICITIES)],
+            *[(9200 + int(name[0]), name, "Visit") for name in VISITS],
+            *[(concept, name, "LOINC") for name, concept in VITALS.items()],
+            *[(concept, name, "SNOMED") for concept, name in VALUES.values()],
+        ]
+        codes = self.spark.createDataFrame(
+            [(concept, name, str(concept), vocabulary) for concept, name, vocabulary in listed],
+            "concept_id int, concept_name string, concept_code string, vocabulary_id string",
         )
+        return union_all(nodes, races, codes)
 
     def _concept_relationship(self) -> DataFrame:
         def edges(df: DataFrame, child: Column, parent: Column) -> DataFrame:

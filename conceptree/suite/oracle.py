@@ -83,23 +83,14 @@ UNION ALL SELECT concept_id,
 """
 _TABLES["concept"] = """
 SELECT concept_id, name AS concept_name, code AS concept_code, 'LOINC' AS vocabulary_id FROM nodes
-UNION ALL SELECT DISTINCT gender_concept_id, c_mktsegment, CAST(gender_concept_id AS VARCHAR), 'Gender'
-          FROM person JOIN customer ON person_id = c_custkey WHERE gender_concept_id <> 0
 UNION ALL SELECT 8600 + r_regionkey, r_name, CAST(8600 + r_regionkey AS VARCHAR), 'Race' FROM region
-UNION ALL SELECT DISTINCT 8700 + c_nationkey % 2,
-                 CASE c_nationkey % 2 WHEN 0 THEN 'Hispanic or Latino' ELSE 'Not Hispanic or Latino' END,
-                 CAST(8700 + c_nationkey % 2 AS VARCHAR), 'Ethnicity'
-          FROM customer WHERE c_nationkey % 5 <> 4
-UNION ALL SELECT DISTINCT 9200 + CAST(o_orderpriority[1] AS INTEGER), o_orderpriority,
-                 CAST(9200 + CAST(o_orderpriority[1] AS INTEGER) AS VARCHAR), 'Visit'
-          FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'
-UNION ALL SELECT id, name, CAST(id AS VARCHAR), 'LOINC'
-          FROM (VALUES (3020891, 'click'), (3027018, 'error'), (3024171, 'purchase'), (3012888, 'signup'), (3004249, 'view'))
-               AS v(id, name)
-          WHERE name IN (SELECT event_type FROM events)
-UNION ALL SELECT id, name, CAST(id AS VARCHAR), 'SNOMED'
-          FROM (VALUES (45001, 'Alpha', 'A'), (45002, 'Negative', 'N'), (45003, 'Reactive', 'R')) AS v(id, name, flag)
-          WHERE flag IN (SELECT l_returnflag FROM lineitem)
+UNION ALL SELECT id, name, CAST(id AS VARCHAR), vocabulary FROM (VALUES
+  (8501, 'AUTOMOBILE', 'Gender'), (8502, 'BUILDING', 'Gender'), (8503, 'FURNITURE', 'Gender'), (8504, 'MACHINERY', 'Gender'),
+  (8700, 'Hispanic or Latino', 'Ethnicity'), (8701, 'Not Hispanic or Latino', 'Ethnicity'),
+  (9201, '1-URGENT', 'Visit'), (9202, '2-HIGH', 'Visit'), (9203, '3-MEDIUM', 'Visit'), (9205, '5-LOW', 'Visit'),
+  (3020891, 'click', 'LOINC'), (3027018, 'error', 'LOINC'), (3024171, 'purchase', 'LOINC'), (3012888, 'signup', 'LOINC'),
+  (3004249, 'view', 'LOINC'), (45001, 'Alpha', 'SNOMED'), (45002, 'Negative', 'SNOMED'), (45003, 'Reactive', 'SNOMED')
+) AS v(id, name, vocabulary)
 """
 _TABLES["concept_relationship"] = """
 SELECT DISTINCT tid AS concept_id_1, 1 AS concept_id_2, 'Is a' AS relationship_id FROM parts

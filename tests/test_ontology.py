@@ -16,6 +16,7 @@ from conceptree.operators.registry import dataset_registry, fixed_catalog
 from conceptree.plans.pcornet import build_catalog_pcornet
 from conceptree.plans.vocabulary import get_ontology, insert_concepts
 from conceptree.schema import CONCEPT, ONTOLOGY
+from conceptree.session import materialize
 
 TERMS = "aui string, sab string, code string, tty string, str string"
 
@@ -76,9 +77,9 @@ def test_ontology_of_one_vocabulary(make):
 
 
 def test_insert_twice_adds_nothing(spark, make):
-    ontology = get_ontology(*vocabulary(make), "V")
+    ontology = materialize(get_ontology(*vocabulary(make), "V"), "ontology")
     empty = spark.createDataFrame([], CONCEPT)
-    once = insert_concepts(ontology, empty, "Had", 3, "@.Code ")
+    once = materialize(insert_concepts(ontology, empty, "Had", 3, "@.Code "), "once")
     assert got(once, "id", "external_id", "parent_id", "is_parent", "is_root", "sql_set_where", "ui_display_text")[:2] == [
         (1, "UMLS_AUI:A1", None, True, True, "@.Code IN ('a','b')", "Had Root (V:a-b)"),
         (2, "UMLS_AUI:A2", 1, True, False, "@.Code IN ('a','b')", "Had Group (V:a-b)"),
@@ -136,7 +137,7 @@ def test_fixed_concepts(spark):
 
 def test_catalog_keeps_existing_concepts(spark, make):
     registry, source = dataset_registry(spark, "pcornet"), ontology(make)
-    first = build_catalog_pcornet(registry, source, source, source, icd10pcs_top="R")
+    first = materialize(build_catalog_pcornet(registry, source, source, source, icd10pcs_top="R"), "first")
     again = build_catalog_pcornet(registry, source, source, source, existing=first, icd10pcs_top="R")
     assert got(again, "id", "universal_id", "parent_id", "root_id") == got(first, "id", "universal_id", "parent_id", "root_id")
     assert first.where("parent_id is null").count() == 4 and first.where("root_id is null").count() == 0
