@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
@@ -16,7 +17,7 @@ from conceptree.functions.numbering import number_rows
 from conceptree.functions.ranges import match_ranges
 from conceptree.functions.tables import union_all
 from conceptree.functions.text import age_in_years
-from conceptree.session import materialize
+from conceptree.session import at_once, materialize
 
 
 @dataclass
@@ -97,15 +98,18 @@ def cohort_counts(
     tests = materialize(
         number_rows(concepts.select("test", "predicate.*").distinct(), ["test"], "test_id"), "tests"
     )
-    counts = []
-    # As many rows as there are datasets and tested columns, however many concepts.
-    for group in tests.select("dataset", "field", "value_field", "other").distinct().collect():
-        mine = _only(tests, group)
-        data = datasets[group["dataset"]]
+
+    def count(group: Row) -> DataFrame:
+        mine, data = _only(tests, group), datasets[group["dataset"]]
         if group["field"] is None:
-            counts.append(_whole_counts(mine, data, datasets.get(group["other"])))
-        else:
-            counts.append(_coded_counts(mine, data, group["field"], group["value_field"], ancestors))
+            return _whole_counts(mine, data, datasets.get(group["other"]))
+        return _coded_counts(mine, data, group["field"], group["value_field"], ancestors)
+
+    # As many rows as there are datasets and tested columns, however many concepts.
+    groups = tests.select("dataset", "field", "value_field", "other").distinct().collect()
+    if not groups:
+        return concepts.select("external_id", F.lit(0).cast("long").alias("patient_count"))
+    counts = at_once(catalog.sparkSession, *[partial(count, group) for group in groups])
     found = tests.select("test", "test_id").join(union_all(*counts), "test_id", "left")
     return (
         concepts.select("external_id", "test")

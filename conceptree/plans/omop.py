@@ -19,7 +19,7 @@ from conceptree.operators.hierarchy import (
 )
 from conceptree.operators.people import demographic_concepts, visit_concepts, vital_concepts
 from conceptree.schema import CONCEPT, conform
-from conceptree.session import materialize
+from conceptree.session import at_once, materialize
 
 
 def with_links(new: DataFrame, order: list[str], existing: DataFrame | None = None) -> DataFrame:
@@ -65,6 +65,8 @@ class LabBuild:
 
     @cached_property
     def pruned(self) -> DataFrame:
+        # The facts and the hierarchy meet here first.
+        at_once(self.registry.sparkSession, lambda: self.people, lambda: (self.candidates, self.ancestors))
         return materialize(labs.prune_parents(self.measured_leaves, self.people, self.ancestors), "pruned")
 
     @cached_property
@@ -90,10 +92,11 @@ def build_catalog_omop(
 ) -> DataFrame:
     """The whole catalog; ``tables[name]`` gives the clinical tables."""
     concept = tables["concept"]
-    catalog = union_all(
-        demographic_concepts(tables["person"], concept, tables["death"], registry),
-        visit_concepts(tables["visit_occurrence"], concept, registry),
-        vital_concepts(tables["measurement"], concept, registry),
-        LabBuild(tables, registry, lab_root_id, as_of).concepts,
+    parts = at_once(
+        registry.sparkSession,
+        lambda: LabBuild(tables, registry, lab_root_id, as_of).concepts,
+        lambda: demographic_concepts(tables["person"], concept, tables["death"], registry),
+        lambda: visit_concepts(tables["visit_occurrence"], concept, registry),
+        lambda: vital_concepts(tables["measurement"], concept, registry),
     )
-    return with_links(catalog, ["external_id"])
+    return with_links(union_all(*parts), ["external_id"])

@@ -9,7 +9,7 @@ from conceptree.operators.ontology import CPT, ICD10, ICD10PCS, universal_id_cat
 from conceptree.operators.registry import fixed_catalog
 from conceptree.plans.omop import with_links
 from conceptree.schema import CONCEPT
-from conceptree.session import materialize
+from conceptree.session import at_once, materialize
 
 
 def build_catalog_pcornet(
@@ -25,11 +25,12 @@ def build_catalog_pcornet(
     spark = registry.sparkSession
     stamp = F.current_timestamp() if as_of is None else F.lit(as_of)
     existing = spark.createDataFrame([], CONCEPT) if existing is None else existing
-    new = union_all(
-        fixed_catalog(spark, registry),
-        universal_id_catalog(icd10, registry, ICD10),
-        universal_id_catalog(cpt, registry, CPT),
-        universal_id_catalog(icd10pcs, registry, ICD10PCS, icd10pcs_top),
-    ).withColumns({"add_date_time": stamp, "content_last_update_date_time": stamp})
+    coded = at_once(
+        spark,
+        lambda: universal_id_catalog(icd10, registry, ICD10),
+        lambda: universal_id_catalog(cpt, registry, CPT),
+        lambda: universal_id_catalog(icd10pcs, registry, ICD10PCS, icd10pcs_top),
+    )
+    new = union_all(fixed_catalog(spark, registry), *coded).withColumns({"add_date_time": stamp, "content_last_update_date_time": stamp})
     absent = exclude(materialize(new, "new"), "universal_id", existing, "universal_id")
     return with_links(absent, ["universal_id", "external_parent_id"], existing)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
@@ -57,6 +60,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def at_once(spark: SparkSession, *builds: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Run builds that don't depend on each other side by side.
+
+    Each stores tables as it goes. The many short jobs of a hierarchy then fill in beside
+    one long job over the facts instead of waiting for it.
+    """
+    target = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(builds)) as pool:
+        return [f.result() for f in [pool.submit(target(build)) for build in builds]]
+
+
 def clean_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediate tables."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
