@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from conceptree.functions.numbering import number_rows
-from conceptree.session import materialize
+from conceptree.session import at_once, materialize
 
 _TOP = 12  # blocks of up to 2**12 codes
 
@@ -22,8 +22,13 @@ def match_ranges(codes: DataFrame, ranges: DataFrame) -> DataFrame:
 
     ``codes`` has a column ``code``; ``ranges`` has ``lo`` and ``hi``.
     """
-    codes = codes.select("code").where(F.col("code").isNotNull()).distinct()
-    ranges = ranges.select("lo", "hi").where("lo <= hi").distinct()
+    # Stored, as both are read several times below and may come from a scan of the facts.
+    spark = codes.sparkSession
+    codes, ranges = at_once(
+        spark,
+        lambda: materialize(codes.select("code").where(F.col("code").isNotNull()).distinct(), "codes"),
+        lambda: materialize(ranges.select("lo", "hi").where("lo <= hi").distinct(), "ranges"),
+    )
 
     texts = codes.union(ranges.select("lo")).union(ranges.select("hi")).distinct()
     places = materialize(number_rows(texts, ["code"], "at", start=0), "places")
