@@ -32,14 +32,12 @@ class Dataset:
         return self.rows.select(F.col(self.person).alias("person")).where("person is not null").distinct()
 
     def coded_people(self, code: str, value: str | None = None) -> DataFrame:
-        """Distinct (code, value, person), combined before the shuffle."""
+        """Distinct (code, person), or (code, value, person), combined before the shuffle."""
         rows = self.rows.where(self.where[code]) if code in self.where else self.rows
-        shown = F.col(value).cast("string") if value else F.lit(None).cast("string")
-        return (
-            rows.select(F.col(code).cast("string").alias("code"), shown.alias("value"), F.col(self.person).alias("person"))
-            .where("code is not null and person is not null")
-            .distinct()
-        )
+        columns = [F.col(code).cast("string").alias("code"), F.col(self.person).alias("person")]
+        if value:
+            columns.append(F.col(value).cast("string").alias("value"))
+        return rows.select(*columns).where("code is not null and person is not null").distinct()
 
 
 def admitted_codes(
@@ -103,10 +101,10 @@ def cohort_counts(
         mine, data = _only(tests, group), datasets[group["dataset"]]
         if group["field"] is None:
             return _whole_counts(mine, data, datasets.get(group["other"]))
-        return _coded_counts(mine, data, group["field"], group["value_field"], ancestors)
+        return _coded_counts(mine, data, group["field"], ancestors)
 
     # As many rows as there are datasets and tested columns, however many concepts.
-    groups = tests.select("dataset", "field", "value_field", "other").distinct().collect()
+    groups = tests.select("dataset", "field", "other").distinct().collect()
     if not groups:
         return concepts.select("external_id", F.lit(0).cast("long").alias("patient_count"))
     counts = at_once(catalog.sparkSession, *[partial(count, group) for group in groups])
@@ -140,15 +138,31 @@ def _whole_counts(tests: DataFrame, data: Dataset, other: Dataset | None) -> Dat
     )
 
 
-def _coded_counts(
-    tests: DataFrame, data: Dataset, code: str, value: str | None, ancestors: DataFrame | None
-) -> DataFrame:
-    people = materialize(data.coded_people(code, value), "people")
+def _coded_counts(tests: DataFrame, data: Dataset, code: str, ancestors: DataFrame | None) -> DataFrame:
+    """Counts of the tests on one column, some of them with one more column.
+
+    The facts are read once for each further column; its stored people, without that
+    column, then serve the tests that have none.
+    """
+    columns = [r[0] for r in tests.select("value_field").distinct().collect()]  # the tested columns
+    stored = {c: materialize(data.coded_people(code, c), "people") for c in columns if c}
+    if None in columns:
+        plain = next(iter(stored.values())).drop("value").distinct() if stored else data.coded_people(code)
+        stored[None] = materialize(plain, "people")
+    return union_all(
+        *[
+            _people_counts(tests.where(F.col("value_field").eqNullSafe(F.lit(c))), people, c, ancestors)
+            for c, people in stored.items()
+        ]
+    )
+
+
+def _people_counts(tests: DataFrame, people: DataFrame, value: str | None, ancestors: DataFrame | None) -> DataFrame:
     on = ["code", "value"] if value else ["code"]
     # The people of one code are distinct already: a plain count, no second shuffle of them.
     by_code = people.groupBy(*on).agg(F.count(F.lit(1)).alias("patient_count"))
     single = tests.where("kind = 'eq'").select("test_id", F.col("lo").alias("code"), "value")
-    counts = single.join(by_code, on).select("test_id", "patient_count")
+    counts = (single if value else single.drop("value")).join(by_code, on).select("test_id", "patient_count")
 
     several = tests.where("kind <> 'eq'")
     if several.isEmpty():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from conceptree import fixed_values as fixed
-from conceptree.functions.tables import append_absent, iterate, update_from
+from conceptree.functions.tables import iterate, update_from
 from conceptree.session import materialize
 
 MAX_STEPS = 100
@@ -100,8 +100,13 @@ def transitive_closure(levels: DataFrame, max_steps: int = MAX_STEPS) -> DataFra
 
 
 def backfill_ancestors(concept_ancestor: DataFrame, closure: DataFrame) -> DataFrame:
-    """The ancestor table plus the pairs it lacks; existing rows keep their levels."""
-    return append_absent(concept_ancestor, closure, ["ancestor_concept_id", "descendant_concept_id"])
+    """The ancestor table plus the pairs it lacks; existing rows keep their levels.
+
+    Only the missing pairs are stored; the ancestor table itself is not copied.
+    """
+    pair = ["ancestor_concept_id", "descendant_concept_id"]
+    missing = closure.join(concept_ancestor.select(*pair), pair, "left_anti").select(*closure.columns)
+    return concept_ancestor.unionByName(materialize(missing, "missing"))
 
 
 def descendant_closure(edges: DataFrame, nodes: DataFrame, max_depth: int = 10) -> DataFrame:

@@ -65,21 +65,22 @@ def lab_candidates(levels: DataFrame, registry: DataFrame, as_of=None) -> DataFr
     return rows.select(*_SOURCE, *[c.alias(n) for n, c in catalog.items()])
 
 
-def prune_leaves(candidates: DataFrame, people: DataFrame) -> DataFrame:
-    """Without the tips that were never measured."""
-    measured = people.select("concept_id").distinct()
+def prune_leaves(candidates: DataFrame, measured: DataFrame) -> DataFrame:
+    """Without the tips that were never measured (``measured`` has a column concept_id)."""
     tips = restrict(candidates.where("not is_parent"), "concept_id", measured, "concept_id")
     return candidates.where("is_parent").unionByName(tips)
 
 
-def prune_parents(candidates: DataFrame, people: DataFrame, ancestors: DataFrame, to_fixpoint: bool = False) -> DataFrame:
+def prune_parents(
+    candidates: DataFrame, measured: DataFrame, ancestors: DataFrame, to_fixpoint: bool = False
+) -> DataFrame:
     """Without the parents that have no measured descendant, then without those left childless.
 
     The second step runs once, so a parent that loses its last child by it stays;
     ``to_fixpoint`` repeats it until nothing changes.
     """
-    measured = people.select(F.col("concept_id").alias("descendant_concept_id")).distinct()
-    with_data = ancestors.join(measured, "descendant_concept_id", "left_semi").select("ancestor_concept_id").distinct()
+    codes = measured.select(F.col("concept_id").alias("descendant_concept_id"))
+    with_data = ancestors.join(codes, "descendant_concept_id", "left_semi").select("ancestor_concept_id").distinct()
     parents = restrict(candidates.where("is_parent"), "concept_id", with_data, "ancestor_concept_id")
     kept = candidates.where("not is_parent").unionByName(parents)
     while True:
@@ -189,7 +190,8 @@ def lab_name_cleanup(candidates: DataFrame) -> DataFrame:
 def value_concepts(candidates: DataFrame, people: DataFrame, concept: DataFrame) -> DataFrame:
     """The catalog rows plus one per tip and coded result, with its distinct patients.
 
-    The facts are counted by (test, result) first; only those counts meet the names.
+    The facts are counted by (test, result) first; only those counts meet the names. What
+    is found is stored, so that the facts are read once for the rows and the parent flags.
     """
     counts = (
         people.where("value_id is not null")
@@ -198,7 +200,7 @@ def value_concepts(candidates: DataFrame, people: DataFrame, concept: DataFrame)
     )
     names = concept.select(F.col("concept_id").alias("value_id"), F.col("concept_name").alias("value_name"))
     tips = candidates.where("not is_parent")
-    found = tips.join(counts, "concept_id").join(names, "value_id")
+    found = materialize(tips.join(counts, "concept_id").join(names, "value_id"), "results")
 
     value = F.col("value_id").cast("string")
     p = F.col("predicate")

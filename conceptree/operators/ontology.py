@@ -47,16 +47,17 @@ def ontology_nodes(edges: DataFrame, terms: DataFrame) -> DataFrame:
         .groupBy("code")
         .agg(F.min(cut(F.col("str"), NAME_LENGTH)).alias("preferred"))
     )
-    # Parents stay out of the join by code.
-    tips = (
-        nodes.where("not is_parent")
-        .join(preferred, "code", "left")
-        .select("aui", "code", "is_parent", F.coalesce(F.nullif("preferred", F.lit("")), "own_name").alias("name"))
-    )
-    tops = nodes.where("is_parent").select(
-        "aui", F.lit(None).cast("string").alias("code"), "is_parent", F.col("own_name").alias("name")
+    # A parent's code is not looked up; its own id as key keeps parents from gathering in one task.
+    is_parent = F.col("is_parent")
+    keyed = nodes.withColumn("key", F.when(is_parent, F.concat(F.lit("parent "), "aui")).otherwise(F.col("code")))
+    return keyed.join(preferred.withColumnRenamed("code", "key"), "key", "left").select(
+        "aui",
+        F.when(~is_parent, F.col("code")).alias("code"),
+        "is_parent",
+        F.when(is_parent, F.col("own_name"))
+        .otherwise(F.coalesce(F.nullif("preferred", F.lit("")), "own_name"))
+        .alias("name"),
     )
-    return tips.union(tops.distinct())
 
 
 def minmax_codes(closure: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from conceptree.session import materialize
+
 MAX_TOKENS = 20
 
 
@@ -23,7 +25,7 @@ def path_decode(hier: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     steps = F.when(closed | (F.col("ptr") == ""), names).otherwise(F.concat(names, F.slice(names, -1, 1)))
     kept = F.slice(F.col("steps"), 1, max_tokens)
 
-    found = (
+    found = materialize(
         hier.where(F.col("ptr").isNotNull())
         .select("aui", steps.alias("steps"))
         .select("aui", kept.alias("steps"))
@@ -35,7 +37,8 @@ def path_decode(hier: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
             "position",
         )
         .groupBy("aui", "code", "before")
-        .agg(F.min("position").alias("position"))
+        .agg(F.min("position").alias("position")),
+        "steps",
     )
     between = found.where("code <> before").select(F.col("before").alias("parent_aui"), F.col("code").alias("aui"))
     # The deepest position is looked up by join, not in a window: a node with very many

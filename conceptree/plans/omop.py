@@ -49,25 +49,29 @@ class LabBuild:
 
     @cached_property
     def ancestors(self) -> DataFrame:
-        return materialize(backfill_ancestors(self.tables["concept_ancestor"], self.closure), "ancestors")
+        return backfill_ancestors(self.tables["concept_ancestor"], self.closure)
 
     @cached_property
     def people(self) -> DataFrame:
         return materialize(labs.measured_people(self.tables["measurement"]), "people")
 
+    @cached_property
+    def measured(self) -> DataFrame:
+        return materialize(self.people.select("concept_id").distinct(), "measured")
+
     @cached_property
     def candidates(self) -> DataFrame:
         return materialize(labs.lab_candidates(self.levels, self.registry, self.as_of), "candidates")
 
     @cached_property
     def measured_leaves(self) -> DataFrame:
-        return labs.prune_leaves(self.candidates, self.people)
+        return labs.prune_leaves(self.candidates, self.measured)
 
     @cached_property
     def pruned(self) -> DataFrame:
         # The facts and the hierarchy meet here first.
-        at_once(self.registry.sparkSession, lambda: self.people, lambda: (self.candidates, self.ancestors))
-        return materialize(labs.prune_parents(self.measured_leaves, self.people, self.ancestors), "pruned")
+        at_once(self.registry.sparkSession, lambda: self.measured, lambda: (self.candidates, self.ancestors))
+        return materialize(labs.prune_parents(self.measured_leaves, self.measured, self.ancestors), "pruned")
 
     @cached_property
     def counted(self) -> DataFrame:
