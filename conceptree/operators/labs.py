@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from conceptree import fixed_values as fixed
 from conceptree.functions.tables import flag, restrict
-from conceptree.functions.text import comment, contains_word, cut, drop_first, first_upper, remove_word
+from conceptree.functions.text import comment, contains_word, drop_first, first_upper, remove_word
 from conceptree.operators.registry import sql_set
 from conceptree.schema import CONCEPT, as_catalog, predicate
 from conceptree.session import materialize

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from conceptree import fixed_values as fixed
 from conceptree.functions import text
 from conceptree.functions.numbering import number_rows
-from conceptree.functions.tables import append_absent, exclude, flag, restrict, union_all, update_from
+from conceptree.functions.tables import append_absent, exclude, restrict, union_all, update_from
 from conceptree.functions.text import age_in_years
-from conceptree.operators import cohort, extracts, hierarchy, labs, ontology as onto, people
+from conceptree.operators import cohort, extracts, hierarchy, ontology as onto, people
 from conceptree.operators.paths import path_decode
 from conceptree.operators.registry import dataset_registry, fixed_catalog, fixed_rows
 from conceptree.plans.omop import LabBuild, build_catalog_omop

@@ -1,9 +1,7 @@
 import random
-from datetime import datetime
 
 import pytest
 from conftest import got
-from pyspark.sql import functions as F
 
 from conceptree.functions.tables import append_absent
 from conceptree.operators.hierarchy import (
@@ -14,7 +12,7 @@ from conceptree.operators.hierarchy import (
     root_assign,
     transitive_closure,
 )
-from conceptree.schema import CONCEPT, as_catalog
+from conceptree.schema import as_catalog
 
 LEVELS = "parent_concept_id int, concept_id int"
 

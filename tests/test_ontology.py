@@ -9,7 +9,6 @@ from conceptree.operators.ontology import (
     code_range_predicate,
     minmax_codes,
     ontology_nodes,
-    ontology_to_catalog,
     universal_id_catalog,
 )
 from conceptree.operators.registry import dataset_registry, fixed_catalog
