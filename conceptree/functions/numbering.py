@@ -19,10 +19,10 @@ def number_rows(df: DataFrame, order: list[str], name: str = "id", start: int =
 
     ``order`` should identify a row; equal rows stay in one partition.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Written once: the partition borders come from a sample, so they must not be redrawn.
+    # Adaptive execution may merge neighbouring partitions, which keeps their order.
     placed = materialize(
-        df.repartitionByRange(partitions, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", _ROW_BITS))
