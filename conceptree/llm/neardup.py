@@ -15,7 +15,9 @@ on the full sets.
 Copies need not be expanded: equal sets are one class. A bucket is not expanded into pairs
 either. First each member is tried against the smallest member it shares a key with. Then
 only buckets whose members are not all connected yet are searched, and only across the
-components that meet there, comparing signatures in blocks.
+components that meet there: components with signatures under the distance make a family, and
+within a family, dealt into blocks, pairs of different components are confirmed until it is
+known what is connected. Only a forest of the links comes out, never all pairs.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ CHUNKS, PARTS = 16, 5
 SIZE = CHUNKS * PARTS
 DISTANCE = 2 * CHUNKS - 1
 #: Members of a bucket that are compared in one task at a time.
-BLOCK = 2048
+BLOCK = 512
 
 _random = np.random.Generator(np.random.PCG64(97))
 _FLIP = _random.integers(0, 1 << 63, SIZE, dtype=np.uint64)
@@ -105,47 +107,109 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.record_batch([signed(mix(key ^ _SALT[chunk * PARTS + missing])), ids], ["key", "member"])
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs under the signature distance within each cell, between different components.
+class _Merged:
+    """Labels of a cell that are known to be connected."""
 
-    Rows come sorted by cell. Those with ``own`` belong to the cell's block; the others are
-    members outside the bucket's largest component, which visit every block.
-    """
+    def __init__(self, labels: np.ndarray):
+        self.labels, self.at = np.unique(labels, return_inverse=True)
+        self.root = np.arange(len(self.labels))
+
+    def apart(self, i: int, others: np.ndarray) -> np.ndarray:
+        return others[self.root[self.at[others]] != self.root[self.at[i]]]
+
+    def merge(self, i: int, others: np.ndarray) -> None:
+        roots = np.unique(self.root[self.at[np.append(others, i)]])
+        self.root[np.isin(self.root, roots)] = roots[0]
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        moved = np.flatnonzero(self.root != np.arange(len(self.root)))
+        return self.labels[self.root[moved]], self.labels[moved]
+
+
+def _near(s: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+    """Those of ``others`` within the signature distance of row ``i``, the nearest first."""
+    found, far = [], []
+    for c in range(0, len(others), 1 << 15):
+        part = others[c : c + (1 << 15)]
+        distance = (s[part] != s[i]).sum(axis=1)
+        ok = distance <= DISTANCE
+        found.append(part[ok])
+        far.append(distance[ok])
+    if not found:
+        return others[:0]
+    return np.concatenate(found)[np.argsort(np.concatenate(far), kind="stable")]
+
+
+def _by_cell(one) -> object:
+    """Apply ``one`` to each cell of rows that come sorted by it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done() -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            own = rows.column("own").to_numpy(zero_copy_only=False)
+            if own.any() and not own.all():
+                s = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint16).reshape(-1, SIZE)
+                u, v = one(rows, np.flatnonzero(~own), np.flatnonzero(own), s)
+                if len(u):
+                    yield pa.record_batch([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    def pairs(rows: pa.Table) -> pa.RecordBatch | None:
-        rows = rows.combine_chunks()
+        held: list[pa.RecordBatch] = []
+        cell = None
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in ("key", "block", "part")], axis=1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for x, y in zip(cuts, cuts[1:], strict=False):
+                if y > x:
+                    if cell is not None and tuple(keys[x]) != cell:
+                        yield from done()
+                        held = []
+                    held.append(batch.slice(x, y - x))
+                    cell = tuple(keys[x])
+        if held:
+            yield from done()
+
+    return run
+
+
+def _meeting(rows: pa.Table, visits: np.ndarray, own: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Labels that come within the signature distance, as a forest."""
+    merged = _Merged(rows.column("label").to_numpy())
+    for i in visits.tolist():
+        near = _near(s, i, merged.apart(i, own))
+        if len(near):
+            merged.merge(i, near)
+    return merged.edges()
+
+
+def _linking(n: int, percent: int):
+    """Links between labels of a family that are not connected yet, as a forest."""
+
+    def one(rows: pa.Table, visits: np.ndarray, own: np.ndarray, s: np.ndarray) -> tuple[list, list]:
+        merged = _Merged(rows.column("label").to_numpy())
+        sets = shingle_sets(rows.column("text"), n)
         member = rows.column("member").to_numpy()
-        label = rows.column("label").to_numpy()
-        own = rows.column("own").to_numpy(zero_copy_only=False)
-        minor = rows.column("minor").to_numpy(zero_copy_only=False)
-        s = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint16).reshape(-1, SIZE)
-        left, right = np.flatnonzero(minor), np.flatnonzero(own)
-        a, b = [], []
-        for i in left.tolist():
-            other = right[label[right] != label[i]]
-            for c in range(0, len(other), 1 << 16):
-                part = other[c : c + (1 << 16)]
-                near = part[(s[part] != s[i]).sum(axis=1) <= DISTANCE]
-                a.append(np.minimum(member[i], member[near]))
-                b.append(np.maximum(member[i], member[near]))
-        if a and sum(map(len, a)):
-            found = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
-            return pa.record_batch([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
-        return None
-
-    held: list[pa.RecordBatch] = []
-    cell = None
-    for batch in batches:
-        keys = np.stack([batch.column("key").to_numpy(), batch.column("block").to_numpy()], axis=1)
-        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
-        for x, y in zip(cuts, cuts[1:], strict=False):
-            if y > x:
-                if cell is not None and tuple(keys[x]) != cell and (out := pairs(pa.Table.from_batches(held))):
-                    yield out
-                held = [batch.slice(x, y - x)] if tuple(keys[x]) != cell else [*held, batch.slice(x, y - x)]
-                cell = tuple(keys[x])
-    if held and (out := pairs(pa.Table.from_batches(held))):
-        yield out
+        u, v = [], []
+        for i in visits.tolist():
+            rest = _near(s, i, merged.apart(i, own))
+            while len(rest):
+                j, rest = int(rest[0]), rest[1:]
+                if _linked(sets[i], sets[j], percent):
+                    u.append(int(member[i]))
+                    v.append(int(member[j]))
+                    merged.merge(i, np.array([j]))
+                    rest = merged.apart(i, rest)
+        return u, v
+
+    return one
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if not len(x) or not len(y):
+        return False
+    if len(x) > len(y):
+        x, y = y, x
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
 
 def _confirm(n: int, percent: int):
@@ -153,15 +217,45 @@ def _confirm(n: int, percent: int):
         for whole in batches:
             for batch in bounded(whole, "text_a", 1 << 20):
                 left, right = (shingle_sets(batch.column(c), n) for c in ("text_a", "text_b"))
-                near = []
-                for x, y in zip(left, right, strict=True):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    near.append(100 * both >= percent * (len(x) + len(y) - both) and both > 0)
+                near = [_linked(x, y, percent) for x, y in zip(left, right, strict=True)]
                 yield batch.select(["a", "b"]).filter(pa.array(near))
 
     return run
 
 
+def _cells(rows: DataFrame) -> DataFrame:
+    """Deal the (member, label) rows of each key with several labels into cells (block, part).
+
+    All rows are dealt into blocks, and those outside the key's largest label into parts too. A
+    cell brings the rows of one block (``own``) together with those of one part, so rows of
+    different labels meet, and a cell holds about twice ``BLOCK`` rows whatever the key's size.
+    """
+    sizes = (
+        rows.groupBy("key", "label")
+        .agg(F.count(F.lit(1)).alias("held"))
+        .groupBy("key")
+        .agg(F.max(F.struct("held", "label")).alias("top"), F.count(F.lit(1)).alias("labels"), F.sum("held").alias("n"))
+        .where("labels > 1")
+        .select(
+            "key",
+            F.col("top.label").alias("largest"),
+            F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+            F.ceil((F.col("n") - F.col("top.held")) / BLOCK).cast("int").alias("parts"),
+        )
+    )
+    block = F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int")
+    part = F.pmod(F.xxhash64("member"), F.col("parts")).cast("int")
+    own = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.struct(block.alias("block"), i.alias("part"), F.lit(True).alias("own")))
+    visits = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(i.alias("block"), part.alias("part"), F.lit(False).alias("own")))
+    cells = F.explode(F.when(F.col("label") == F.col("largest"), own).otherwise(F.concat(own, visits)))
+    return rows.join(sizes, "key").withColumn("cell", cells).select("key", "cell.block", "cell.part", "cell.own", "member", "label")
+
+
+def _sorted_cells(cells: DataFrame, *more: str) -> DataFrame:
+    rows = cells.select("key", "block", "part", "own", "member", "label", *more)
+    return rows.repartition("key", "block", "part").sortWithinPartitions("key", "block", "part")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -193,51 +287,31 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     texts = materialize(rows.join(members, "doc_id").select("doc_id", "text"), "texts")
     signatures = classes.select(F.col("rep").alias("member"), "signature")
 
-    def confirmed(pairs: DataFrame, label: str) -> DataFrame:
-        left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-        right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-        both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-        return materialize(both.mapInArrow(_confirm(shingle, percent), "a long, b long"), label)
-
+    # Each member against the smallest it shares a key with.
     first = buckets.where("member <> pivot").groupBy("member").agg(F.min("pivot").alias("pivot"))
-    first = first.select(F.col("pivot").alias("a"), F.col("member").alias("b"))
-    links = confirmed(first, "links")
-    roots = connected(links.select(F.col("a").alias("u"), F.col("b").alias("v")), materialize)
-
-    # Buckets in which different components meet.
-    labels = roots.select(F.col("node").alias("member"), F.col("root"))
-    labelled = materialize(
-        buckets.join(labels, "member", "left").select("key", "member", "n", F.coalesce("root", "member").alias("label")), "labelled"
-    )
-    largest = (
-        labelled.groupBy("key", "label")
-        .agg(F.count(F.lit(1)).alias("held"))
-        .groupBy("key")
-        .agg(F.max(F.struct("held", "label")).alias("top"), F.count(F.lit(1)).alias("labels"))
-        .where("labels > 1")
-        .select("key", F.col("top.label").alias("largest"))
-    )
-    met = labelled.join(largest, "key").withColumn("minor", F.col("label") != F.col("largest"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    home = F.pmod(F.xxhash64("member"), blocks).cast("int")
-    cells = (
-        met.withColumn("home", home)
-        .withColumn("block", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array("home"))))
-        .withColumn("own", F.col("block") == F.col("home"))
-        .join(signatures, "member")
-        .select("key", "block", "member", "label", "own", "minor", "signature")
-    )
-    across = (
-        cells.repartition("key", "block")
-        .sortWithinPartitions("key", "block")
-        .mapInArrow(_across, "a long, b long")
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    pairs = first.select(F.col("pivot").alias("a"), F.col("member").alias("b")).join(right, "b").join(left, "a")
+    pairs = pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(shingle, percent), "a long, b long")
+    links = materialize(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+    roots = connected(links, materialize)
+
+    # Buckets in which different components meet show the families to search.
+    named = roots.select(F.col("node").alias("member"), "root")
+    labelled = buckets.join(named, "member", "left").select("key", "member", F.coalesce("root", "member").alias("label"))
+    cells = _cells(materialize(labelled, "labelled")).join(signatures, "member")
+    meeting = _sorted_cells(cells, "signature").mapInArrow(_by_cell(_meeting), "u long, v long").distinct()
+    families = connected(meeting, materialize).select(F.col("node").alias("label"), F.col("root").alias("key"))
+    relatives = members.select(F.col("doc_id").alias("member")).join(named, "member", "left")
+    relatives = relatives.select("member", F.coalesce("root", "member").alias("label")).join(families, "label")
+    cells = _cells(materialize(relatives.select("key", "member", "label"), "relatives"))
+    cells = cells.join(signatures, "member").join(texts.withColumnRenamed("doc_id", "member"), "member")
+    more = materialize(
+        _sorted_cells(cells, "signature", "text").mapInArrow(_by_cell(_linking(shingle, percent)), "u long, v long"), "more"
     )
-    more = confirmed(materialize(across, "across"), "more_links")
     if not more.isEmpty():
         star = roots.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
-        roots = connected(union_all(star, more.select(F.col("a").alias("u"), F.col("b").alias("v"))), materialize)
+        roots = connected(union_all(star, more), materialize)
 
     # A doc_id of several rows may stand in several classes.
     named = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
