@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from conceptree.llm.blocks import group_key, running_totals
 from conceptree.session import materialize
 
-#: The exponent is looked for between 0 (equal weights) and this.
+#: The exponent is looked for between 0 (equal weights) and this; 1 keeps the natural shares.
 STEEPEST = 8.0
 _SECTIONS, _ROUNDS = 32, 5
 
@@ -59,10 +59,13 @@ def _measures(shares: DataFrame, exponents: list[float], budget: float | None) -
     return sorted(out)
 
 
-def mixture(tokens: DataFrame, entropy: float, max_repeats: float, budget: float | None = None) -> Mixture:
+def mixture(
+    tokens: DataFrame, entropy: float, max_repeats: float, budget: float | None = None, steepest: float = STEEPEST
+) -> Mixture:
     """Weights for a table of (group, tokens).
 
-    ``entropy`` is the target over the greatest possible, 0 to 1. Without a ``budget`` it is the
+    ``entropy`` is the target over the greatest possible, 0 to 1; with ``steepest`` 1, weights are
+    flattened towards it but never sharpened. Without a ``budget`` it is the
     largest that repeats no source more than ``max_repeats`` times. With one, the exponent is raised
     until none is; if even natural shares repeat more, the budget is lowered to the limit.
     Groups without tokens have no weight.
@@ -86,7 +89,7 @@ def mixture(tokens: DataFrame, entropy: float, max_repeats: float, budget: float
                 break
         return high
 
-    exponent = search(0.0, STEEPEST, lambda h, _: h <= entropy)
+    exponent = search(0.0, steepest, lambda h, _: h <= entropy)
     if budget is not None and exponent < 1:
         exponent = search(exponent, 1.0, lambda _, r: r <= max_repeats * (1 + 1e-9))
     raised = F.exp(F.lit(exponent) * F.log("share"))
@@ -103,6 +106,7 @@ def mix_sources(
     entropy: float = 0.95,
     max_repeats: float = 4.0,
     budget: float | None = None,
+    steepest: float = STEEPEST,
     seed: int = 11,
     per_block: int = 1 << 20,
 ) -> DataFrame:
@@ -123,7 +127,11 @@ def mix_sources(
         "sized",
     )
     mixed = mixture(
-        materialize(sized.groupBy("group").agg(F.sum("n_tokens").alias("tokens")), "source_tokens"), entropy, max_repeats, budget
+        materialize(sized.groupBy("group").agg(F.sum("n_tokens").alias("tokens")), "source_tokens"),
+        entropy,
+        max_repeats,
+        budget,
+        steepest,
     )
     quotas = materialize(mixed.sources, "quotas")
     epochs = F.greatest(F.ceil(F.col("quota") / F.col("tokens") - 1e-9), F.lit(1)).cast("int")

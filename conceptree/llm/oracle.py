@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from conceptree.llm.rules import STOP_WORDS
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 _NEARDUP = rf"""
@@ -17,12 +19,12 @@ s as (
 ),
 n as (select doc_id, count(*) as n from s group by doc_id),
 pairs as (
-    select a.doc_id as a, b.doc_id as b, count(*) as both
+    select a.doc_id as a, b.doc_id as b, count(*) as n_both
     from s a join s b on a.x = b.x and a.doc_id < b.doc_id group by 1, 2
 ),
 links as (
     select a, b from pairs join n na on na.doc_id = a join n nb on nb.doc_id = b
-    where 100 * both >= 80 * (na.n + nb.n - both)
+    where 100 * n_both >= 80 * (na.n + nb.n - n_both)
 ),
 both_ways as (select a, b from links union all select b, a from links),
 reach as (
@@ -35,6 +37,95 @@ select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, c.component_id, d.doc_i
 from documents d join c using (doc_id) left join n using (doc_id)
 """
 
+_WARC = """
+with p as (
+    select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as hex,
+        max(page_id) over (partition by coalesce(html, '')) as top
+    from pages
+),
+b as (
+    select *, array_to_string(list_transform(range(1, 41),
+        lambda k: substr('0000000100100011010001010110011110001001101010111100110111101111',
+            4 * (strpos('0123456789abcdef', substr(hex, k, 1)) - 1) + 1, 4)), '') as bits
+    from p
+)
+select page_id, payload_bytes::bigint as payload_bytes,
+    array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+        + 16 * substr(bits, 5 * i + 1, 1)::int + 8 * substr(bits, 5 * i + 2, 1)::int + 4 * substr(bits, 5 * i + 3, 1)::int
+        + 2 * substr(bits, 5 * i + 4, 1)::int + substr(bits, 5 * i + 5, 1)::int, 1)), '') as payload_digest,
+    case when page_id = top then 'response' else 'revisit' end as record_type,
+    case when page_id <> top then top end as refers_to
+from b
+"""
+
+_PASSAGES = rf"""
+with w as (select doc_id, {_WORDS} as ws from documents),
+win as (
+    select doc_id, i, array_to_string(ws[i : i + 19], ' ') as x
+    from (select doc_id, ws, unnest(range(1, len(ws) - 18)) as i from w where len(ws) >= 20)
+),
+later as (
+    select doc_id, i from (select doc_id, i, row_number() over (partition by x order by doc_id, i) as r from win) where r > 1
+),
+gone as (select distinct doc_id, i + j as k from later, range(20) t(j)),
+left_over as (
+    select doc_id, count(*) as n, string_agg(word, ' ' order by k) as kept
+    from (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as k from w) anti join gone using (doc_id, k)
+    group by doc_id
+)
+select w.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint as n_removed,
+    sha256(coalesce(kept, '')) as kept_sha256
+from w left join left_over using (doc_id)
+"""
+
+_TOPK = """
+with e as (
+    select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings
+    where vec_id is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+    select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+    from e q join e c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0
+)
+select query_id, rank::int as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 20
+"""
+
+_STOPS = ", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS)))
+
+_RULES = rf"""
+with w as (
+    select doc_id, coalesce(text, '') as t, {_WORDS} as ws,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^ 	-
+]')) as ls
+    from documents
+),
+win as (
+    select doc_id, i, ws[i : i + 2] as x
+    from (select doc_id, ws, unnest(range(1, len(ws) - 1)) as i from w where len(ws) >= 3)
+),
+twice as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, x) as n from win) where n > 1),
+covered as (select doc_id, count(distinct i + j) as n from twice, range(3) t(j) group by doc_id),
+b as (
+    select w.doc_id, len(ws)::bigint as n_words, length(array_to_string(ws, ''))::bigint as word_chars,
+        (length(t) - length(translate(t, '#*$%&|<>', '')))::bigint as n_symbols,
+        (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, coalesce(c.n, 0)::bigint as n_repeat_words,
+        len(ls) as n_lines, len(list_filter(ws, lambda x: lower(x) in ({_STOPS}))) as n_stops
+    from w left join covered c using (doc_id)
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+    n_words between 50 and 1000000 and 2 * n_repeat_words <= n_words and word_chars / n_words between 2 and 14
+        and n_symbols / n_words <= 0.1 and n_stops / n_words >= 0.01 and n_dup_lines / n_lines <= 0.5
+        and n_words / n_lines >= 1 as kept
+from b
+"""
+
 SQL: dict[str, str] = {
+    "op1_warc": _WARC,
+    "op6_passages": _PASSAGES,
+    "op8_topk": _TOPK,
     "op9_neardup": _NEARDUP,
+    "op10_rules": _RULES,
 }
