@@ -6,7 +6,7 @@ word sequence also starts earlier (in a smaller doc_id, or earlier in the same d
 1. Each window is named by the smallest hash among its ``GRAM``-word runs, so equal windows have
    equal names, and neighbouring windows mostly share one. Names found once are left alone.
 2. Windows under the other names are confirmed as recurring by counting their own hashes. The
-   smallest (doc_id, start) of a recurring window is its home.
+   first place of a recurring window in the smallest doc_id is its home.
 3. The recurring windows at home in one document make up one shard: an automaton of their words,
    compiled from the text. Every document that holds any of them is streamed through it, which
    gives the place of each occurrence by its text, not by a hash.
@@ -27,8 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from conceptree.functions.tables import union_all
-from conceptree.llm.words import Words, bounded, grams, signed, sliding_min, small_batches
-from conceptree.session import materialize
+from conceptree.llm.words import Words, bounded, grams, signed, sliding_min, small_batches, stored
 
 WINDOW, GRAM = 20, 6
 
@@ -112,21 +111,25 @@ def _starts(runs: pa.ListScalar) -> np.ndarray:
     return np.concatenate([np.arange(a, b + 1) for a, b in runs.values.to_numpy().reshape(-1, 2).tolist()])
 
 
+def _hashed(whole: pa.RecordBatch) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, int]]:
+    """(doc_id, text, starts, their window hashes, row) of each document with its ``runs``."""
+    row = 0
+    for batch in bounded(whole, "text"):
+        words = Words(batch.column("text"))
+        windows = grams(words.hashes(), WINDOW)
+        columns = (batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), words.first.tolist(), batch.column("runs"))
+        for doc, text, first, runs in zip(*columns, strict=False):
+            at = _starts(runs)
+            yield doc, text.encode(), at, windows[first + at], row
+            row += 1
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(window, doc_id, start, n): the first start of each window in a document, and its count."""
-    for whole in batches:
-        for batch in bounded(whole, "text"):
-            words = Words(batch.column("text"))
-            windows = grams(words.hashes(), WINDOW)
-            for doc, first_word, runs in zip(
-                batch.column("doc_id").to_pylist(), words.first.tolist(), batch.column("runs"), strict=False
-            ):
-                at = _starts(runs)
-                window, first, n = np.unique(windows[first_word + at], return_index=True, return_counts=True)
-                yield pa.record_batch(
-                    [signed(window), pa.array(np.full(len(window), doc)), pa.array(at[first]), pa.array(n)],
-                    ["window", "doc_id", "start", "n"],
-                )
+    """(window, doc_id, n): how often each window occurs in a document."""
+    for batch in batches:
+        for doc, _, _, hashes, _ in _hashed(batch):
+            window, n = np.unique(hashes, return_counts=True)
+            yield pa.record_batch([signed(window), pa.array(np.full(len(window), doc)), pa.array(n)], ["window", "doc_id", "n"])
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,22 +151,43 @@ def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
     return [(int(p[0]), int(p[-1] - p[0]) + WINDOW) for p in np.split(starts, cuts) if len(p)]
 
 
+def _covered(text: bytes, starts: np.ndarray) -> tuple[list[int], list[str]]:
+    """Places and texts of the stretches that windows cover."""
+    words, runs = text.split(), _runs(starts)
+    return [a for a, _ in runs], [b" ".join(words[a : a + n]).decode() for a, n in runs]
+
+
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words that windows cover: places and texts of the stretches."""
+    """What is streamed of a document: the stretches that its windows under recurring names cover."""
     for batch in batches:
-        places, texts = [], []
-        own = "starts" in batch.schema.names
-        for text, at in zip(batch.column("text").to_pylist(), batch.column("starts" if own else "runs"), strict=True):
-            words = text.encode().split()
-            covered = _runs(np.sort(at.values.to_numpy()) if own else _starts(at))
-            places.append([a for a, _ in covered])
-            texts.append([b" ".join(words[a : a + n]).decode() for a, n in covered])
+        found = [_covered(text.encode(), _starts(runs)) for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs"), strict=True)]
         yield pa.record_batch(
-            [batch.column("doc_id"), pa.array(places, pa.list_(pa.int64())), pa.array(texts, pa.list_(pa.string()))],
+            [
+                batch.column("doc_id"),
+                pa.array([places for places, _ in found], pa.list_(pa.int64())),
+                pa.array([texts for _, texts in found], pa.list_(pa.string())),
+            ],
             ["doc_id", "places", "texts"],
         )
 
 
+def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The stretches and first starts of the recurring windows that are at home in a document."""
+    for batch in batches:
+        wanted = batch.column("windows")
+        out: list[list] = [[], [], [], []]
+        for doc, text, at, hashes, row in _hashed(batch):
+            window, first = np.unique(hashes, return_index=True)
+            own = np.isin(window, wanted[row].values.to_numpy().view(np.uint64))
+            starts = np.sort(at[first[own]])
+            for column, value in zip(out, (doc, *_covered(text, starts), starts), strict=True):
+                column.append(value)
+        kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int64()))
+        yield pa.record_batch(
+            [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["home", "home_places", "home_texts", "home_starts"]
+        )
+
+
 class Shard:
     """Automaton of the recurring windows that are at home in one document."""
 
@@ -242,10 +266,10 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    named = materialize(rows.where("doc_id is not null").mapInArrow(_names, "name long, doc_id long, n long"), "names")
+    named = stored(rows.where("doc_id is not null").mapInArrow(_names, "name long, doc_id long, n long"), "names")
     recurring = named.groupBy("name").agg(F.sum("n").alias("all")).where("all > 1").select("name")
     wanted = named.join(recurring, "name").groupBy("doc_id").agg(F.collect_list("name").alias("names"))
-    split = materialize(
+    split = stored(
         rows.join(wanted, "doc_id", "left").mapInArrow(
             _split,
             "doc_id long, n_words long, kept_sha256 string, text string, runs array<long>",
@@ -254,42 +278,32 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     )
     done = split.where("text is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256")
     open_docs = split.where("text is not null")
-    windows = materialize(
-        open_docs.select("doc_id", "text", "runs")
-        .mapInArrow(lambda b: _merged(_windows(b)), "window long, doc_id long, start long, n long"),
+    windows = stored(
+        open_docs.select("doc_id", "text", "runs").mapInArrow(lambda b: _merged(_windows(b)), "window long, doc_id long, n long"),
         "windows",
     )
-    homes = materialize(
-        windows.groupBy("window")
-        .agg(F.min(F.struct("doc_id", "start")).alias("home"), F.sum("n").alias("n"))
-        .where("n > 1")
-        .select("window", F.col("home.doc_id").alias("home"), F.col("home.start").alias("home_start")),
+    homes = stored(
+        windows.groupBy("window").agg(F.min("doc_id").alias("home"), F.sum("n").alias("all")).where("all > 1").drop("all"),
         "homes",
     )
-    stretch = "doc_id long, places array<long>, texts array<string>"
-    routes = windows.join(homes, "window").select("home", "doc_id").distinct()
-    # What of a document is streamed: the stretches that its windows under recurring names cover.
-    streamed = open_docs.select("doc_id", "text", "runs").mapInArrow(_stretches, stretch)
-    shards = homes.groupBy(F.col("home").alias("doc_id")).agg(F.collect_list("home_start").alias("starts"))
-    texts = open_docs.select("doc_id", "text").join(shards, "doc_id")
-    shards = materialize(
-        texts.mapInArrow(_stretches, stretch)
-        .join(shards, "doc_id")
-        .select(
-            F.col("doc_id").alias("home"),
-            F.col("places").alias("home_places"),
-            F.col("texts").alias("home_texts"),
-            F.col("starts").alias("home_starts"),
-        ),
+    routes = windows.join(homes, "window").where("doc_id <> home or n > 1").select("home", "doc_id").distinct()
+    routes = stored(routes, "routes")
+    at_home = homes.groupBy(F.col("home").alias("doc_id")).agg(F.collect_list("window").alias("windows"))
+    shards = stored(
+        open_docs.select("doc_id", "text", "runs")
+        .join(at_home, "doc_id")
+        .mapInArrow(_homes, "home long, home_places array<long>, home_texts array<string>, home_starts array<long>"),
         "shards",
     )
-    located = (
+    streamed = open_docs.select("doc_id", "text", "runs").mapInArrow(_stretches, "doc_id long, places array<long>, texts array<string>")
+    located = stored(
         routes.join(streamed, "doc_id")
         .join(shards, "home")
         .sortWithinPartitions("home")
         .mapInArrow(_located, "doc_id long, covered array<long>")
         .groupBy("doc_id")
-        .agg(F.flatten(F.collect_list("covered")).alias("covered"))
+        .agg(F.flatten(F.collect_list("covered")).alias("covered")),
+        "located",
     )
     changed = (
         open_docs.select("doc_id", "n_words", "text")

@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from conceptree.functions.tables import union_all
+from conceptree.session import materialize
 
 #: Rows of one Arrow batch: bounds what a Python worker holds, whatever the texts' length.
 BATCH_ROWS = 1000
@@ -44,6 +45,16 @@ def small_batches(spark: SparkSession) -> None:
         paths["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``materialize``, and let Spark delete the shuffle files of the jobs that are done.
+
+    It does so when the driver's garbage is collected, which may else be long after.
+    """
+    out = materialize(df, label)
+    df.sparkSession._jvm.System.gc()
+    return out
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(30))
     h *= _MIX1
