@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from conceptree.functions.tables import union_all
-from conceptree.llm.words import Words, bounded, grams, signed, sliding_min, small_batches, stored
+from conceptree.llm.words import Words, bounded, discard, grams, signed, sliding_min, small_batches, stored
 
 WINDOW, GRAM = 20, 6
 
@@ -276,6 +276,7 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
         ),
         "split",
     )
+    discard(named)
     done = split.where("text is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256")
     open_docs = split.where("text is not null")
     windows = stored(
@@ -288,6 +289,7 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
     )
     routes = windows.join(homes, "window").where("doc_id <> home or n > 1").select("home", "doc_id").distinct()
     routes = stored(routes, "routes")
+    discard(windows)
     at_home = homes.groupBy(F.col("home").alias("doc_id")).agg(F.collect_list("window").alias("windows"))
     shards = stored(
         open_docs.select("doc_id", "text", "runs")
@@ -295,6 +297,7 @@ def remove_repeated_passages(docs: DataFrame) -> DataFrame:
         .mapInArrow(_homes, "home long, home_places array<long>, home_texts array<string>, home_starts array<long>"),
         "shards",
     )
+    discard(homes)
     streamed = open_docs.select("doc_id", "text", "runs").mapInArrow(_stretches, "doc_id long, places array<long>, texts array<string>")
     located = stored(
         routes.join(streamed, "doc_id")

@@ -55,6 +55,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the table behind a ``stored`` frame that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(30))
     h *= _MIX1
