@@ -29,8 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from conceptree.functions.tables import union_all
-from conceptree.llm.words import Words, bounded, connected, grams, mix, signed, small_batches
-from conceptree.session import materialize
+from conceptree.llm.words import Words, bounded, connected, discard, grams, mix, signed, small_batches, stored
 
 CHUNKS, PARTS = 16, 5
 SIZE = CHUNKS * PARTS
@@ -267,15 +266,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed_docs = materialize(
+    signed_docs = stored(
         rows.mapInArrow(_signatures(shingle), "doc_id long, n_shingles long, digest binary, signature binary"), "signatures"
     )
     able = signed_docs.where("n_shingles > 0 and doc_id is not null")
-    classes = materialize(
+    classes = stored(
         able.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes"
     )
     by_key = W.partitionBy("key")
-    buckets = materialize(
+    buckets = stored(
         classes.select("rep", "signature")
         .mapInArrow(_keys, "key long, member long")
         .withColumn("pivot", F.min("member").over(by_key))
@@ -284,7 +283,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         "buckets",
     )
     members = buckets.select(F.col("member").alias("doc_id")).distinct()
-    texts = materialize(rows.join(members, "doc_id").select("doc_id", "text"), "texts")
+    texts = stored(rows.join(members, "doc_id").select("doc_id", "text"), "texts")
     signatures = classes.select(F.col("rep").alias("member"), "signature")
 
     # Each member against the smallest it shares a key with.
@@ -293,25 +292,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     pairs = first.select(F.col("pivot").alias("a"), F.col("member").alias("b")).join(right, "b").join(left, "a")
     pairs = pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(shingle, percent), "a long, b long")
-    links = materialize(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
-    roots = connected(links, materialize)
+    links = stored(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+    roots = connected(links, stored)
 
     # Buckets in which different components meet show the families to search.
     named = roots.select(F.col("node").alias("member"), "root")
     labelled = buckets.join(named, "member", "left").select("key", "member", F.coalesce("root", "member").alias("label"))
-    cells = _cells(materialize(labelled, "labelled")).join(signatures, "member")
+    labelled = stored(labelled, "labelled")
+    discard(buckets)
+    cells = _cells(labelled).join(signatures, "member")
     meeting = _sorted_cells(cells, "signature").mapInArrow(_by_cell(_meeting), "u long, v long").distinct()
-    families = connected(meeting, materialize).select(F.col("node").alias("label"), F.col("root").alias("key"))
-    relatives = members.select(F.col("doc_id").alias("member")).join(named, "member", "left")
+    families = connected(meeting, stored).select(F.col("node").alias("label"), F.col("root").alias("key"))
+    relatives = texts.select(F.col("doc_id").alias("member")).distinct().join(named, "member", "left")
     relatives = relatives.select("member", F.coalesce("root", "member").alias("label")).join(families, "label")
-    cells = _cells(materialize(relatives.select("key", "member", "label"), "relatives"))
+    cells = _cells(stored(relatives.select("key", "member", "label"), "relatives"))
     cells = cells.join(signatures, "member").join(texts.withColumnRenamed("doc_id", "member"), "member")
-    more = materialize(
+    more = stored(
         _sorted_cells(cells, "signature", "text").mapInArrow(_by_cell(_linking(shingle, percent)), "u long, v long"), "more"
     )
     if not more.isEmpty():
         star = roots.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
-        roots = connected(union_all(star, more), materialize)
+        roots = connected(union_all(star, more), stored)
 
     # A doc_id of several rows may stand in several classes.
     named = classes.join(roots, F.col("rep") == F.col("node"), "left").select(

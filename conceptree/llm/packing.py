@@ -11,7 +11,7 @@ reaches beyond its group, the source starts the next group with that deficit.
 
 Windows have ``LENGTH`` tokens; what is left at the end of a group is cut into windows whose sizes
 are powers of two, so no padding is needed anywhere. Only lengths are scheduled: texts are
-tokenised once to count and once to cut, and shuffled once.
+tokenised once, and the ids are stored and shuffled once to be cut.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from conceptree.llm.blocks import group_key, running_totals
 from conceptree.llm.tokens import WordTokenizer
-from conceptree.llm.words import bounded, small_batches
+from conceptree.llm.words import bounded, small_batches, stored
 from conceptree.session import materialize
 
 LENGTH = 4096
@@ -33,13 +33,19 @@ GROUP = 1 << 19
 _WINDOW_BITS = 24
 
 
-def _counts(name: str, end: int):
+def _tokenised(name: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer(name, end)
         for whole in batches:
             for batch in bounded(whole, "text"):
+                ids, first = tokenizer.encode(batch.column("text"))
+                data = ids.astype(tokenizer.width).tobytes()
+                width = np.dtype(tokenizer.width).itemsize
+                own = [data[a * width : b * width] for a, b in zip(first.tolist(), first[1:].tolist(), strict=False)]
                 kept = [batch.column(c) for c in ("doc_id", "source", "mark")]
-                yield pa.record_batch([*kept, pa.array(tokenizer.counts(batch.column("text")))], ["doc_id", "source", "mark", "n"])
+                yield pa.record_batch(
+                    [*kept, pa.array(np.diff(first)), pa.array(own, pa.binary())], ["doc_id", "source", "mark", "n", "ids"]
+                )
 
     return run
 
@@ -109,36 +115,33 @@ def _schedules(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def _cut(name: str, end: int):
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pieces of each document with a checksum of their ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(name, end)
-        for whole in batches:
-            for batch in bounded(whole, "text"):
-                ids, first = tokenizer.encode(batch.column("text"))
-                ids = ids.astype("<u4")
-                pieces = batch.column("pieces")
-                held = np.diff(pieces.offsets.to_numpy())
-                flat = pieces.flatten()
-                start, length = (flat.field(f).to_numpy() for f in ("start", "length"))
-                owner = np.repeat(np.arange(len(held)), held)
-                begin = first[owner] + start
-                sums = [zlib.crc32(ids[a:b]) for a, b in zip(begin.tolist(), (begin + length).tolist(), strict=True)]
-                yield pa.record_batch(
-                    [
-                        batch.column("doc_id").take(pa.array(owner)),
-                        flat.field("start"),
-                        flat.field("length"),
-                        pa.array(sums, pa.int64()),
-                        pa.array(np.diff(first)[owner]),
-                        flat.field("sequence_id"),
-                        flat.field("offset"),
-                    ],
-                    ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
-                )
-
-    return run
+    for batch in batches:
+        pieces = batch.column("pieces")
+        n = batch.column("n").to_numpy()
+        held = np.diff(pieces.offsets.to_numpy())
+        flat = pieces.flatten()
+        owner = np.repeat(np.arange(len(held)), held)
+        start, length = (flat.field(f).to_numpy() for f in ("start", "length"))
+        sums, last, ids = [], -1, np.zeros(0)
+        for row, a, k in zip(owner.tolist(), start.tolist(), length.tolist(), strict=True):
+            if row != last:
+                data, last = batch.column("ids")[row].as_py(), row
+                ids = np.frombuffer(data, f"<u{len(data) // n[row]}").astype("<u4")
+            sums.append(zlib.crc32(ids[a : a + k]))
+        yield pa.record_batch(
+            [
+                batch.column("doc_id").take(pa.array(owner)),
+                flat.field("start"),
+                flat.field("length"),
+                pa.array(sums, pa.int64()),
+                pa.array(n[owner]),
+                flat.field("sequence_id"),
+                flat.field("offset"),
+            ],
+            ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
+        )
 
 
 def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int = 2, seed: int = 5) -> DataFrame:
@@ -157,10 +160,10 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int = 2, se
         "doc_id", F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text")
     ).withColumn("mark", F.concat_ws("|", group_key("doc_id"), F.hex(F.xxhash64("text"))))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    counted = materialize(
-        rows.mapInArrow(_counts(tokenizer, end), f"doc_id {kind}, source string, mark string, n long"), "token_counts"
+    coded = stored(
+        rows.mapInArrow(_tokenised(tokenizer, end), f"doc_id {kind}, source string, mark string, n long, ids binary"), "tokens"
     )
-    copies = counted.groupBy("doc_id", "source", "mark", "n").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    copies = coded.groupBy("doc_id", "source", "mark", "n").agg(F.count(F.lit(1)).cast("int").alias("copies"))
     copies = materialize(copies.withColumn("queue", group_key("source")), "queued")
     repeated = not copies.groupBy("mark").agg(F.sum("copies").alias("all")).where("all > 1").isEmpty()
     total = copies.agg(F.sum(F.col("n") * F.col("copies"))).first()[0] or 1
@@ -177,13 +180,13 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end: int = 2, se
         .agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("pieces"))
     )
     if repeated:
-        rows = rows.dropDuplicates(["mark"])
+        coded = coded.dropDuplicates(["mark"])
     return (
-        rows.select("doc_id", "text", "mark")
+        coded.select("doc_id", "n", "ids", "mark")
         .join(pieces, "mark")
-        .select("doc_id", "text", "pieces")
+        .select("doc_id", "n", "ids", "pieces")
         .mapInArrow(
-            _cut(tokenizer, end),
+            _cut,
             f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
         )
     )
