@@ -45,16 +45,14 @@ def number_rows(df: DataFrame, order: list[str], name: str = "id", start: int =
 def number_within(df: DataFrame, key: str, order: list[str], name: str = "rank") -> DataFrame:
     """Number the rows of each ``key`` from 1 in the order of ``order``.
 
-    A key's rows are consecutive in the overall numbering, so its first number is enough.
-    Only keys that repeat are joined back; a hot one is split by the adaptive skew join.
+    Only the rows of keys that repeat are sorted. A key's rows are consecutive in their
+    numbering, so its first number is enough; a hot key is split by the adaptive skew join.
     """
-    numbered = number_rows(df, [key, *order], "_g")
-    repeated = (
-        numbered.groupBy(key)
-        .agg(F.min("_g").alias("_first"), F.max("_g").alias("_last"))
-        .where("_first < _last")
-        .drop("_last")
-    )
-    return numbered.join(repeated, key, "left").select(
-        *df.columns, (F.coalesce(F.col("_g") - F.col("_first"), F.lit(0)) + 1).cast("long").alias(name)
+    rows = materialize(
+        df.join(df.groupBy(key).count().where("count > 1").select(key, F.lit(True).alias("_repeats")), key, "left"), "repeats"
     )
+    first = rows.where("_repeats is null").select(*df.columns, F.lit(1).cast("long").alias(name))
+    numbered = number_rows(rows.where("_repeats").drop("_repeats"), [key, *order], "_g")
+    starts = numbered.groupBy(key).agg(F.min("_g").alias("_first"))
+    again = numbered.join(starts, key).select(*df.columns, (F.col("_g") - F.col("_first") + 1).alias(name))
+    return first.unionByName(again)

@@ -31,7 +31,7 @@ def match_ranges(codes: DataFrame, ranges: DataFrame) -> DataFrame:
     )
 
     texts = codes.union(ranges.select("lo")).union(ranges.select("hi")).distinct()
-    places = materialize(number_rows(texts, ["code"], "at", start=0), "places")
+    places = number_rows(texts, ["code"], "at", start=0)
 
     level = F.col("level")
     points = (

@@ -72,29 +72,35 @@ def iterate(
     start: DataFrame,
     step: Callable[[DataFrame], DataFrame],
     label: str,
-    max_steps: int,
-    stop_at_max: bool = False,
+    max_steps: int | None = None,
+    once: bool = False,
+    loop: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Apply ``step`` to its own result until nothing comes out.
 
     Each result is one partition ``step=k`` (0 for ``start``) of a table in the shared
-    folder, and the whole table is returned. Only the newest result is joined again.
-    Going past ``max_steps`` is an error, as a cycle does, unless ``stop_at_max``.
+    folder, and the whole table is returned. Only the newest result is joined again. With
+    ``once``, rows that came out before are left out, so cycles end too. Otherwise ``loop``
+    names two columns that are equal only in a row of a cycle, which is an error that tells
+    its value. ``max_steps`` is a bound to stop at, not an error.
     """
     spark = start.sparkSession
     folder = new_table_path(spark, label)
     reader = spark.read.option("basePath", folder)
+    schema = StructType([*start.schema.fields, StructField("step", IntegerType())])
     frontier, k = start, 0
+    closed = F.max(F.when(F.col(loop[0]) == F.col(loop[1]), F.col(loop[0]))) if loop else F.lit(None)
     while True:
         path = f"{folder}/step={k}"
         frontier.write.parquet(path)
         frontier = spark.read.schema(start.schema).parquet(path)
-        if frontier.isEmpty():
+        count, at = frontier.agg(F.count(F.lit(1)), closed).first()
+        if at is not None:
+            raise ValueError(f"{label}: the hierarchy has a cycle through {at}")
+        if not count or k == max_steps:
             break
-        if k == max_steps:
-            if stop_at_max:
-                break
-            raise ValueError(f"{label}: more than {max_steps} steps; the hierarchy has a cycle")
         frontier, k = step(frontier), k + 1
-    schema = StructType([*start.schema.fields, StructField("step", IntegerType())])
+        if once:
+            before = reader.schema(schema).parquet(folder).select(*start.columns)
+            frontier = frontier.distinct().join(before, start.columns, "left_anti")
     return reader.schema(schema).parquet(folder)

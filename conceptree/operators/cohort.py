@@ -80,22 +80,26 @@ def range_join_codes(facts: DataFrame, code: str, concepts: DataFrame) -> DataFr
 
 
 def cohort_counts(
-    catalog: DataFrame, datasets: dict[str, Dataset], ancestors: DataFrame | None = None
+    catalog: DataFrame,
+    datasets: dict[str, Dataset],
+    ancestors: DataFrame | None = None,
+    allow_missing: bool = False,
 ) -> DataFrame:
     """(external_id, patient_count): distinct people of its dataset that satisfy each concept.
 
-    Concepts of datasets that are not given are left out. Equal predicates are evaluated
+    A concept whose dataset is not given is an error, or with ``allow_missing`` has a null
+    count. Equal predicates are evaluated
     once, under a number: people are then told apart by two numbers, not by long texts.
     """
+    given = F.coalesce(F.col("predicate.dataset").isin(list(datasets)), F.lit(False))
+    missing = catalog.where(~given)
+    if not allow_missing and (first := missing.select("external_id", "predicate.dataset").first()):
+        raise ValueError(f"{first['external_id']}: no dataset {first['dataset']} is given")
     concepts = materialize(
-        catalog.where(F.col("predicate.dataset").isin(list(datasets))).select(
-            "external_id", F.to_json("predicate").alias("test"), "predicate"
-        ),
-        "concepts",
-    )
-    tests = materialize(
-        number_rows(concepts.select("test", "predicate.*").distinct(), ["test"], "test_id"), "tests"
+        catalog.where(given).select("external_id", F.to_json("predicate").alias("test"), "predicate"), "concepts"
     )
+    uncounted = missing.select("external_id", F.lit(None).cast("long").alias("patient_count")).distinct()
+    tests = number_rows(concepts.select("test", "predicate.*").distinct(), ["test"], "test_id")
 
     def count(group: Row) -> DataFrame:
         mine, data = _only(tests, group), datasets[group["dataset"]]
@@ -106,15 +110,16 @@ def cohort_counts(
     # As many rows as there are datasets and tested columns, however many concepts.
     groups = tests.select("dataset", "field", "other").distinct().collect()
     if not groups:
-        return concepts.select("external_id", F.lit(0).cast("long").alias("patient_count"))
+        return uncounted
     counts = at_once(catalog.sparkSession, *[partial(count, group) for group in groups])
     found = tests.select("test", "test_id").join(union_all(*counts), "test_id", "left")
-    return (
+    counted = (
         concepts.select("external_id", "test")
         .distinct()
         .join(found, "test")
         .select("external_id", F.coalesce("patient_count", F.lit(0)).alias("patient_count"))
     )
+    return counted.unionByName(uncounted) if allow_missing else counted
 
 
 def _only(tests: DataFrame, group: Row) -> DataFrame:
@@ -179,9 +184,13 @@ def _people_counts(tests: DataFrame, people: DataFrame, value: str | None, ances
 
 
 def numeric_concept_values(
-    catalog: DataFrame, datasets: dict[str, Dataset], as_of: date
+    catalog: DataFrame, datasets: dict[str, Dataset], as_of: date, ancestors: DataFrame | None = None
 ) -> DataFrame:
-    """(external_id, person_id, value) of the numeric concepts: ages and measured numbers."""
+    """(external_id, person_id, value) of the numeric concepts: ages and measured numbers.
+
+    A measured number belongs to every numeric concept whose whole test its row passes, result
+    concepts and tests for several codes included.
+    """
     numeric = materialize(
         catalog.where("is_numeric").select("external_id", F.col("sql_field_numeric").alias("number"), "predicate.*"),
         "numeric",
@@ -193,23 +202,39 @@ def numeric_concept_values(
         columns = {c.lower(): c for c in data.rows.columns}
         for birth in ("birth_datetime", "birth_date"):
             if birth in columns:
-                # The age concepts hold for every person: no key to join on, so they come as
-                # one array, which has one entry in any catalog built here.
-                ages = mine.where(F.col("number").contains("DATEDIFF")).agg(F.collect_set("external_id"))
+                ages = mine.where(F.col("number").contains("DATEDIFF")).select("external_id", "dataset")
                 age = age_in_years(F.col(columns[birth]), F.lit(as_of).cast("date"))
                 parts.append(
-                    data.rows.select(person, age.alias("value"))
-                    .withColumn("ages", ages.scalar())
-                    .select(F.explode("ages").alias("external_id"), "person_id", "value")
+                    data.rows.select(person, age.alias("value"), F.lit(name).alias("dataset"))
+                    .join(ages, "dataset")
+                    .select("external_id", "person_id", "value")
                 )
         if "value_as_number" in columns:
-            tests = mine.where("number = '@.value_as_number' and kind = 'eq' and value_field is null").select(
-                "external_id", F.col("lo").cast("int").alias("measurement_concept_id")
-            )
-            parts.append(
-                data.rows.where("value_as_number is not null")
-                .select(person, "measurement_concept_id", F.col("value_as_number").alias("value"))
-                .join(tests, "measurement_concept_id")
-                .select("external_id", "person_id", "value")
-            )
+            parts += _measured_numbers(mine.where("number = '@.value_as_number'"), data, person, ancestors)
     return union_all(*parts)
+
+
+def _measured_numbers(
+    numeric: DataFrame, data: Dataset, person: Column, ancestors: DataFrame | None
+) -> list[DataFrame]:
+    """One frame for each tested column, further column, and kind of test (one code or several)."""
+    tests = numeric.select(F.col("external_id").alias("test_id"), "field", "kind", "lo", "hi", "value_field", "value")
+    parts = []
+    # As many rows as there are tested columns, however many concepts.
+    for field, value_field in tests.select("field", "value_field").where("field is not null").distinct().collect():
+        mine = tests.where((F.col("field") == field) & F.col("value_field").eqNullSafe(F.lit(value_field)))
+        rows = data.rows.where(data.where[field]) if field in data.where else data.rows
+        on = ["code", "value"] if value_field else ["code"]
+        columns = [F.col(field).cast("string").alias("code")]
+        if value_field:
+            columns.append(F.col(value_field).cast("string").alias("value"))
+        numbers = rows.where("value_as_number is not null").select(person, *columns, F.col("value_as_number").alias("number"))
+        admitted = [mine.where("kind = 'eq'").select("test_id", F.col("lo").alias("code"), "value")]
+        several = mine.where("kind <> 'eq'")
+        if not several.isEmpty():
+            codes = lambda numbers=numbers: numbers.select("code")
+            admitted.append(admitted_codes(several, codes, ancestors).select("test_id", "code", "value"))
+        admitted = materialize(union_all(*admitted).select("test_id", *on).distinct(), "admitted")
+        found = numbers.join(admitted, on)
+        parts.append(found.select(F.col("test_id").alias("external_id"), "person_id", F.col("number").alias("value")))
+    return parts

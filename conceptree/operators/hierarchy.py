@@ -8,8 +8,6 @@ from conceptree import fixed_values as fixed
 from conceptree.functions.tables import iterate, update_from
 from conceptree.session import materialize
 
-MAX_STEPS = 100
-
 
 def hierarchy_levels(
     concept: DataFrame,
@@ -17,7 +15,6 @@ def hierarchy_levels(
     root_id: int = fixed.LAB_ROOT_CONCEPT_ID,
     vocabulary: str = fixed.LAB_VOCABULARY,
     relationship: str = fixed.LAB_RELATIONSHIP,
-    max_steps: int = MAX_STEPS,
 ) -> DataFrame:
     """Everything below the root: one row per (parent, child) with its smallest depth.
 
@@ -42,7 +39,7 @@ def hierarchy_levels(
         )
 
     root = members.where(F.col("concept_id") == root_id).select("concept_id")
-    reached = iterate(root, below, "levels", max_steps)
+    reached = iterate(root, below, "levels", once=True)
     depths = reached.groupBy("concept_id").agg(F.min("step").alias("step"))
     pairs = (
         depths.join(edges.distinct(), F.col("concept_id") == F.col("parent"))
@@ -68,11 +65,12 @@ def hierarchy_levels(
     )
 
 
-def transitive_closure(levels: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
+def transitive_closure(levels: DataFrame) -> DataFrame:
     """Every ancestor and descendant with the fewest and the most steps between them.
 
     Step k holds the distinct pairs that are k steps apart on some path, so the first and
-    the last step a pair turns up in are its minimum and maximum.
+    the last step a pair turns up in are its minimum and maximum. A concept that is its own
+    ancestor is an error that names it.
     """
     edges = materialize(
         levels.where("parent_concept_id is not null")
@@ -90,7 +88,7 @@ def transitive_closure(levels: DataFrame, max_steps: int = MAX_STEPS) -> DataFra
 
     start = edges.select(F.col("parent").alias("ancestor"), F.col("child").alias("descendant"))
     return (
-        iterate(start, extend, "closure", max_steps)
+        iterate(start, extend, "closure", loop=("ancestor", "descendant"))
         .groupBy(F.col("ancestor").alias("ancestor_concept_id"), F.col("descendant").alias("descendant_concept_id"))
         .agg(
             (F.min("step") + 1).alias("min_levels_of_separation"),
@@ -109,8 +107,8 @@ def backfill_ancestors(concept_ancestor: DataFrame, closure: DataFrame) -> DataF
     return concept_ancestor.unionByName(materialize(missing, "missing"))
 
 
-def descendant_closure(edges: DataFrame, nodes: DataFrame, max_depth: int = 10) -> DataFrame:
-    """Distinct (aui, child_aui): each node itself and its descendants down to ``max_depth``."""
+def descendant_closure(edges: DataFrame, nodes: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """Distinct (aui, child_aui): each node itself and its descendants, with ``max_depth`` down to that level."""
     links = materialize(edges.select(F.col("parent_aui").alias("above"), F.col("aui").alias("below")), "edges")
 
     def extend(pairs: DataFrame) -> DataFrame:
@@ -121,8 +119,7 @@ def descendant_closure(edges: DataFrame, nodes: DataFrame, max_depth: int = 10)
         )
 
     start = nodes.select("aui", F.col("aui").alias("child_aui")).distinct()
-    found = iterate(start, extend, "descendants", max_depth, stop_at_max=True)
-    return found.select("aui", "child_aui").distinct()
+    return iterate(start, extend, "descendants", max_depth, once=True).select("aui", "child_aui")
 
 
 def parent_link(catalog: DataFrame, relink: DataFrame | None = None) -> DataFrame:
@@ -141,7 +138,7 @@ def parent_link(catalog: DataFrame, relink: DataFrame | None = None) -> DataFram
     return update_from(inside, "external_parent_id", catalog, "external_id", "id", "parent_id").unionByName(outside)
 
 
-def root_assign(catalog: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
+def root_assign(catalog: DataFrame) -> DataFrame:
     """Set ``root_id`` from the root above each concept, only where it is null."""
     links = materialize(
         catalog.where("parent_id is not null").select(F.col("id").alias("child"), F.col("parent_id").alias("parent")),
@@ -152,5 +149,5 @@ def root_assign(catalog: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
         return nodes.join(links, nodes["node"] == links["parent"]).select("root", F.col("child").alias("node"))
 
     roots = catalog.where("is_root").select(F.col("id").alias("root"), F.col("id").alias("node"))
-    reached = iterate(roots, below, "roots", max_steps)
+    reached = iterate(roots, below, "roots", once=True)
     return update_from(catalog, "id", reached, "node", "root", "root_id", F.col("root_id").isNull())

@@ -14,8 +14,6 @@ from conceptree.operators.registry import fixed_rows, sql_set
 from conceptree.schema import ONTOLOGY, as_catalog, conform, predicate
 from conceptree.session import materialize
 
-NAME_LENGTH = 400
-
 
 def vocabulary_terms(mrconso: DataFrame, vocabulary: str) -> DataFrame:
     """The terms of one source vocabulary."""
@@ -38,14 +36,14 @@ def ontology_nodes(edges: DataFrame, terms: DataFrame) -> DataFrame:
     nodes = (
         terms.join(used, "aui", "left_semi")
         .groupBy("aui", "code")
-        .agg(F.min(cut(F.col("str"), NAME_LENGTH)).alias("own_name"))
+        .agg(F.min("str").alias("own_name"))
         .join(parents, "aui", "left")
         .select("aui", "code", "own_name", F.col("above").isNotNull().alias("is_parent"))
     )
     preferred = (
         terms.where("tty = 'PT' and code is not null")
         .groupBy("code")
-        .agg(F.min(cut(F.col("str"), NAME_LENGTH)).alias("preferred"))
+        .agg(F.min("str").alias("preferred"))
     )
     # A parent's code is not looked up; its own id as key keeps parents from gathering in one task.
     is_parent = F.col("is_parent")
@@ -79,9 +77,9 @@ def minmax_codes(closure: DataFrame, nodes: DataFrame) -> DataFrame:
 def code_test(low: Column, high: Column, count: Column) -> Column:
     """`= 'A'` for one code, `IN ('A','B')` for two, `BETWEEN 'A' AND 'B'` for more."""
     return (
-        F.when(count == 1, F.format_string("= '%s'", low))
-        .when(count == 2, F.format_string("IN ('%s','%s')", low, high))
-        .otherwise(F.format_string("BETWEEN '%s' AND '%s'", low, high))
+        F.when(count == 1, F.concat(F.lit("= '"), low, F.lit("'")))
+        .when(count == 2, F.concat(F.lit("IN ('"), low, F.lit("','"), high, F.lit("')")))
+        .otherwise(F.concat(F.lit("BETWEEN '"), low, F.lit("' AND '"), high, F.lit("'")))
     )
 
 
@@ -147,11 +145,20 @@ def ontology_to_catalog(
 
 
 def dedupe_suffix(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Make ``key`` unique: the second row of a value gets ``_2``, the third ``_3``, ..."""
-    rank = F.col("_rank")
-    return number_within(rows, key, order, "_rank").select(
-        *[c for c in rows.columns if c != key],
-        F.when(rank > 1, F.concat(key, F.lit("_"), rank.cast("string"))).otherwise(F.col(key)).alias(key),
+    """Make ``key`` unique: the second row of a value gets ``_2``, the third ``_3``, ...
+
+    Where such a name is a value of its own already, all suffixes get one more underscore.
+    """
+    rank, suffix = F.col("_rank"), "_"
+    numbered = number_within(rows, key, order, "_rank")
+    while True:
+        name = F.concat(key, F.lit(suffix), rank.cast("string"))
+        taken = numbered.where(rank > 1).select(name.alias(key)).join(numbered.where(rank == 1).select(key), key, "left_semi")
+        if taken.isEmpty():
+            break
+        suffix += "_"
+    return numbered.select(
+        *[c for c in rows.columns if c != key], F.when(rank > 1, name).otherwise(F.col(key)).alias(key)
     ).select(*rows.columns)
 
 
@@ -170,7 +177,6 @@ class CodeCatalog:
     text: str
     parent_urn: str
     top_aui: str | None = None  # if set: synthetic top row, children of this node moved to it
-    cut_name: bool = True
 
 
 _DIAGNOSES = ("dx", None, False, True, True, "dbo.DIAGNOSIS", None, None,
@@ -181,7 +187,7 @@ _PROCEDURES = ("px", None, False, True, True, "dbo.PROCEDURES", None, None,
 # fixed values
 ICD10 = CodeCatalog(
     "dx:icd10", "dbo.DIAGNOSIS", "DX_TYPE", "10", "DX", "Had diagnosis of ", _DIAGNOSES,
-    "ICD-10", "Have had a diagnosis coded in ICD-10", "dx", cut_name=False,
+    "ICD-10", "Have had a diagnosis coded in ICD-10", "dx",
 )
 CPT = CodeCatalog(
     "px:cpt", "dbo.PROCEDURES", "PX_TYPE", "CH", "PX", "Had the procedure ", _PROCEDURES,
@@ -194,12 +200,17 @@ ICD10PCS = CodeCatalog(
 
 
 def universal_id_catalog(
-    ontology: DataFrame, registry: DataFrame, kind: CodeCatalog, top_aui: str | None = None
+    ontology: DataFrame,
+    registry: DataFrame,
+    kind: CodeCatalog,
+    top_aui: str | None = None,
+    name_length: int | None = None,
 ) -> DataFrame:
     """Catalog rows named by their codes (``urn:...:min_max``) instead of by node.
 
-    The vocabulary's top row is the node without parent, or, with a top AUI, a synthetic
-    row that takes over that node's children.
+    The vocabulary's top rows are its nodes without parent, or, with a top AUI, a synthetic
+    row that takes over that node's children and any other node without parent. Names are
+    kept whole unless ``name_length`` cuts them.
     """
     spark = ontology.sparkSession
     top_aui = top_aui or kind.top_aui
@@ -224,16 +235,17 @@ def universal_id_catalog(
     ids = rows.groupBy(F.col("aui").alias("parent_aui")).agg(F.min("universal_id").alias("external_parent_id"))
     below = rows.where("parent_aui is not null")
     if top_aui is None:
-        top = rows.where("parent_aui is null").agg(F.min("universal_id").alias("universal_id"))
+        top = rows.where("parent_aui is null").select("universal_id")
         coded = below.join(ids, "parent_aui", "left")
     else:
         top = spark.range(1).select(F.lit(prefix).alias("universal_id"))
-        moved = F.col("parent_aui") == top_aui
+        moved = F.col("parent_aui").isNull() | (F.col("parent_aui") == top_aui)
+        below = rows.where((F.col("aui") != top_aui) | F.col("parent_aui").isNotNull())
         coded = below.join(ids, "parent_aui", "left").withColumn(
             "external_parent_id", F.when(moved, F.lit(prefix)).otherwise(F.col("external_parent_id"))
         )
 
-    name = cut(F.col("ui_display_name"), NAME_LENGTH) if kind.cut_name else F.col("ui_display_name")
+    name = cut(F.col("ui_display_name"), name_length) if name_length else F.col("ui_display_name")
     set_id = sql_set(registry, kind.dataset)
     parts = [
         as_catalog(

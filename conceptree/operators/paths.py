@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from conceptree.session import materialize
 
-MAX_TOKENS = 20
 
-
-def path_decode(hier: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
+def path_decode(hier: DataFrame, max_tokens: int | None = None) -> DataFrame:
     """Distinct (parent_aui, aui) edges from (aui, ptr) rows.
 
     ``ptr`` lists a node's ancestors from the root down, dot-separated, the node itself
@@ -17,13 +15,13 @@ def path_decode(hier: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     neighbours. The node hangs under the last ancestor of its longest path; equal lengths
     give several parents. A path's end counts as one step longer than the ancestor it
     repeats, but with the smallest position at which that end occurs on any of the node's
-    paths. Only the first ``max_tokens`` ancestors of a path are read.
+    paths. With ``max_tokens`` only that many first ancestors of a path are read.
     """
     whole = F.split(F.col("ptr"), r"\.")
     closed = F.col("ptr").endswith(".")  # a final dot: nothing follows, the end is not repeated
     names = F.transform(F.when(closed, F.slice(whole, 1, F.size(whole) - 1)).otherwise(whole), lambda step: F.trim(step))
     steps = F.when(closed | (F.col("ptr") == ""), names).otherwise(F.concat(names, F.slice(names, -1, 1)))
-    kept = F.slice(F.col("steps"), 1, max_tokens)
+    kept = F.col("steps") if max_tokens is None else F.slice(F.col("steps"), 1, max_tokens)
 
     found = materialize(
         hier.where(F.col("ptr").isNotNull())

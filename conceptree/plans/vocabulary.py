@@ -14,15 +14,18 @@ from conceptree.operators.ontology import (
     vocabulary_paths,
     vocabulary_terms,
 )
-from conceptree.operators.paths import MAX_TOKENS, path_decode
+from conceptree.operators.paths import path_decode
 from conceptree.schema import CONCEPT, conform
 from conceptree.session import materialize
 
 
 def get_ontology(
-    mrconso: DataFrame, mrhier: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS, max_depth: int = 10
+    mrconso: DataFrame, mrhier: DataFrame, vocabulary: str, max_tokens: int | None = None, max_depth: int | None = None
 ) -> DataFrame:
-    """The hierarchy of one vocabulary with its code ranges."""
+    """The hierarchy of one vocabulary with its code ranges.
+
+    Paths and levels are followed to their end unless ``max_tokens`` or ``max_depth`` bound them.
+    """
     terms = vocabulary_terms(mrconso, vocabulary)
     edges = materialize(path_decode(vocabulary_paths(mrhier, terms), max_tokens), "edges")
     nodes = materialize(ontology_nodes(edges, terms), "nodes")

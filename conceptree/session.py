@@ -67,7 +67,7 @@ def at_once(spark: SparkSession, *builds: Callable[[], DataFrame]) -> list[DataF
     one long job over the facts instead of waiting for it.
     """
     target = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(len(builds)) as pool:
+    with ThreadPoolExecutor(min(len(builds), 8)) as pool:
         return [f.result() for f in [pool.submit(target(build)) for build in builds]]
 
 

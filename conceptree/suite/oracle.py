@@ -21,7 +21,10 @@ def _with(body: str) -> str:
             needed.add(name)
             pending.append(_TABLES[name])
     listed = ",\n".join(f"{name} AS (\n{_TABLES[name].strip()}\n)" for name in _TABLES if name in needed)
-    return f"WITH RECURSIVE {listed}\n{body.strip()}" if listed else body.strip()
+    body = body.strip()
+    if listed and body.startswith("WITH "):  # a query with a subquery of its own
+        return f"WITH RECURSIVE {listed},\n{body.removeprefix('WITH ')}"
+    return f"WITH RECURSIVE {listed}\n{body}" if listed else body
 
 
 def all_oracles() -> dict[str, str]:
@@ -156,7 +159,7 @@ FROM paths WHERE ptr IS NOT NULL
 UNION ALL
 SELECT aui, CASE instr(rest, '.') WHEN 0 THEN rest ELSE left(rest, instr(rest, '.') - 1) END, code, n + 1,
        nullif(right(rest, CASE instr(rest, '.') WHEN 0 THEN length(rest) ELSE length(rest) - instr(rest, '.') END), '')
-FROM tokens WHERE rest IS NOT NULL AND n < 19
+FROM tokens WHERE rest IS NOT NULL AND NOT (instr(rest, '.') = 0 AND rest = code AND code = before)
 """
 _TABLES["codes_found"] = "SELECT code, before, aui, min(n) AS n FROM tokens GROUP BY code, before, aui"
 _TABLES["edges"] = """
@@ -167,15 +170,15 @@ SELECT code, aui FROM codes_found f WHERE n = (SELECT max(n) FROM codes_found g
 _TABLES["all_codes"] = """
 SELECT a.aui, CASE WHEN a.aui IN (SELECT parent_aui FROM edges) THEN NULL ELSE a.code END AS code,
        CASE WHEN a.aui IN (SELECT parent_aui FROM edges) THEN 1 ELSE 0 END AS is_parent,
-       CASE WHEN a.aui IN (SELECT parent_aui FROM edges) THEN left(a.str, 400)
-            ELSE coalesce((SELECT min(left(p.str, 400)) FROM terms p WHERE p.tty = 'PT' AND p.code = a.code), left(a.str, 400)) END AS name
+       CASE WHEN a.aui IN (SELECT parent_aui FROM edges) THEN a.str
+            ELSE coalesce((SELECT min(p.str) FROM terms p WHERE p.tty = 'PT' AND p.code = a.code), a.str) END AS name
 FROM terms a
 WHERE a.aui IN (SELECT aui FROM edges) OR a.aui IN (SELECT parent_aui FROM edges)
 """
 _TABLES["reach"] = """
-SELECT aui, aui AS child_aui, 0 AS n FROM all_codes
+SELECT aui, aui AS child_aui FROM all_codes
 UNION
-SELECT r.aui, e.aui, r.n + 1 FROM reach r JOIN edges e ON r.child_aui = e.parent_aui WHERE r.n < 10
+SELECT r.aui, e.aui FROM reach r JOIN edges e ON r.child_aui = e.parent_aui
 """
 _TABLES["minmax"] = """
 SELECT d.aui, min(c.code) AS min_code, max(c.code) AS max_code, count(DISTINCT c.code) AS code_count
@@ -197,15 +200,15 @@ FROM (SELECT *, row_number() OVER (PARTITION BY base ORDER BY aui, parent_aui NU
 """
 
 
-def _coded(urn, dataset_id, type_field, type_value, field, had, group, label, text, cut, top):
-    name = "left(ui_display_name, 400)" if cut else "ui_display_name"
+def _coded(urn, dataset_id, type_field, type_value, field, had, group, label, text, top):
+    name = "ui_display_name"
     parent = f"(SELECT min(y.id) FROM named_ids y WHERE y.aui = x.parent_aui)"
     parent_id = f"'{urn}:' || {parent}"
     if top:
-        parent_id = f"CASE WHEN parent_aui = '{top}' THEN '{urn}' ELSE {parent_id} END"
-        top_id = f"'{urn}'"
+        parent_id = f"CASE WHEN parent_aui IS NULL OR parent_aui = '{top}' THEN '{urn}' ELSE {parent_id} END"
+        top_id, tops, rest = f"'{urn}'", "", f"parent_aui IS NOT NULL OR aui <> '{top}'"
     else:
-        top_id = f"'{urn}:' || (SELECT min(id) FROM named_ids WHERE parent_aui IS NULL)"
+        top_id, tops, rest = f"'{urn}:' || id", "FROM named_ids WHERE parent_aui IS NULL", "parent_aui IS NOT NULL"
     root = urn.rsplit(":", 1)[0]
     rows = []
     if group:
@@ -216,22 +219,23 @@ def _coded(urn, dataset_id, type_field, type_value, field, had, group, label, te
     rows.append(f"""SELECT {top_id} AS universal_id, {top_id} AS external_id, '{root}' AS external_parent_id,
        0 AS is_numeric, 1 AS is_parent, 0 AS is_root, {dataset_id} AS sql_set_id, CAST(NULL AS VARCHAR) AS sql_set_where,
        CAST(NULL AS VARCHAR) AS sql_field_numeric, '{label}' AS ui_display_name, '{text}' AS ui_display_text,
-       CAST(NULL AS VARCHAR) AS ui_display_units, CAST(NULL AS VARCHAR) AS ui_numeric_default_text""")
+       CAST(NULL AS VARCHAR) AS ui_display_units, CAST(NULL AS VARCHAR) AS ui_numeric_default_text
+{tops}""")
     rows.append(f"""SELECT '{urn}:' || id, '{urn}:' || id, {parent_id}, 0, CASE WHEN code_count = 1 THEN 0 ELSE 1 END, 0, {dataset_id},
        '@.{type_field} = ''{type_value}'' AND @.{field} ' || sql_set_where, NULL, {name}, '{had}' || ui_display_name, NULL, NULL
-FROM named_ids x WHERE parent_aui IS NOT NULL""")
+FROM named_ids x WHERE {rest}""")
     return "\nUNION ALL\n".join(rows)
 
 
 _TABLES["cat_icd10"] = _coded(
     "urn:leaf:concept:dx:icd10", 3, "DX_TYPE", "10", "DX", "Had diagnosis of ", ("Diagnoses", "Have had a diagnosis"),
-    "ICD-10", "Have had a diagnosis coded in ICD-10", False, None)
+    "ICD-10", "Have had a diagnosis coded in ICD-10", None)
 _TABLES["cat_cpt"] = _coded(
     "urn:leaf:concept:px:cpt", 4, "PX_TYPE", "CH", "PX", "Had the procedure ", ("Procedures", "Have had a procedure"),
-    "CPT", "Have had a procedure coded in CPT", True, None)
+    "CPT", "Have had a procedure coded in CPT", None)
 _TABLES["cat_icd10pcs"] = _coded(
     "urn:leaf:concept:px:icd10pcs", 4, "PX_TYPE", "10", "PX", "Had the procedure ", None,
-    "ICD10PCS", "Have had a procedure coded in ICD10PCS", True, "A1")
+    "ICD10PCS", "Have had a procedure coded in ICD10PCS", "A1")
 
 # -------------------------------------------------------------- counted OMOP concepts
 _COLUMNS = """external_id, external_parent_id, is_numeric, is_parent, is_root, sql_set_id, sql_set_where,
@@ -694,14 +698,18 @@ SELECT {_NAMED}, (SELECT min(p.external_id) FROM cat_pcornet p WHERE p.external_
 FROM cat_pcornet c
 """
 _ORACLES["demographic_extract_omop"] = """
+WITH used AS MATERIALIZED (
+  SELECT concept_id, concept_name FROM concept
+  WHERE concept_id IN (SELECT unnest([gender_concept_id, race_concept_id, ethnicity_concept_id]) FROM person)
+)
 SELECT CAST(p.person_id AS VARCHAR) AS "personId", zip AS "addressPostalCode", state AS "addressState",
        strftime(birth_datetime, '%Y-%m-%d 00:00:00') AS "birthDate", strftime(death_date, '%Y-%m-%d 00:00:00') AS "deceasedDateTime",
        e.concept_name AS ethnicity, g.concept_name AS gender, CASE WHEN d.person_id IS NULL THEN 0 ELSE 1 END AS "deceasedBoolean",
        CASE WHEN e.concept_name = 'Hispanic or Latino' THEN 1 ELSE 0 END AS "hispanicBoolean", 0 AS "marriedBoolean",
        CAST(NULL AS VARCHAR) AS language, CAST(NULL AS VARCHAR) AS "maritalStatus", CAST(NULL AS VARCHAR) AS mrn,
        CAST(NULL AS VARCHAR) AS name, r.concept_name AS race, CAST(NULL AS VARCHAR) AS religion
-FROM person p LEFT JOIN concept g ON p.gender_concept_id = g.concept_id LEFT JOIN concept r ON p.race_concept_id = r.concept_id
-LEFT JOIN concept e ON p.ethnicity_concept_id = e.concept_id LEFT JOIN location l ON p.location_id = l.location_id
+FROM person p LEFT JOIN used g ON p.gender_concept_id = g.concept_id LEFT JOIN used r ON p.race_concept_id = r.concept_id
+LEFT JOIN used e ON p.ethnicity_concept_id = e.concept_id LEFT JOIN location l ON p.location_id = l.location_id
 LEFT JOIN death d ON p.person_id = d.person_id
 """
 _ORACLES["demographic_extract_pcornet"] = f"""

@@ -465,7 +465,9 @@ def universal_id_catalog_icd10pcs(spark, t):
 def fixed_catalog_counts(spark, t):
     """The fixed PCORnet concepts with the patients each of them selects."""
     catalog = fixed_catalog(spark, pcornet(spark))
-    return shown(catalog.join(cohort.cohort_counts(catalog, pcornet_datasets(t)), "external_id"), *NAMED, "patient_count")
+    datasets = pcornet_datasets(t)
+    counted = catalog.where(F.col("predicate.dataset").isin(list(datasets)))
+    return shown(counted.join(cohort.cohort_counts(counted, datasets), "external_id"), *NAMED, "patient_count")
 
 
 @query("dataset_registry")

@@ -36,7 +36,7 @@ def test_diamond_counts_once(make):
 
 def test_cycle_is_an_error(make):
     with pytest.raises(ValueError, match="cycle"):
-        transitive_closure(make(LEVELS, (1, 2), (2, 1)), max_steps=5)
+        transitive_closure(make(LEVELS, (1, 2), (2, 1)))
 
 
 def test_random_graph_equals_path_enumeration(make):
@@ -82,7 +82,7 @@ def test_backfill_keeps_existing_levels(make):
 def test_descendants_stop_at_the_depth(make):
     chain = make("parent_aui string, aui string", *[(f"n{i:02}", f"n{i + 1:02}") for i in range(12)])
     nodes = make("aui string", *[f"n{i:02}" for i in range(13)])
-    pairs = got(descendant_closure(chain, nodes))
+    pairs = got(descendant_closure(chain, nodes, max_depth=10))
     assert ("n00", "n10") in pairs and ("n00", "n11") not in pairs and ("n05", "n05") in pairs
     assert len([p for p in pairs if p[0] == "n00"]) == 11
 
@@ -114,3 +114,15 @@ def test_append_absent_twice_adds_nothing(make):
     target, new = make("k string, v int", ("a", 1)), make("k string, v int", ("a", 2), ("b", 3))
     once = append_absent(target, new, ["k"])
     assert got(once) == [("a", 1), ("b", 3)] and got(append_absent(once, new, ["k"])) == got(once)
+
+
+def test_a_deep_chain_is_followed_to_its_end(make):
+    edges = make("parent_aui string, aui string", *[(f"n{i}", f"n{i + 1}") for i in range(24)])
+    nodes = make("aui string", *[f"n{i}" for i in range(25)])
+    assert descendant_closure(edges, nodes).where("aui = 'n0'").count() == 25
+    assert descendant_closure(edges, nodes, max_depth=10).where("aui = 'n0'").count() == 11
+
+
+def test_a_cycle_ends_the_closure(make):
+    edges = make("parent_aui string, aui string", ("a", "b"), ("b", "a"))
+    assert got(descendant_closure(edges, make("aui string", "a", "b"))) == [("a", "a"), ("a", "b"), ("b", "a"), ("b", "b")]

@@ -59,3 +59,8 @@ def test_diagnoses_in_ranges(make):
     assert got(joined, "patient", "name") == [
         ("A", "all"), ("A", "one"), ("B", "all"), ("B", "injuries"), ("C", "all"), ("C", "injuries"),
     ]
+
+
+def test_suffixes_avoid_names_that_exist(make):
+    rows = make("k string, a int", ("x", 1), ("x", 2), ("x_2", 3))
+    assert got(dedupe_suffix(rows, "k", ["a"])) == [("x", 1), ("x_2", 3), ("x__2", 2)]

@@ -48,10 +48,10 @@ def test_names_and_codes_of_nodes(make):
     ]
 
 
-def test_long_names_are_cut(make):
+def test_long_names_are_kept(make):
     terms = make(TERMS, ("L", "V", "1", "PT", "x" * 500))
     (row,) = ontology_nodes(make("parent_aui string, aui string", ("", "L")), terms).collect()
-    assert row.name == "x" * 400
+    assert row.name == "x" * 500
 
 
 def test_nodes_without_codes_vanish(make):
@@ -107,11 +107,11 @@ def test_ids_by_code_and_their_parents(spark, make):
     ]
 
 
-def test_name_cut_and_moved_children(spark, make):
+def test_whole_names_and_moved_children(spark, make):
     registry = dataset_registry(spark, "pcornet")
     long = {k.urn: max(len(r[0] or "") for r in universal_id_catalog(ontology(make), registry, k, t).select("ui_display_name").collect())
             for k, t in ((ICD10, None), (CPT, None), (ICD10PCS, "R"))}
-    assert long == {"dx:icd10": 500, "px:cpt": 400, "px:icd10pcs": 400}
+    assert long == {"dx:icd10": 500, "px:cpt": 500, "px:icd10pcs": 500}
     p = fixed.URN + "px"
     assert got(universal_id_catalog(ontology(make), registry, ICD10PCS, "R"), "universal_id", "external_parent_id") == [
         (p + ":icd10pcs", p), (p + ":icd10pcs:a", p + ":icd10pcs:a_c_2"), (p + ":icd10pcs:a_c_2", p + ":icd10pcs"),
@@ -140,3 +140,16 @@ def test_catalog_keeps_existing_concepts(spark, make):
     again = build_catalog_pcornet(registry, source, source, source, existing=first, icd10pcs_top="R")
     assert got(again, "id", "universal_id", "parent_id", "root_id") == got(first, "id", "universal_id", "parent_id", "root_id")
     assert first.where("parent_id is null").count() == 4 and first.where("root_id is null").count() == 0
+
+
+def test_several_nodes_without_parent(spark, make):
+    registry = dataset_registry(spark, "pcornet")
+    rows = [("A", None, "a", "b", 2, "V", "IN ('a','b')", "A"), ("B", None, "c", "d", 2, "V", "IN ('c','d')", "B"), ("C", "B", "c", "c", 1, "V", "= 'c'", "C")]
+    names = ("aui", "parent_aui", "min_code", "max_code", "code_count", "ontology_type", "sql_set_where", "ui_display_name")
+    tops = make(ONTOLOGY, *[tuple(dict(zip(names, r, strict=True)).get(n) for n in ONTOLOGY.names) for r in rows])
+    p = fixed.URN + "dx"
+    found = dict(got(universal_id_catalog(tops, registry, ICD10), "universal_id", "external_parent_id"))
+    assert found == {p: None, f"{p}:icd10:a_b": p, f"{p}:icd10:c_d": p, f"{p}:icd10:c": f"{p}:icd10:c_d"}
+    p = fixed.URN + "px"
+    found = dict(got(universal_id_catalog(tops, registry, ICD10PCS, "A"), "universal_id", "external_parent_id"))
+    assert found == {f"{p}:icd10pcs": p, f"{p}:icd10pcs:c_d": f"{p}:icd10pcs", f"{p}:icd10pcs:c": f"{p}:icd10pcs:c_d"}

@@ -5,7 +5,7 @@ from conftest import got
 from conceptree.operators.paths import path_decode
 
 
-def literal(rows, limit=20):
+def literal(rows, limit=60):
     """The rule, one token at a time."""
     live, found = [[a, p, ""] for a, p in rows], {}
     for turn in range(limit):
@@ -43,11 +43,11 @@ def test_single_ancestor(make):
     assert decode(make, [("N", "R")]) == [("", "R"), ("R", "N")]
 
 
-def test_limit_of_twenty_ancestors(make):
+def test_a_limit_of_ancestors_on_request(make):
     for length in (19, 20, 22):
         path = [f"n{i}" for i in range(length)]
-        edges = decode(make, [("L", ".".join(path))])
-        assert set(edges) == literal([("L", ".".join(path))])
+        edges = decode(make, [("L", ".".join(path))], max_tokens=20)
+        assert set(edges) == literal([("L", ".".join(path))], 20)
         assert (path[min(length, 20) - 1], "L") in edges
     assert decode(make, [("L", "a.b.c")], max_tokens=2) == [("", "a"), ("a", "b"), ("b", "L")]
 
@@ -64,3 +64,9 @@ def test_random_paths_equal_the_literal_rule(make):
             steps = [f"{case}n{rng.randint(0, 6)}" for _ in range(rng.randint(1, 23))]
             rows.append((f"{case}L", ".".join(steps) + rng.choice(["", "", "."])))
     assert set(decode(make, rows)) == literal(rows)
+
+
+def test_a_path_of_many_ancestors_is_read_whole(make):
+    names = [f"s{i}" for i in range(25)]
+    edges = decode(make, [("L", ".".join(names))])
+    assert len(edges) == 26 and ("s24", "L") in edges

@@ -1,3 +1,4 @@
+import pytest
 from conftest import got
 
 from conceptree.sources.sinks import append_rows, replace_rows
@@ -12,3 +13,11 @@ def test_append_and_replace(make, spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
     replace_rows(make("k string, v int", ("z", 9)), path)
     assert got(spark.read.parquet(path)) == [("z", 9)]
+
+
+def test_a_new_path_and_a_table_that_is_read(make, spark, tmp_path):
+    path = f"{tmp_path}/concepts"
+    append_rows(make("k string, v int", ("a", 1)), path, ["k"])
+    assert spark.read.parquet(path).count() == 1
+    with pytest.raises(ValueError, match="read by"):
+        replace_rows(spark.read.parquet(path), path)
