@@ -9,7 +9,7 @@ Signatures have ``CHUNKS * PARTS`` minima of ``b`` = 16 bits. Two signatures tha
 most ``2 * CHUNKS - 1`` of them agree, by the pigeonhole principle, in some chunk up to one
 minimum. So each chunk is indexed once for each minimum that may be wrong, with that one left
 out, and every pair under that distance shares a key. (Of pairs at similarity 0.8, one in
-about 50,000 has a larger distance; of more similar ones, fewer.) Every candidate is confirmed
+about 30,000 has a larger distance; of more similar ones, fewer.) Every candidate is confirmed
 on the full sets.
 
 Copies need not be expanded: equal sets are one class. A bucket is not expanded into pairs
