@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from conceptree import fixed_values as fixed
 from conceptree.functions.numbering import number_rows
-from conceptree.functions.tables import union_all
+from conceptree.functions.tables import exclude, union_all
 from conceptree.operators import labs
 from conceptree.operators.hierarchy import (
     backfill_ancestors,
@@ -92,9 +92,12 @@ class LabBuild:
 
 
 def build_catalog_omop(
-    tables, registry: DataFrame, lab_root_id: int = fixed.LAB_ROOT_CONCEPT_ID, as_of=None
+    tables, registry: DataFrame, lab_root_id: int = fixed.LAB_ROOT_CONCEPT_ID, as_of=None, existing: DataFrame | None = None
 ) -> DataFrame:
-    """The whole catalog; ``tables[name]`` gives the clinical tables."""
+    """The whole catalog; ``tables[name]`` gives the clinical tables.
+
+    The rows of an ``existing`` catalog keep their ids, and concepts whose external id it lacks are added.
+    """
     concept = tables["concept"]
     parts = at_once(
         registry.sparkSession,
@@ -103,4 +106,7 @@ def build_catalog_omop(
         lambda: visit_concepts(tables["visit_occurrence"], concept, registry),
         lambda: vital_concepts(tables["measurement"], concept, registry),
     )
-    return with_links(union_all(*parts), ["external_id"])
+    new = union_all(*parts)
+    if existing is not None:
+        new = exclude(materialize(new, "new"), "external_id", existing, "external_id")
+    return with_links(new, ["external_id"], existing)

@@ -130,9 +130,7 @@ class TestTables:
         value = _lookup(F.col("l_returnflag"), {f: v for f, (v, _) in VALUES.items()})
         return (
             self._sales("l_quantity", "l_returnflag")
-            .where(F.col("l_partkey") % 10 != 0)
             .join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .where(~((F.col("tid") == 105) & F.col("bn").between(2, 5)))
             .select(
                 F.col("o_custkey").alias("person_id"),
                 F.when((F.col("tid") == 105) & (F.col("bn") == 1), F.col("combo"))
@@ -189,8 +187,31 @@ class TestTables:
         )
         return upper.unionByName(parts)
 
+    def _unused(self) -> DataFrame:
+        """(concept_id, parent_id, name) of tests that no measurement uses: below each combo a leaf, and a group with a leaf."""
+
+        def below(first: int, parent: Column, word: str) -> DataFrame:
+            return self._combos().select(
+                (F.lit(first) + F.col("combo")).alias("concept_id"),
+                parent.alias("parent_id"),
+                F.concat_ws(" | ", "p_type", "p_brand", F.lit(word)).alias("name"),
+            )
+
+        combo = F.col("combo")
+        return union_all(
+            below(200000, combo, "unused"),
+            below(300000, combo, "unused group"),
+            below(400000, F.lit(300000) + combo, "unused in group"),
+        )
+
     def _concept(self) -> DataFrame:
-        nodes = self._nodes().select(
+        unused = self._unused().select(
+            "concept_id",
+            F.col("name").alias("concept_name"),
+            F.col("concept_id").cast("string").alias("concept_code"),
+            F.lit("LOINC").alias("vocabulary_id"),
+        )
+        nodes =self._nodes().select(
             "concept_id",
             F.col("name").alias("concept_name"),
             F.col("code").alias("concept_code"),
@@ -213,7 +234,7 @@ class TestTables:
             [(concept, name, str(concept), vocabulary) for concept, name, vocabulary in listed],
             "concept_id int, concept_name string, concept_code string, vocabulary_id string",
         )
-        return union_all(nodes, races, codes)
+        return union_all(nodes, unused, races, codes)
 
     def _concept_relationship(self) -> DataFrame:
         def edges(df: DataFrame, child: Column, parent: Column) -> DataFrame:
@@ -228,6 +249,7 @@ class TestTables:
             edges(combos, combo, brand),
             edges(combos.where(tid == 104), combo, root),
             part.select(F.col("concept_id").alias("concept_id_1"), combo.alias("concept_id_2")),
+            self._unused().select(F.col("concept_id").alias("concept_id_1"), F.col("parent_id").alias("concept_id_2")),
         ).withColumn("relationship_id", F.lit("Is a"))
 
     def _concept_ancestor(self) -> DataFrame:

@@ -68,7 +68,6 @@ SELECT o_custkey AS person_id,
        CASE WHEN l_partkey % 2 = 1 THEN CASE l_returnflag WHEN 'A' THEN 45001 WHEN 'N' THEN 45002 WHEN 'R' THEN 45003 END END
            AS value_as_concept_id
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN parts ON l_partkey = p_partkey
-WHERE l_partkey % 10 <> 0 AND NOT (tid = 105 AND bn BETWEEN 2 AND 5)
 UNION ALL
 SELECT user_id, CASE event_type WHEN 'click' THEN 3020891 WHEN 'error' THEN 3027018 WHEN 'purchase' THEN 3024171
                                 WHEN 'signup' THEN 3012888 WHEN 'view' THEN 3004249 END, value, NULL
@@ -84,8 +83,14 @@ UNION ALL SELECT concept_id,
        || lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(7, length(CAST(p_partkey AS VARCHAR))) AS INTEGER), '0'),
        p_type || ' | ' || p_brand || ' | ' || p_name, p_partkey FROM parts
 """
+_TABLES["unused"] = """
+SELECT DISTINCT 200000 + combo AS concept_id, combo AS parent_id, p_type || ' | ' || p_brand || ' | unused' AS name FROM parts
+UNION ALL SELECT DISTINCT 300000 + combo, combo, p_type || ' | ' || p_brand || ' | unused group' FROM parts
+UNION ALL SELECT DISTINCT 400000 + combo, 300000 + combo, p_type || ' | ' || p_brand || ' | unused in group' FROM parts
+"""
 _TABLES["concept"] = """
 SELECT concept_id, name AS concept_name, code AS concept_code, 'LOINC' AS vocabulary_id FROM nodes
+UNION ALL SELECT concept_id, name, CAST(concept_id AS VARCHAR), 'LOINC' FROM unused
 UNION ALL SELECT 8600 + r_regionkey, r_name, CAST(8600 + r_regionkey AS VARCHAR), 'Race' FROM region
 UNION ALL SELECT id, name, CAST(id AS VARCHAR), vocabulary FROM (VALUES
   (8501, 'AUTOMOBILE', 'Gender'), (8502, 'BUILDING', 'Gender'), (8503, 'FURNITURE', 'Gender'), (8504, 'MACHINERY', 'Gender'),
@@ -102,6 +107,7 @@ UNION ALL SELECT DISTINCT combo, tid, 'Is a' FROM parts
 UNION ALL SELECT DISTINCT combo, 200 + bn, 'Is a' FROM parts
 UNION ALL SELECT DISTINCT combo, 1, 'Is a' FROM parts WHERE tid = 104
 UNION ALL SELECT concept_id, combo, 'Is a' FROM parts
+UNION ALL SELECT concept_id, parent_id, 'Is a' FROM unused
 """
 _TABLES["concept_ancestor"] = """
 SELECT concept_id AS ancestor_concept_id, concept_id AS descendant_concept_id,
@@ -542,7 +548,7 @@ SELECT visit_concept_id, count(*) AS visits, (SELECT count(*) FROM person) AS pe
 _ORACLES["correlated_top1_lookup"] = """
 SELECT concept_id, concept_name, 'lab:' || (SELECT concept_id_2 FROM concept_relationship r WHERE r.concept_id_1 = c.concept_id
   ORDER BY concept_id_2 LIMIT 1) AS external_parent_id
-FROM concept c WHERE vocabulary_id = 'LOINC'
+FROM concept c
 """
 _ORACLES["max_per_group_filter"] = """
 SELECT person_id, visit_concept_id, strftime(visit_start_datetime, '%Y-%m-%d %H:%M:%S') AS visit_start_datetime
@@ -685,13 +691,14 @@ _TABLES["under_root"] = """
 SELECT 1 AS id UNION ALL SELECT f.id FROM under_root u JOIN first_parents f ON f.parent_id = u.id
 """
 _ORACLES["root_assign"] = """
-SELECT concept_id AS id, CASE WHEN concept_id IN (SELECT id FROM under_root) THEN '1' END AS root FROM concept WHERE vocabulary_id = 'LOINC'
+SELECT concept_id AS id, CASE WHEN concept_id IN (SELECT id FROM under_root) THEN '1' END AS root FROM concept
 """
 _ORACLES["build_catalog_omop"] = f"""
 SELECT {_COLUMNS}, (SELECT min(p.external_id) FROM cat_omop p WHERE p.external_id = c.external_parent_id) AS parent,
        (SELECT min(r.root) FROM rooted_cat_omop r WHERE r.external_id = c.external_id) AS root
 FROM cat_omop c
 """
+_ORACLES["catalog_reload"] = _ORACLES["build_catalog_omop"].replace(" AS root\n", " AS root, CAST(1 AS BIGINT) AS same_id\n")
 _ORACLES["build_catalog_pcornet"] = f"""
 SELECT {_NAMED}, (SELECT min(p.external_id) FROM cat_pcornet p WHERE p.external_id = c.external_parent_id) AS parent,
        (SELECT min(r.root) FROM rooted_cat_pcornet r WHERE r.external_id = c.external_id) AS root

@@ -14,13 +14,14 @@ from conceptree.functions.text import age_in_years
 from conceptree.operators import cohort, extracts, hierarchy, ontology as onto, people
 from conceptree.operators.paths import path_decode
 from conceptree.operators.registry import dataset_registry, fixed_catalog, fixed_rows
-from conceptree.plans.omop import LabBuild, build_catalog_omop
+from conceptree.plans.omop import LabBuild, build_catalog_omop, with_links
 from conceptree.plans.pcornet import build_catalog_pcornet
 from conceptree.plans.vocabulary import get_ontology, insert_concepts
 from conceptree.schema import CONCEPT
 from conceptree.sources.clinical import death_view
+from conceptree.sources.sinks import append_rows
 from conceptree.sources.testmap import ROOT, TestTables
-from conceptree.session import materialize
+from conceptree.session import materialize, new_table_path
 
 VOCABULARY = "PARTS"
 TOP_AUI = "A1"
@@ -219,7 +220,7 @@ def correlated_top1_lookup(spark, t):
     parents = t["concept_relationship"].groupBy(F.col("concept_id_1").alias("concept_id")).agg(
         F.min("concept_id_2").alias("parent")
     )
-    concepts = t["concept"].where("vocabulary_id = 'LOINC'").select("concept_id", "concept_name")
+    concepts = t["concept"].select("concept_id", "concept_name")
     return concepts.join(parents, "concept_id", "left").select(
         "concept_id", "concept_name", F.concat(F.lit("lab:"), F.col("parent").cast("string")).alias("external_parent_id")
     )
@@ -576,7 +577,7 @@ def root_assign(spark, t):
     parents = t["concept_relationship"].groupBy(F.col("concept_id_1").alias("id")).agg(
         F.min("concept_id_2").cast("long").alias("parent_id")
     )
-    nodes = t["concept"].where("vocabulary_id = 'LOINC'").select(F.col("concept_id").cast("long").alias("id"))
+    nodes = t["concept"].select(F.col("concept_id").cast("long").alias("id"))
     catalog = materialize(
         nodes.join(parents, "id", "left").select(
             "id", "parent_id", (F.col("id") == ROOT).alias("is_root"), F.lit(None).cast("long").alias("root_id")
@@ -592,6 +593,24 @@ def build_catalog_omop_linked(spark, t):
     return shown(linked(build_catalog_omop(t, omop(spark), ROOT, AS_OF)), *LINKED)
 
 
+@query("catalog_reload")
+def catalog_reload(spark, t):
+    """A stored catalog of visits and vitals, completed by the whole catalog that is built beside it.
+
+    ``same_id`` counts the rows with a row's id.
+    """
+    path = new_table_path(spark, "stored_catalog")
+    first = people.visit_concepts(t["visit_occurrence"], t["concept"], omop(spark)).unionByName(
+        people.vital_concepts(t["measurement"], t["concept"], omop(spark))
+    )
+    append_rows(with_links(first, ["external_id"]), path, ["external_id"])
+    existing = spark.read.schema(CONCEPT).parquet(path)
+    append_rows(build_catalog_omop(t, omop(spark), ROOT, AS_OF, existing), path, ["external_id"])
+    stored = spark.read.schema(CONCEPT).parquet(path)
+    same = stored.groupBy("id").agg(F.count(F.lit(1)).alias("same_id"))
+    return shown(linked(stored).join(same, "id"), *LINKED, "same_id")
+
+
 @query("build_catalog_pcornet")
 def build_catalog_pcornet_linked(spark, t):
     ontology = materialize(parts_ontology(t), "ontology")
