@@ -143,13 +143,14 @@ def lines_to_remove(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .where("home < last")
         .select("line", "home")
     )
+    # Homes grow with the lines: merge joins at every size, hot lines are split by the adaptive skew join.
     homes = materialize(
-        homes.join(lines.select("line", F.col("doc_id").alias("home"), F.col("places").alias("home_places")), ["line", "home"])
+        homes.hint("merge").join(lines.select("line", F.col("doc_id").alias("home"), F.col("places").alias("home_places")), ["line", "home"])
         .groupBy("line", "home")
         .agg(F.min("home_places").alias("home_places")),
         "line_homes",
     )
-    shared = lines.join(homes, "line").where("doc_id <> home")
+    shared = lines.join(homes.hint("merge"), "line").where("doc_id <> home")
     return (
         shared.select("doc_id", "home", "line", "places", "home_places")
         .repartition("doc_id")
@@ -168,7 +169,7 @@ def remove_shared_lines(docs: DataFrame, min_words: int = MIN_WORDS, drop_emptie
     """
     removed = materialize(lines_to_remove(docs, min_words), "lines_removed").select(F.col("doc_id").alias("_doc"), "removed")
     removed = removed.withColumnRenamed("removed", "_removed")
-    rows = docs.join(removed, docs["doc_id"].cast("long") == F.col("_doc"), "left")
+    rows = docs.join(removed.hint("merge"), docs["doc_id"].cast("long") == F.col("_doc"), "left")
     left = F.array_join(
         F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("_removed", i)), "\n"
     )
