@@ -30,7 +30,9 @@ UNKNOWN_LANGUAGE = "und"
 _START = "▁"
 _SCALE = 100.0  # for each character, so that products of probabilities stay in range
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_BITS = 22
+_BITS = 20
+#: Distinct words whose scores a task keeps from batch to batch.
+KNOWN = 1 << 19
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -51,7 +53,10 @@ def _codes(words: list[str]) -> np.ndarray:
 
 
 class Pieces:
-    """Finds pieces in words by hash; ``unknown`` is the number of an uncovered character."""
+    """Finds pieces in words by hash; ``unknown`` is the number of an uncovered character.
+
+    The beginnings of pieces are held too, so a search ends where no piece goes on.
+    """
 
     def __init__(self, pieces: list[str]):
         self.size = len(pieces) + 1
@@ -59,26 +64,34 @@ class Pieces:
         self.longest = max(map(len, pieces))
         codes = _codes(pieces)
         lengths = np.array([len(p) for p in pieces])
-        hashes = np.zeros(len(pieces), np.uint64)
+        h = np.zeros(len(pieces), np.uint64)
+        begun, number = [], []
         for i in range(codes.shape[1]):
-            on = lengths > i
-            hashes[on] = hashes[on] * _STEP + codes[on, i] + np.uint64(1)
-        hashes = mix(hashes + lengths.astype(np.uint64))
-        self.tables = []  # each maps a slot to a piece; a taken slot is looked for in the next
-        left = np.arange(len(pieces))
+            on = np.flatnonzero(lengths > i)
+            h[on] = h[on] * _STEP + codes[on, i] + np.uint64(1)
+            begun.append(mix(h[on] + np.uint64(i + 1)))
+            number.append(np.where(lengths[on] == i + 1, on, -1))
+        keys, at = np.unique(np.concatenate(begun), return_inverse=True)
+        self.number = np.full(len(keys), -1, np.int32)
+        np.maximum.at(self.number, at, np.concatenate(number).astype(np.int32))
+        self.tables = []  # each maps a slot to a key; a taken slot is looked for in the next
+        left = np.arange(len(keys))
         while len(left):
-            numbers = np.full(1 << _BITS, -1, np.int32)
-            numbers[(hashes[left] >> np.uint64(64 - _BITS)).astype(np.int64)] = left
-            self.tables.append(numbers)
-            left = np.setdiff1d(left, numbers)
-        self.hashes = np.append(hashes, np.uint64(0))
+            slots = np.full(1 << _BITS, -1, np.int32)
+            slots[(keys[left] >> np.uint64(64 - _BITS)).astype(np.int64)] = left
+            self.tables.append(slots)
+            left = np.setdiff1d(left, slots)
+        self.keys = np.append(keys, np.uint64(0))
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The key of each hash, or -1."""
         slots = (hashes >> np.uint64(64 - _BITS)).astype(np.int64)
-        found = np.full(len(hashes), -1, np.int32)
-        for table in self.tables:
-            number = table[slots]
-            np.copyto(found, number, where=self.hashes[number] == hashes)
+        found = self.tables[0][slots]
+        missed = np.flatnonzero((self.keys[found] != hashes) & (found >= 0))
+        for table in self.tables[1:]:
+            found[missed] = key = table[slots[missed]]
+            missed = missed[(self.keys[key] != hashes[missed]) & (key >= 0)]
+        found[missed] = -1
         return found
 
     def matches(self, words: list[str]) -> tuple[np.ndarray, dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]]:
@@ -87,25 +100,23 @@ class Pieces:
         lengths = np.array([len(w) for w in words])
         out = {}
         width = codes.shape[1]
-        known = np.zeros((len(words), width), bool)
         for a in range(width):
-            h = np.zeros(len(words), np.uint64)
+            rows = np.flatnonzero(lengths > a)
+            h = np.zeros(len(rows), np.uint64)
             for b in range(a + 1, min(width, a + self.longest) + 1):
-                h = h * _STEP + codes[:, b - 1] + np.uint64(1)
-                rows = np.flatnonzero(lengths >= b)
+                if b > a + 1:
+                    on = lengths[rows] >= b
+                    rows, h = rows[on], h[on]
                 if not len(rows):
                     break
-                number = self.find(mix(h[rows] + np.uint64(b - a)))
-                ok = number >= 0
+                h = h * _STEP + codes[rows, b - 1] + np.uint64(1)
+                key = self.find(mix(h + np.uint64(b - a)))
+                number = np.where(key >= 0, self.number[key], -1)
                 if b == a + 1:
-                    known[rows[ok], a] = True
-                if ok.any():
+                    out[a, b] = rows, np.where(number >= 0, number, self.unknown)
+                elif (ok := number >= 0).any():
                     out[a, b] = rows[ok], number[ok]
-        for a in range(width):
-            rows = np.flatnonzero((lengths > a) & ~known[:, a])
-            if len(rows):
-                have = out.get((a, a + 1), (rows[:0], np.zeros(0, np.int32)))
-                out[a, a + 1] = np.append(have[0], rows), np.append(have[1], np.full(len(rows), self.unknown, np.int32))
+                rows, h = rows[key >= 0], h[key >= 0]
         return lengths, out
 
 
@@ -152,8 +163,8 @@ def expected(pieces: Pieces, runs: list[str], weight: np.ndarray, p: np.ndarray)
         for (a, b), (rows, number) in reversed(order):
             beta[a, rows] += p[number] * beta[b, rows]
         total = alpha[lengths, np.arange(len(part))] / weight[part]
-        for (a, b), (rows, number) in order:
-            counts += np.bincount(number, alpha[a, rows] * p[number] * beta[b, rows] / total[rows], minlength=pieces.size)
+        found = [alpha[a, rows] * p[number] * beta[b, rows] / total[rows] for (a, b), (rows, number) in order]
+        counts += np.bincount(np.concatenate([number for _, (_, number) in order]), np.concatenate(found), minlength=pieces.size)
     return counts
 
 
@@ -260,23 +271,41 @@ def fit(docs: DataFrame, pieces: list[str] | None = None, sample_rows: int = SAM
     return LanguageModel(languages, pieces, p)
 
 
+class _Scores:
+    """Log probabilities of words; those of the latest words are kept."""
+
+    def __init__(self, model: LanguageModel):
+        self.pieces, self.p = Pieces(model.pieces), scaled(model.pieces, model.p)
+        self.row: dict[str, int] = {}
+        self.log = np.zeros((0, len(model.languages)))
+
+    def of(self, forms: list[str]) -> np.ndarray:
+        if len(self.row) + len(forms) > KNOWN:
+            self.row, self.log = {}, self.log[:0]
+        fresh = [form for form in forms if form not in self.row]
+        runs, owner = [], []
+        for k, form in enumerate(fresh):
+            if form:
+                own = _runs(form)
+                runs.extend(own)
+                owner.extend([k] * len(own))
+        log = np.zeros((len(fresh), self.log.shape[1]))
+        if runs and log.shape[1]:
+            np.add.at(log, np.array(owner), forward(self.pieces, runs, self.p))
+        self.row.update(zip(fresh, range(len(self.log), len(self.log) + len(fresh)), strict=True))
+        self.log = np.concatenate([self.log, log])
+        return self.log[np.fromiter(map(self.row.__getitem__, forms), np.int64, len(forms))]
+
+
 def _identified(model, text: str, names_out: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        pieces, p = Pieces(m.pieces), scaled(m.pieces, m.p)
+        scores = _Scores(m)
         names = np.array([*m.languages, UNKNOWN_LANGUAGE], object)
         for whole in batches:
             for batch in bounded(whole, text):
                 numbers, forms, counts = _flat_words(batch.column(text))
-                runs, owner = [], []
-                for k, form in enumerate(forms):
-                    if form:
-                        own = _runs(form)
-                        runs.extend(own)
-                        owner.extend([k] * len(own))
-                log = np.zeros((len(forms), len(m.languages)))
-                if runs and m.languages:
-                    np.add.at(log, np.array(owner), forward(pieces, runs, p))
+                log = scores.of(forms)
                 total = np.concatenate([np.zeros((1, log.shape[1])), np.cumsum(log[numbers], axis=0)])
                 stops = np.cumsum(counts)
                 total = total[stops] - total[stops - counts]
