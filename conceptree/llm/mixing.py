@@ -1,8 +1,8 @@
 """Temperature mixing of sources, with DataFrame functions only.
 
 A source's weight is its token share raised to an exponent, over the sum of these. The exponent
-is searched by repeated sections until the weights' entropy meets a target, and raised further
-where a source would be repeated more than allowed. The weights are realised by permuted blocks:
+is searched by repeated sections until the weights' entropy meets a target, and moved back towards 1
+(the natural shares) where a source would be repeated more than allowed. The weights are realised by permuted blocks:
 each epoch of a source is a new permutation of its documents in blocks, taken whole while the
 source's budget lasts, and up to the budget in the last epoch.
 """
@@ -37,7 +37,7 @@ class Mixture:
     sources: DataFrame
 
 
-def _measures(shares: DataFrame, exponents: list[float], budget: float | None) -> list[tuple[float, float, float]]:
+def _measures(shares: DataFrame, exponents: list[float], budget: float) -> list[tuple[float, float, float]]:
     """(exponent, entropy over its maximum, most repeats under the budget) for each exponent."""
     tried = shares.withColumn("x", F.explode(F.array(*[F.lit(x) for x in exponents])))
     tried = tried.withColumn("raised", F.exp(F.col("x") * F.log("share")))
@@ -55,7 +55,7 @@ def _measures(shares: DataFrame, exponents: list[float], budget: float | None) -
     for r in rows:
         z = r["z"]
         most = math.log(r["n"])
-        out.append((r["x"], (math.log(z) - r["zlog"] / z) / most if most else 1.0, (budget or 0.0) * r["ratio"] / z))
+        out.append((r["x"], (math.log(z) - r["zlog"] / z) / most if most else 1.0, budget * r["ratio"] / z))
     return sorted(out)
 
 
@@ -65,10 +65,10 @@ def mixture(
     """Weights for a table of (group, tokens).
 
     ``entropy`` is the target over the greatest possible, 0 to 1; with ``steepest`` 1, weights are
-    flattened towards it but never sharpened. Without a ``budget`` it is the
-    largest that repeats no source more than ``max_repeats`` times. With one, the exponent is raised
-    until none is; if even natural shares repeat more, the budget is lowered to the limit.
-    Groups without tokens have no weight.
+    flattened towards it but never sharpened. ``budget`` is in tokens, those of the table if not given.
+    If a source would be repeated more than ``max_repeats`` times, the exponent moves towards 1 until
+    none is; if even natural shares repeat more, the budget is lowered to the limit. So no source,
+    however small, takes from the budget of the others. Groups without tokens have no weight.
     """
     shares = tokens.where("tokens > 0")
     total = shares.agg(F.sum("tokens")).first()[0]
@@ -76,8 +76,8 @@ def mixture(
         empty = shares.select("group", "tokens", F.lit(0.0).alias("weight"), F.lit(0.0).alias("quota"))
         return Mixture(1.0, 0.0, empty)
     shares = shares.withColumn("share", F.col("tokens") / F.lit(float(total)))
-    if budget is not None:
-        budget = min(budget, max_repeats * total)
+    budget = min(float(total if budget is None else budget), max_repeats * total)
+    limit = max_repeats * (1 + 1e-9)
 
     def search(low: float, high: float, holds) -> float:
         """The smallest exponent in the range for which ``holds``; that of the range's end if none."""
@@ -90,12 +90,12 @@ def mixture(
         return high
 
     exponent = search(0.0, steepest, lambda h, _: h <= entropy)
-    if budget is not None and exponent < 1:
-        exponent = search(exponent, 1.0, lambda _, r: r <= max_repeats * (1 + 1e-9))
+    if exponent < 1:
+        exponent = search(exponent, 1.0, lambda _, r: r <= limit)
+    elif exponent > 1 and _measures(shares, [exponent], budget)[0][2] > limit:
+        exponent = max(1.0, search(1.0, exponent, lambda _, r: r > limit) - (exponent - 1) / _SECTIONS**_ROUNDS)
     raised = F.exp(F.lit(exponent) * F.log("share"))
-    z, ratio = shares.agg(F.sum(raised), F.max(raised / F.col("tokens"))).first()
-    if budget is None:
-        budget = max_repeats * z / ratio
+    z = shares.agg(F.sum(raised)).first()[0]
     weight = raised / F.lit(z)
     quota = F.least(weight * F.lit(budget), F.col("tokens") * F.lit(float(max_repeats)))
     return Mixture(exponent, budget, shares.select("group", "tokens", weight.alias("weight"), quota.alias("quota")))

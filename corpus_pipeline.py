@@ -44,8 +44,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources flattened towards 0.9 of the greatest entropy; no document twice, as copies have just gone."""
-    return mixed_documents(docs, entropy=0.9, max_repeats=1.0, steepest=1.0)
+    """As many tokens as came in, sources flattened towards 0.9 of the greatest entropy; small ones are drawn up to 4 times."""
+    return mixed_documents(docs, entropy=0.9, max_repeats=4.0, steepest=1.0)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
