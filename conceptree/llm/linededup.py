@@ -3,10 +3,11 @@
 A line is compared by its words. Lines of at least ``min_words`` words are rare enough not to
 recur by chance, and only these link documents: every later document that holds such a line is
 paired with the first one that holds it, so a line in ``n`` documents makes ``n - 1`` pairs and
-none is missed, however common it is. Each pair is aligned with patience diff on the lines they
-share: lines that occur once in both are anchors, the longest increasing chain of them stays,
+none is missed, however common it is. Each pair is aligned on all lines of the two with patience
+diff: lines that occur once in both are anchors, the longest increasing chain of them stays,
 blocks grow from the anchors, and the gaps between are aligned in the same way. The aligned blocks
-are deleted from the later document.
+that hold a linking line are deleted whole from the later document, shorter and blank lines included;
+shorter lines that stand alone may recur by chance and stay.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,32 +28,41 @@ from conceptree.session import materialize
 MIN_WORDS = 5
 
 
-def line_hash(words: list[bytes]) -> int:
-    return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
+def line_hash(words: list[bytes], min_words: int = MIN_WORDS) -> int:
+    """Odd for lines that link documents."""
+    return (xxhash.xxh3_64_intdigest(b" ".join(words)) & ~1 | (len(words) >= min_words)) - (1 << 63)
 
 
-def _lines(min_words: int):
+def _sequences(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines, owners, places = [], [], []
+            docs, lines = [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                held = defaultdict(list)
-                for place, line in enumerate((text or "").encode().split(b"\n")):
-                    words = line.split()
-                    if len(words) >= min_words:
-                        held[line_hash(words)].append(place)
-                lines.extend(held)
-                owners.extend([doc] * len(held))
-                places.extend(held.values())
-            if lines:
-                yield pa.record_batch(
-                    [pa.array(lines, pa.int64()), pa.array(owners, pa.int64()), pa.array(places, pa.list_(pa.int32()))],
-                    ["line", "doc_id", "places"],
-                )
+                words = [line.split() for line in (text or "").encode().split(b"\n")]
+                if any(words):
+                    docs.append(doc)
+                    lines.append(np.array([line_hash(w, min_words) for w in words], np.int64))
+            if docs:
+                yield pa.record_batch([pa.array(docs, pa.int64()), pa.array(lines, pa.list_(pa.int64()))], ["doc_id", "lines"])
 
     return run
 
 
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What links documents: each linking line of each document once."""
+    for batch in batches:
+        lines = pc.list_flatten(batch.column("lines")).to_numpy()
+        owner = pc.list_parent_indices(batch.column("lines")).to_numpy()
+        links = (lines & 1) == 1
+        key, owner = lines[links], owner[links]
+        order = np.lexsort((key, owner))
+        key, owner = key[order], owner[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+        docs = batch.column("doc_id").to_numpy()[owner[new]]
+        yield pa.record_batch([pa.array(key[new]), pa.array(docs, pa.int64())], ["key", "doc_id"])
+
+
 def _chain(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest chain that increases in both numbers, of pairs sorted by the first."""
     tops: list[int] = []
@@ -102,60 +113,69 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _grown(a: list[int], b: list[int], pairs: list[tuple[int, int]]) -> list[int]:
+    """Places in ``b`` of the aligned linking lines and of the equal shorter lines next to them, each aligned once."""
+    out, last = [], (-1, -1)
+    for (i, j), (next_i, next_j) in zip(pairs, [*pairs[1:], (len(a), len(b))], strict=False):
+        p, q = i - 1, j - 1
+        while p > last[0] and q > last[1] and a[p] == b[q] and not b[q] & 1:
+            out.append(q)
+            p, q = p - 1, q - 1
+        out.append(j)
+        p, q = i + 1, j + 1
+        while p < next_i and q < next_j and a[p] == b[q] and not b[q] & 1:
+            out.append(q)
+            p, q = p + 1, q + 1
+        last = p - 1, q - 1
+    return out
+
+
+def common_blocks(first: np.ndarray, later: np.ndarray) -> list[int]:
+    """The places in ``later`` of the blocks that it has in common with ``first``, in the same order.
+
+    Linking lines are aligned by themselves and, if some are repeated, among the shorter ones too,
+    which tell repeats apart; the alignment with more linking lines, then with more lines, counts.
+    """
+    in_first, in_later = np.flatnonzero(np.isin(first, later)), np.flatnonzero(np.isin(later, first))
+    a, b = first.tolist(), later.tolist()
+
+    def aligned(at_a: list[int], at_b: list[int]) -> list[int]:
+        pairs = patience([a[i] for i in at_a], [b[j] for j in at_b])
+        return _grown(a, b, [(at_a[i], at_b[j]) for i, j in pairs if a[at_a[i]] & 1])
+
+    long_a, long_b = (at[(x[at] & 1) == 1].tolist() for x, at in ((first, in_first), (later, in_later)))
+    found = aligned(long_a, long_b)
+    if any(len({x[i] for i in at}) < len(at) for x, at in ((a, long_a), (b, long_b))):
+        found = max(found, aligned(in_first.tolist(), in_later.tolist()), key=lambda at: (sum(b[j] & 1 for j in at), len(at)))
+    return sorted(found)
+
+
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by document and earlier document; a document's rows are in one partition."""
-
-    def sequence(rows: list[tuple[int, list[int], list[int]]], which: int) -> tuple[list[int], list[int]]:
-        placed = sorted((place, row[0]) for row in rows for place in row[which])
-        return [p for p, _ in placed], [line for _, line in placed]
-
-    def done() -> pa.RecordBatch:
-        removed: set[int] = set()
-        for rows in pairs.values():
-            _, first = sequence(rows, 2)
-            places, later = sequence(rows, 1)
-            removed.update(places[j] for _, j in patience(first, later))
-        return pa.record_batch(
-            [pa.array([doc], pa.int64()), pa.array([sorted(removed)], pa.list_(pa.int32()))], ["doc_id", "removed"]
-        )
-
-    doc, pairs = None, defaultdict(list)
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("doc_id", "home", "line", "places", "home_places"))
-        for d, home, line, places, home_places in zip(*columns, strict=True):
-            if d != doc:
-                if pairs:
-                    yield done()
-                doc, pairs = d, defaultdict(list)
-            pairs[home].append((line, places, home_places))
-    if pairs:
-        yield done()
+        docs, removed = [], []
+        for doc, first, later in zip(batch.column("doc_id").to_pylist(), batch.column("first"), batch.column("later"), strict=True):
+            docs.append(doc)
+            removed.append(common_blocks(*(x.values.to_numpy(zero_copy_only=False) for x in (first, later))))
+        yield pa.record_batch([pa.array(docs, pa.int64()), pa.array(removed, pa.list_(pa.int32()))], ["doc_id", "removed"])
 
 
 def lines_to_remove(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, removed): the numbers, from 0, of the lines that go, for documents that lose any."""
     small_batches(docs.sparkSession)
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    lines = materialize(rows.mapInArrow(_lines(min_words), "line long, doc_id long, places array<int>"), "lines")
-    homes = (
-        lines.groupBy("line")
-        .agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last"))
-        .where("home < last")
-        .select("line", "home")
-    )
+    held = materialize(rows.mapInArrow(_sequences(min_words), "doc_id long, lines array<long>"), "line_sequences")
+    keys = materialize(held.mapInArrow(_keys, "key long, doc_id long"), "line_keys")
+    homes = keys.groupBy("key").agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last")).where("home < last")
     # Homes grow with the lines: merge joins at every size, hot lines are split by the adaptive skew join.
-    homes = materialize(
-        homes.hint("merge").join(lines.select("line", F.col("doc_id").alias("home"), F.col("places").alias("home_places")), ["line", "home"])
-        .groupBy("line", "home")
-        .agg(F.min("home_places").alias("home_places")),
-        "line_homes",
-    )
-    shared = lines.join(homes.hint("merge"), "line").where("doc_id <> home")
+    pairs = keys.join(homes.select("key", "home").hint("merge"), "key").where("doc_id <> home").select("doc_id", "home").distinct()
+    pairs = materialize(pairs, "line_pairs")
     return (
-        shared.select("doc_id", "home", "line", "places", "home_places")
-        .repartition("doc_id")
-        .sortWithinPartitions("doc_id", "home")
+        pairs.join(held.select("doc_id", F.col("lines").alias("later")).hint("merge"), "doc_id")
+        .join(held.select(F.col("doc_id").alias("home"), F.col("lines").alias("first")).hint("merge"), "home")
+        .select("doc_id", "first", "later")
         .mapInArrow(_aligned, "doc_id long, removed array<int>")
+        .groupBy("doc_id")
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed"))
     )
 
 
