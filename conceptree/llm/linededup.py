@@ -1,9 +1,10 @@
 """Line removal by pairwise alignment of overlapping documents.
 
 A line is compared by its words. Lines of at least ``min_words`` words are rare enough not to
-recur by chance, and only these link documents: every later document that holds such a line is
-paired with the first one that holds it, so a line in ``n`` documents makes ``n - 1`` pairs and
-none is missed, however common it is. Each pair is aligned on all lines of the two with patience
+recur by chance, and only these link documents: every later document that holds such a line, or
+a run of 2, 4, 8, ... of them (shorter lines between do not count), is paired with the first one that
+holds it, so what is in ``n`` documents makes ``n - 1`` pairs and none is missed, however common it
+is. A document whose lines all equal an earlier one's loses all of them. Each pair is aligned on all lines of the two with patience
 diff: lines that occur once in both are anchors, the longest increasing chain of them stays,
 blocks grow from the anchors, and the gaps between are aligned in the same way. The aligned blocks
 that hold a linking line are deleted whole from the later document, shorter and blank lines included;
@@ -22,10 +23,12 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from conceptree.llm.words import small_batches
+from conceptree.functions.tables import union_all
+from conceptree.llm.words import mix, small_batches
 from conceptree.session import materialize
 
 MIN_WORDS = 5
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def line_hash(words: list[bytes], min_words: int = MIN_WORDS) -> int:
@@ -36,25 +39,39 @@ def line_hash(words: list[bytes], min_words: int = MIN_WORDS) -> int:
 def _sequences(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, lines = [], []
+            docs, lines, wholes = [], [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 words = [line.split() for line in (text or "").encode().split(b"\n")]
                 if any(words):
                     docs.append(doc)
                     lines.append(np.array([line_hash(w, min_words) for w in words], np.int64))
+                    wholes.append(xxhash.xxh3_128_digest(lines[-1].tobytes()))
             if docs:
-                yield pa.record_batch([pa.array(docs, pa.int64()), pa.array(lines, pa.list_(pa.int64()))], ["doc_id", "lines"])
+                yield pa.record_batch(
+                    [pa.array(docs, pa.int64()), pa.array(lines, pa.list_(pa.int64())), pa.array(wholes, pa.binary())],
+                    ["doc_id", "lines", "whole"],
+                )
 
     return run
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What links documents: each linking line of each document once."""
+    """What links documents: each linking line, and run of 2, 4, 8, ... of them, of each document once."""
     for batch in batches:
         lines = pc.list_flatten(batch.column("lines")).to_numpy()
         owner = pc.list_parent_indices(batch.column("lines")).to_numpy()
         links = (lines & 1) == 1
-        key, owner = lines[links], owner[links]
+        run, owner = lines[links].view(np.uint64), owner[links]
+        keys, owners, n = [run], [owner], 1
+        while len(run) > n:
+            run = mix(run[:-n] * _STEP + run[n:])
+            n *= 2
+            within = owner[: len(run)] == owner[n - 1 :]
+            if not within.any():
+                break
+            keys.append(run[within])
+            owners.append(owner[: len(run)][within])
+        key, owner = np.concatenate(keys).view(np.int64), np.concatenate(owners)
         order = np.lexsort((key, owner))
         key, owner = key[order], owner[order]
         new = np.ones(len(key), bool)
@@ -163,20 +180,24 @@ def lines_to_remove(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, removed): the numbers, from 0, of the lines that go, for documents that lose any."""
     small_batches(docs.sparkSession)
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    held = materialize(rows.mapInArrow(_sequences(min_words), "doc_id long, lines array<long>"), "line_sequences")
+    every = materialize(rows.mapInArrow(_sequences(min_words), "doc_id long, lines array<long>, whole binary"), "line_sequences")
+    firsts = materialize(every.groupBy("whole").agg(F.min("doc_id").alias("doc_id")), "first_copies").hint("merge")
+    copies = every.join(firsts, ["whole", "doc_id"], "left_anti")
+    copies = copies.select("doc_id", F.sequence(F.lit(0), F.size("lines") - 1).alias("removed"))
+    held = materialize(every.join(firsts, ["whole", "doc_id"], "left_semi").select("doc_id", "lines"), "first_sequences")
     keys = materialize(held.mapInArrow(_keys, "key long, doc_id long"), "line_keys")
     homes = keys.groupBy("key").agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last")).where("home < last")
     # Homes grow with the lines: merge joins at every size, hot lines are split by the adaptive skew join.
     pairs = keys.join(homes.select("key", "home").hint("merge"), "key").where("doc_id <> home").select("doc_id", "home").distinct()
     pairs = materialize(pairs, "line_pairs")
-    return (
+    found = (
         pairs.join(held.select("doc_id", F.col("lines").alias("later")).hint("merge"), "doc_id")
         .join(held.select(F.col("doc_id").alias("home"), F.col("lines").alias("first")).hint("merge"), "home")
         .select("doc_id", "first", "later")
         .mapInArrow(_aligned, "doc_id long, removed array<int>")
-        .groupBy("doc_id")
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed"))
     )
+    lost = union_all(found, copies).groupBy("doc_id")
+    return lost.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed"))
 
 
 def remove_shared_lines(docs: DataFrame, min_words: int = MIN_WORDS, drop_emptied: bool = False) -> DataFrame:

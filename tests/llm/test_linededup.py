@@ -47,3 +47,30 @@ def test_blocks_are_common_and_whole():
         assert len(set(gone)) == len(gone) == common_length(a, b[gone])
         assert any(b[j] & 1 for j in gone) == bool({x for x in a if x & 1} & set(b))
         assert common_blocks(b, b) == (list(range(len(b))) if any(b & 1) else [])
+
+
+def test_copies_go_whole(make):
+    assert left(make, f"{X}\n{Y}", f"{Y}\n{X}", f"{Y}\n{X}")[2] == ""
+    thrice = f"{X}\n{Y}\n{X}\n{Z}\n{X}"
+    assert left(make, f"{X}\n{W}", thrice, thrice)[2] == ""
+    assert left(make, "a b\n\nc", "a  b\n\nc", "a b\n\nd", "", "") == ["a b\n\nc", "", "a b\n\nd", "", ""]
+    assert left(make, "a b\nc", "a b\nc", "", None, drop_emptied=True) == ["a b\nc", "", None]
+
+
+def test_runs_link_documents_that_hold_no_line_first(make):
+    assert left(make, f"{X}\n{Y}", f"{Y}\n{X}", f"own\n{Y}\n{X}")[2] == "own"
+    found = left(make, f"{Z}\n{Y}\n{X}\n{W}", f"{X}\ns\n{Y}\n{Z}\n{W}", f"{X}\ns\n{Y}\n{Z}\n{W}\nown")
+    assert found[2] == "own"
+
+
+def test_exact_copies_keep_nothing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = dict(got(docs.where("trim(text) <> ''"), "doc_id", "text"))
+    seen, copies = set(), []
+    for doc, text in sorted(texts.items()):
+        lines = tuple(tuple(line.encode().split()) for line in text.split("\n"))
+        if lines in seen:
+            copies.append(doc)
+        seen.add(lines)
+    after = dict(got(remove_shared_lines(docs), "doc_id", "text"))
+    assert copies and not any(after[doc] for doc in copies)
