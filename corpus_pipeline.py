@@ -16,13 +16,13 @@ from conceptree.session import materialize
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones teach; those without a letter go.
 
-    A text must be likelier in its language than in all others together. If no document has a
-    lang, nothing can be told apart and only texts without a letter go.
+    A text stays however unsure its language is, as a few words may fit several. If no document has
+    a lang, nothing can be told apart and likewise only texts without a letter go.
     """
     model = fit(docs)
     marked = identify(docs, model, names=("_lang_pred", "_score"))
     if model.languages:
-        kept = marked.where((F.col("_lang_pred") != UNKNOWN_LANGUAGE) & (F.col("_score") > 0.5))
+        kept = marked.where(F.col("_lang_pred") != UNKNOWN_LANGUAGE)
     else:
         kept = marked.where(F.col("text").rlike("\\p{L}"))
     return kept.select(*docs.columns)
