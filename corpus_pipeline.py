@@ -61,7 +61,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Neither the model of the first stage nor tokens can be expressed; tests compare with brute force.
+#: Neither the model of the first stage nor tokens can be expressed. Whole results have no brute force: tests check parts of the stages.
 ORACLE_SQL: str | None = None
 
 
