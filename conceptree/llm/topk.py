@@ -130,14 +130,24 @@ def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.array([[min(max(sum(a * b for a, b in zip(r, s, strict=True)), -most - 1), most) for s in whole[1]] for r in whole[0]], np.int64)
 
 
+def _by_id(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the columns by id, and where each id starts in it."""
+    order = np.argsort(ids, kind="stable")
+    own = ids[order]
+    return order, np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+
+
 def _first_bounds(k: int, dim: int):
-    """The k-th score of each query within one annulus."""
+    """The k-th score of each query within one annulus, of the best scores of each id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 s = _scores(_matrix(row["q_vectors"], dim), _matrix(row["vectors"], dim)).astype(float)
                 s[np.array(row["q_ids"])[:, None] == np.array(row["ids"])] = -np.inf
+                order, starts = _by_id(np.array(row["ids"]))
+                if len(starts) < s.shape[1]:
+                    s = np.maximum.reduceat(s[:, order], starts, axis=1)
                 if s.shape[1] >= k:
                     bound = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
                     ok = np.isfinite(bound)
@@ -180,6 +190,9 @@ def _results(k: int, pivots: Pivots, dim: int):
                 low, high = _rings(pivots, q, bounds.astype(float))
                 inside = np.flatnonzero((low[:, row["pivot"]] <= row["high"]) & (high[:, row["pivot"]] >= row["low"]))
                 s = _scores(q[inside], _matrix(row["vectors"], dim))
+                order, starts = _by_id(ids)
+                if len(starts) < len(ids):
+                    s, ids = np.maximum.reduceat(s[:, order], starts, axis=1), ids[order][starts]
                 out = [[], [], []]
                 for i, own in zip(inside.tolist(), s, strict=True):
                     at = np.flatnonzero((own >= bounds[i]) & (ids != q_ids[i]))
