@@ -122,10 +122,54 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from b
 """
 
+_AUDIT = rf"""
+with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, {_WORDS} as ws from documents),
+f as (
+    select doc_id, part, case when len(ws) < 200 then 'A' else '' end
+        || case when 100 * len(list_distinct(ws)) < 50 * len(ws) then 'B' else '' end
+        || case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) then 'C' else '' end
+        || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+        || case when doc_id > min(doc_id) over (partition by t) then 'E' else '' end as fails
+    from d
+),
+l as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+c as (
+    select part, fails, count(*) as n, sum(coalesce(good, 0)) as good, sum(coalesce(toxic, 0)) as toxic
+    from f left join l using (doc_id) group by part, fails
+),
+x(k) as (values ('A'), ('B'), ('C'), ('D'), ('E')),
+orders as (
+    select a.k || b.k || c.k || d.k || e.k as filter_order from x a, x b, x c, x d, x e
+    where a.k not in (b.k, c.k, d.k, e.k) and b.k not in (c.k, d.k, e.k) and c.k not in (d.k, e.k) and d.k <> e.k
+),
+steps as (
+    select filter_order, i::int as step, substr(filter_order, i, 1) as own, substr(filter_order, 1, i - 1) as ahead
+    from orders, range(1, 6) r(i)
+),
+m as (
+    select s.*, part, n, good, toxic, contains(fails, own) as failing, fails = own as only_this,
+        translate(fails, ahead, '') <> fails as gone
+    from steps s, c
+),
+r as (
+    select part, filter_order, step, own, sum(case when not failing and not gone then n else 0 end)::bigint as kept,
+        sum(case when failing and not gone then n else 0 end)::bigint as removed,
+        sum(case when failing and gone then n else 0 end)::bigint as redundant,
+        sum(case when only_this then n else 0 end)::bigint as unique_fails,
+        sum(case when failing and not gone then good else 0 end)::bigint as good_lost,
+        sum(case when failing and not gone then toxic else 0 end)::bigint as toxic_lost
+    from m group by all
+)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    sum(removed) over (partition by part, own)::bigint as shapley
+from r
+"""
+
 SQL: dict[str, str] = {
     "op1_warc": _WARC,
     "op6_passages": _PASSAGES,
     "op8_topk": _TOPK,
     "op9_neardup": _NEARDUP,
     "op10_rules": _RULES,
+    "op11_audit": _AUDIT,
 }
