@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from conceptree.llm import oracle
 from conceptree.llm.alignment import align_tokenizers
 from conceptree.llm.audit import audit_filters
+from conceptree.llm.ctw import score_texts
 from conceptree.llm.langid import identify_languages
 from conceptree.llm.linededup import remove_shared_lines
 from conceptree.llm.mixing import mix_sources, word_count
@@ -78,6 +79,10 @@ def op11_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit_filters(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op12_ctw(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(_table(spark, folder, "documents"))
+
+
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return align_tokenizers(_table(spark, folder, "documents"))
 
@@ -85,7 +90,7 @@ def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_warc, op2_langid, op3_line_dedup, op4_quality, op5_mixing,
-        op6_passages, op7_packing, op8_topk, op9_neardup, op10_rules, op11_audit, op13_alignment,
+        op6_passages, op7_packing, op8_topk, op9_neardup, op10_rules, op11_audit, op12_ctw, op13_alignment,
     )
     return {**{f.__name__: f for f in named}, "pipeline": corpus_pipeline.run}
 
