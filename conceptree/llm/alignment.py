@@ -33,8 +33,8 @@ from conceptree.llm.words import bounded, small_batches
 from conceptree.session import materialize
 
 #: Bytes of text that share one table of units and pairs, about.
-BLOCK_BYTES = 32 << 20
-SLICE_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
+SLICE_BYTES = 1 << 20
 _BLOCKS_OF_TASK = 1 << 24
 _LOW = pa.scalar((1 << 32) - 1, pa.int64())
 _WIDE = pa.scalar(32, pa.int64())
@@ -251,6 +251,7 @@ def _aligned(schema: pa.Schema, names: tuple[str, str, str], block_bytes: int):
                 if block.size >= block_bytes:
                     yield from map(row, block.close())
                     number, block = number + 1, None
+                    pa.default_memory_pool().release_unused()
         if block:
             yield from map(row, block.close())
 

@@ -35,7 +35,7 @@ from conceptree.session import materialize
 DEPTH = 5
 #: Bytes of text that share one table of runs and words, about.
 BLOCK_BYTES = 32 << 20
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 SMOOTHING = 0.1
 _BLOCKS_OF_TASK = 1 << 24
 _END = 0xFF  # no byte of UTF-8
@@ -115,7 +115,10 @@ class _Block:
             self.runs[1].append(found.field("counts").to_numpy() * weight)
 
     def close(self) -> list[dict[str, pa.Array]]:
-        return [dict(zip((name, "times"), _added(*getattr(self, f"{name}s")), strict=True)) for name in ("word", "run")]
+        """The distinct words and runs with their times; runs in order, as neighbours then compress together."""
+        (word, times), (run, of_run) = _added(*self.words), _added(*self.runs)
+        order = pc.sort_indices(run)
+        return [{"word": word, "times": times}, {"run": run.take(order), "times": of_run.take(order)}]
 
 
 def _blocks(schema: pa.Schema, depth: int, block_bytes: int):
@@ -135,12 +138,13 @@ def _blocks(schema: pa.Schema, depth: int, block_bytes: int):
                 block = block or _Block()
                 texts, held_out = Texts.of(batch.column("text")), batch.column("held_out")
                 block.add(texts, ~held_out.to_numpy(zero_copy_only=False), depth)
-                packed = pa.compress(np.ascontiguousarray(texts.data), codec="zstd", asbytes=True)
+                packed = pa.Codec("zstd", 6).compress(np.ascontiguousarray(texts.data), asbytes=True)
                 columns = {"doc_ids": one(batch.column("doc_id")), "held": one(held_out), "sizes": one(pa.array(texts.sizes))}
                 yield row({**columns, "packed": pa.array([packed], pa.binary())})
                 if block.size >= block_bytes:
                     yield from map(row, block.close())
                     number, block = number + 1, None
+                    pa.default_memory_pool().release_unused()
         if block:
             yield from map(row, block.close())
 
@@ -150,7 +154,8 @@ def _blocks(schema: pa.Schema, depth: int, block_bytes: int):
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """Of positive numbers, by Stirling's series at ``x`` + 8."""
     y = x + 8
-    series = (1 / 12 - (1 / 360 - (1 / 1260 - 1 / (1680 * y * y)) / (y * y)) / (y * y)) / y
+    z = 1 / (y * y)
+    series = (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z * (1 / 1680 - z * (1 / 1188 - z * 691 / 360360))))) / y
     shifted = (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series
     return shifted - np.log(reduce(np.multiply, [x + k for k in range(8)]))
 
@@ -237,7 +242,8 @@ def run_scores(counted: DataFrame, depth: int) -> DataFrame:
             rows = times.join(sums, "run")
     mixed = None
     for d, level in enumerate(reversed(levels)):
-        pairs = [(F.col(w) * F.col(k), 1 - F.col(w)) for w, k in zip(_columns("w"), _columns("k"), strict=True)]
+        weights = [F.lit(1.0) if d == depth else F.col(w) for w in _columns("w")]  # nothing is below the greatest depth
+        pairs = [(w * F.col(k), 1 - w) for w, k in zip(weights, _columns("k"), strict=True)]
         if mixed is None:
             parts = level
         else:
@@ -314,11 +320,14 @@ def score_texts(docs: DataFrame, folds: int = 10, held: int = 0, depth: int = DE
     asked = stored.withColumnRenamed("block", "asker")
 
     # A word has at most one row for each block, so its rows are few next to the texts.
+    same = W.partitionBy("word")
     words = materialize(
-        asked.where("word is not null").select("asker", "word", F.sum("times").over(W.partitionBy("word")).alias("value")), "words"
+        asked.where("word is not null").select(
+            "asker", "word", "times", F.sum("times").over(same).alias("value"), (F.min("asker").over(same) == F.col("asker")).alias("first")
+        ),
+        "words",
     )
-    learnt = asked.where("word is not null").agg(F.sum("times")).first()[0] or 0
-    vocabulary = words.where("value > 0").agg(F.count_distinct("word")).first()[0]
+    learnt, vocabulary = words.agg(F.coalesce(F.sum("times"), F.lit(0)), F.count_if(F.expr("first and value > 0"))).first()
     train_docs = stored.where("packed is not null").agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
 
     runs = asked.where("run is not null").select("asker", "run", "times")
