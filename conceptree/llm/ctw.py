@@ -10,7 +10,8 @@ The estimates depend on counts alone, so the trees are built from the counted ru
 bytes of all training texts. A row stands for a context and a byte after it; climbing one depth is a
 ``groupBy`` of the shorter run, and going down again a join on it, so a key never gathers more than
 256 rows. Scores are looked up by block: a block of texts asks once for each of its distinct runs
-and words, and meets the answers in a co-group.
+and words, and meets the answers in a co-group. The runs that most blocks ask for, a bounded number,
+are handed to all tasks instead.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ DEPTH = 5
 #: Bytes of text that share one table of runs and words, about.
 BLOCK_BYTES = 32 << 20
 SLICE_BYTES = 1 << 20
+#: Scores of runs that all tasks hold, at most; 16 bytes each.
+COMMON = 1 << 20
 SMOOTHING = 0.1
 _BLOCKS_OF_TASK = 1 << 24
 _END = 0xFF  # no byte of UTF-8
@@ -256,14 +259,47 @@ def run_scores(counted: DataFrame, depth: int) -> DataFrame:
     raise ValueError("depth must not be negative")
 
 
-def _scored(depth: int, train_tokens: int, distinct: int, train_docs: int):
+def _uncommon(common: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = batch.column("run").to_numpy()
+            yield batch.filter(pa.array(~_places(common, runs)[1]))
+
+    return run
+
+
+def _places(sorted_: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted number would stand, and whether it stands there."""
+    at = np.minimum(np.searchsorted(sorted_, wanted), max(len(sorted_) - 1, 0))
+    return at, sorted_[at] == wanted if len(sorted_) else np.zeros(len(wanted), bool)
+
+
+def _common(scores: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs, sorted, and scores of those that most blocks ask for, ``most`` or fewer."""
+    level = F.floor(4 * F.log2("asks")).cast("int")
+    levels = sorted(((r["level"], r["n"]) for r in scores.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+    taken, least = 0, None
+    for own, n in levels:
+        if taken + n > most:
+            break
+        taken, least = taken + n, own
+    if least is None:
+        return np.zeros(0, np.int64), np.zeros(0)
+    table = scores.where(level >= least).select("run", "score").toArrow()
+    runs, values = table["run"].to_numpy(), table["score"].to_numpy()
+    order = np.argsort(runs)
+    return runs[order], values[order]
+
+
+def _scored(depth: int, train_tokens: int, distinct: int, train_docs: int, common: tuple[np.ndarray, np.ndarray]):
     total = np.log10(train_tokens + SMOOTHING * (distinct + 1))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        of_words = right.filter(pc.is_valid(right["word"])).combine_chunks()
-        of_runs = right.filter(pc.is_valid(right["run"])).combine_chunks()
-        words, runs = (t[c].combine_chunks() if len(t) else t[c].type for t, c in ((of_words, "word"), (of_runs, "run")))
-        times, scores = of_words["value"].to_numpy(), of_runs["value"].to_numpy()
+        of_words = right.select(["word", "value"]).filter(pc.is_valid(right["word"]))
+        words, times = pc.cast(of_words["word"].combine_chunks(), pa.string()), of_words["value"].to_numpy()
+        of_runs = right.select(["run", "value"]).filter(pc.is_valid(right["run"])).sort_by("run")
+        own_scores = of_runs["run"].to_numpy(), of_runs["value"].to_numpy()
+        del right, of_words, of_runs
         out = []
         for i in range(len(left)):
             ids, held, sizes = (left[c][i].values for c in ("doc_ids", "held", "sizes"))
@@ -274,14 +310,19 @@ def _scored(depth: int, train_tokens: int, distinct: int, train_docs: int):
             n = len(sizes)
             known, base = np.zeros(n, np.int64), np.zeros(n)
             if len(coded):
-                found = times[pc.index_in(pc.cast(coded.dictionary, pa.string()), pc.cast(words, pa.string())).to_numpy()]
+                found = times[pc.index_in(pc.cast(coded.dictionary, pa.string()), words).to_numpy()]
                 owner, own = np.repeat(np.arange(n), counts), found[coded.indices.to_numpy()]
                 known = np.bincount(owner[own > 0], minlength=n)
                 base = np.bincount(owner, np.log10(own + SMOOTHING) - total, n)
             base += np.log10(train_docs + SMOOTHING) - total
-            each = scores[pc.index_in(pa.array(texts.runs(depth)), runs).to_numpy()]
+            runs = pa.array(texts.runs(depth)).dictionary_encode()
+            wanted = runs.dictionary.to_numpy()
+            value = np.zeros(len(wanted))
+            for known_runs, scores in (common, own_scores):
+                at, here = _places(known_runs, wanted)
+                value[here] = scores[at[here]]
             size = sizes + 1
-            score = np.add.reduceat(each, np.cumsum(size) - size)
+            score = np.add.reduceat(value[runs.indices.to_numpy()], np.cumsum(size) - size)
             columns = [
                 ids, held, pa.array(counts + 1), pa.array(known + int(train_docs > 0)), pa.array(np.full(n, train_tokens)),
                 pa.array(base), pa.array(score), pa.array(-score * np.log2(10) / size),
@@ -292,7 +333,9 @@ def _scored(depth: int, train_tokens: int, distinct: int, train_docs: int):
     return run
 
 
-def score_texts(docs: DataFrame, folds: int = 10, held: int = 0, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score_texts(
+    docs: DataFrame, folds: int = 10, held: int = 0, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES, most_common: int = COMMON
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of each row of ``docs`` (doc_id, text).
 
     Learns from all rows outside the fold ``held`` of crc32(doc_id). ``score`` is log10 of the
@@ -331,14 +374,17 @@ def score_texts(docs: DataFrame, folds: int = 10, held: int = 0, depth: int = DE
     train_docs = stored.where("packed is not null").agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
 
     runs = asked.where("run is not null").select("asker", "run", "times")
-    counted = materialize(runs.groupBy("run").agg(F.sum("times").alias("times")), "runs")
-    scores = runs.select("asker", "run").join(run_scores(counted, depth), "run")
+    counted = materialize(runs.groupBy("run").agg(F.sum("times").alias("times"), F.count(F.lit(1)).alias("asks")), "runs")
+    scores = materialize(run_scores(counted.select("run", "times"), depth).join(counted.select("run", "asks"), "run"), "scores")
+    common = _common(scores, most_common)
+    rest = runs.select("asker", "run").mapInArrow(_uncommon(common[0]), "asker long, run long")
+    scores = rest.join(scores, "run")
     answers = union_all(
         words.select("asker", "word", F.lit(None).cast("long").alias("run"), F.col("value").cast("double")),
         scores.select("asker", F.lit(None).cast("string").alias("word"), "run", F.col("score").alias("value")),
     )
     texts = stored.where("packed is not null").select("block", "doc_ids", "held", "sizes", "packed")
-    run = _scored(depth, learnt + train_docs, vocabulary + int(train_docs > 0), train_docs)
+    run = _scored(depth, learnt + train_docs, vocabulary + int(train_docs > 0), train_docs, common)
     out = (
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
         "bits_per_byte double"

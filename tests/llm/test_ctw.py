@@ -87,11 +87,11 @@ def rows():
     return made + [(100, None), (101, ""), (None, "the thing"), (7, "again"), (7, "again"), (103, "\x00\x1c 😀"), (104, " ")]
 
 
-@pytest.mark.parametrize(("depth", "block_bytes"), [(0, 1 << 20), (1, 1 << 20), (3, 100), (5, 1 << 20)])
-def test_against_recursion(make, depth, block_bytes):
+@pytest.mark.parametrize(("depth", "block_bytes", "most_common"), [(0, 1 << 20, 1 << 20), (2, 100, 0), (3, 100, 40), (5, 1 << 20, 100)])
+def test_against_recursion(make, depth, block_bytes, most_common):
     given = rows()
     docs = make("doc_id long, text string", *given).withColumns({c: F.lit(1) for c in ("block", "word", "run", "times", "held_out", "score")})
-    found = sorted((tuple(r)[:7] for r in score_texts(docs, depth=depth, block_bytes=block_bytes).collect()), key=repr)
+    found = sorted((tuple(r)[:7] for r in score_texts(docs, depth=depth, block_bytes=block_bytes, most_common=most_common).collect()), key=repr)
     want = sorted(brute(given, depth), key=repr)
     assert [r[:5] for r in found] == [r[:5] for r in want]
     np.testing.assert_allclose([r[5:] for r in found], [r[5:] for r in want], rtol=1e-9)
