@@ -104,3 +104,27 @@ def iterate(
             before = reader.schema(schema).parquet(folder).select(*start.columns)
             frontier = frontier.distinct().join(before, start.columns, "left_anti")
     return reader.schema(schema).parquet(folder)
+
+
+def doubled(links: DataFrame, label: str) -> DataFrame:
+    """Distinct (above, below) of all paths over ``links`` (above, below), whatever their length.
+
+    Round k adds the pairs whose shortest path has over 2**(k-1) and up to 2**k links: the newest
+    pairs, continued by all pairs so far. Pairs that came out before are left out, so cycles end.
+    """
+    spark = links.sparkSession
+    folder = new_table_path(spark, label)
+    names = ["above", "below"]
+    schema = links.select(*names).schema
+    whole = spark.read.option("basePath", folder).schema(StructType([*schema.fields, StructField("step", IntegerType())]))
+    newest, k = links.select(*names).where("above is not null and below is not null").distinct(), 0
+    while True:
+        path = f"{folder}/step={k}"
+        newest.write.parquet(path)
+        newest = spark.read.schema(schema).parquet(path)
+        known = whole.parquet(folder).select(*names)
+        if newest.isEmpty():
+            return known
+        on = known.select(F.col("above").alias("middle"), F.col("below").alias("end"))
+        longer = newest.join(on, F.col("below") == F.col("middle")).select("above", F.col("end").alias("below")).distinct()
+        newest, k = longer.join(known, names, "left_anti"), k + 1

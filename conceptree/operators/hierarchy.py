@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from conceptree import fixed_values as fixed
-from conceptree.functions.tables import iterate, update_from
+from conceptree.functions.tables import doubled, iterate, union_all, update_from
 from conceptree.session import materialize
 
 
@@ -65,38 +65,111 @@ def hierarchy_levels(
     )
 
 
+_PAIR = ["ancestor_concept_id", "descendant_concept_id"]
+_LEVELS = ["min_levels_of_separation", "max_levels_of_separation"]
+
+
+def _no_cycle(at, label: str) -> None:
+    if at is not None:
+        raise ValueError(f"{label}: the hierarchy has a cycle through {at}")
+
+
 def transitive_closure(levels: DataFrame) -> DataFrame:
     """Every ancestor and descendant with the fewest and the most steps between them.
 
-    Step k holds the distinct pairs that are k steps apart on some path, so the first and
-    the last step a pair turns up in are its minimum and maximum. A concept that is its own
-    ancestor is an error that names it.
+    Each round doubles the length of the paths that are covered: the pairs of paths of up to n steps
+    are continued by those that some path of exactly n steps joins. Such a path is missing once n
+    passes the longest, so a hierarchy of depth d takes about log2(d) rounds. A concept that is its
+    own ancestor is an error that names it.
     """
-    edges = materialize(
+    one = F.lit(1)
+    pairs = materialize(
         levels.where("parent_concept_id is not null")
-        .select(F.col("parent_concept_id").alias("parent"), F.col("concept_id").alias("child"))
-        .distinct(),
-        "edges",
+        .select(F.col("parent_concept_id").alias("ancestor"), F.col("concept_id").alias("descendant"))
+        .distinct()
+        .select("ancestor", "descendant", one.alias("low"), one.alias("high"), F.lit(True).alias("exact")),
+        "closure",
     )
-
-    def extend(pairs: DataFrame) -> DataFrame:
-        return (
-            pairs.join(edges, pairs["descendant"] == edges["parent"])
-            .select("ancestor", F.col("child").alias("descendant"))
-            .distinct()
+    n = 1
+    while True:
+        loop = F.max(F.when(F.col("ancestor") == F.col("descendant"), F.col("ancestor")))
+        at, more = pairs.agg(loop, F.bool_or("exact")).first()
+        _no_cycle(at, "closure")
+        if not more:
+            break
+        steps = pairs.where("exact").select(F.col("ancestor").alias("middle"), F.col("descendant").alias("end"))
+        longer = pairs.join(steps, F.col("descendant") == F.col("middle")).select(
+            "ancestor", F.col("end").alias("descendant"), (F.col("low") + n).alias("low"), (F.col("high") + n).alias("high"), "exact"
         )
-
-    start = edges.select(F.col("parent").alias("ancestor"), F.col("child").alias("descendant"))
-    return (
-        iterate(start, extend, "closure", loop=("ancestor", "descendant"))
-        .groupBy(F.col("ancestor").alias("ancestor_concept_id"), F.col("descendant").alias("descendant_concept_id"))
-        .agg(
-            (F.min("step") + 1).alias("min_levels_of_separation"),
-            (F.max("step") + 1).alias("max_levels_of_separation"),
+        pairs = materialize(
+            pairs.withColumn("exact", F.lit(False))
+            .unionByName(longer)
+            .groupBy("ancestor", "descendant")
+            .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.bool_or("exact").alias("exact")),
+            "closure",
         )
+        n *= 2
+    return pairs.select(
+        F.col("ancestor").alias(_PAIR[0]), F.col("descendant").alias(_PAIR[1]), F.col("low").alias(_LEVELS[0]), F.col("high").alias(_LEVELS[1])
+    )
+
+
+def _ways(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("a", "d").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def _followed(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Paths of ``first`` continued by those of ``second``."""
+    second = second.select(F.col("a").alias("b"), F.col("d").alias("e"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    return first.join(second, F.col("d") == F.col("b")).select(
+        "a", F.col("e").alias("d"), (F.col("low") + F.col("low2")).alias("low"), (F.col("high") + F.col("high2")).alias("high")
     )
 
 
+def closure_delta(closure: DataFrame, added: DataFrame) -> DataFrame:
+    """The rows of a closure that more edges (parent_concept_id, concept_id) create or change.
+
+    A path that uses added edges goes down the old closure to the first of them, from each to the
+    next one, and on from the last: pairs above x pairs between added edges x pairs below. Of the
+    old closure only the pairs that end at an added edge are joined. A cycle is an error that names
+    a concept of it.
+    """
+    known = closure.select(*(F.col(c).alias(n) for c, n in zip([*_PAIR, *_LEVELS], ("a", "d", "low", "high"), strict=True)))
+    edges = materialize(
+        added.where("parent_concept_id is not null and concept_id is not null")
+        .select(F.col("parent_concept_id").alias("a"), F.col("concept_id").alias("d"), F.lit(1).alias("low"), F.lit(1).alias("high"))
+        .distinct(),
+        "added",
+    )
+    self = lambda column: edges.select(F.col(column).alias("a"), F.col(column).alias("d"), F.lit(0).alias("low"), F.lit(0).alias("high")).distinct()
+    above = materialize(known.join(edges.select(F.col("a").alias("d")), "d", "left_semi").select(*edges.columns).unionByName(self("a")), "above")
+    below = materialize(known.join(edges.select(F.col("d").alias("a")), "a", "left_semi").select(*edges.columns).unionByName(self("d")), "below")
+    between = below.join(edges.select(F.col("a").alias("d")), "d", "left_semi").select(*edges.columns)
+    self_loop = F.max(F.when(F.col("a") == F.col("d"), F.col("a")))
+    paths, seen = edges, None
+    while True:
+        to_next = _followed(paths, between)
+        _no_cycle(union_all(paths, to_next).agg(self_loop).first()[0], "added edges")
+        size = paths.agg(F.count(F.lit(1)), F.sum("low"), F.sum("high")).first()
+        if size == seen:
+            break
+        seen = size
+        paths = materialize(_ways(paths.unionByName(_followed(to_next, paths))), "added_paths")
+    found = materialize(_ways(_followed(_followed(above, paths), below)), "delta")
+    _no_cycle(found.agg(self_loop).first()[0], "added edges")
+    old = known.select("a", "d", F.col("low").alias("low0"), F.col("high").alias("high0"))
+    changed = found.join(old, ["a", "d"], "left").where("low0 is null or low < low0 or high > high0")
+    return changed.select(
+        F.col("a").alias(_PAIR[0]), F.col("d").alias(_PAIR[1]), F.least("low", "low0").alias(_LEVELS[0]), F.greatest("high", "high0").alias(_LEVELS[1])
+    )
+
+
+def extended_closure(closure: DataFrame, added: DataFrame) -> DataFrame:
+    """The closure after edges were added; rows that these don't change are kept as they are."""
+    delta = materialize(closure_delta(closure, added), "closure_delta")
+    return closure.join(delta.select(*_PAIR), _PAIR, "left_anti").select(*delta.columns).unionByName(delta)
+
+
 def backfill_ancestors(concept_ancestor: DataFrame, closure: DataFrame) -> DataFrame:
     """The ancestor table plus the pairs it lacks; existing rows keep their levels.
 
@@ -110,6 +183,10 @@ def backfill_ancestors(concept_ancestor: DataFrame, closure: DataFrame) -> DataF
 def descendant_closure(edges: DataFrame, nodes: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Distinct (aui, child_aui): each node itself and its descendants, with ``max_depth`` down to that level."""
     links = materialize(edges.select(F.col("parent_aui").alias("above"), F.col("aui").alias("below")), "edges")
+    start = nodes.select("aui", F.col("aui").alias("child_aui")).distinct()
+    if max_depth is None:
+        reached = doubled(links, "descendants").select(F.col("above").alias("aui"), F.col("below").alias("child_aui"))
+        return start.unionByName(reached.join(start.select("aui"), "aui", "left_semi").select(*start.columns)).distinct()
 
     def extend(pairs: DataFrame) -> DataFrame:
         return (
@@ -118,7 +195,6 @@ def descendant_closure(edges: DataFrame, nodes: DataFrame, max_depth: int | None
             .distinct()
         )
 
-    start = nodes.select("aui", F.col("aui").alias("child_aui")).distinct()
     return iterate(start, extend, "descendants", max_depth, once=True).select("aui", "child_aui")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from conceptree import fixed_values as fixed
-from conceptree.functions.tables import flag, restrict
+from conceptree.functions.bitmaps import people_above, renewed, set_sizes
+from conceptree.functions.tables import flag, restrict, union_all
 from conceptree.functions.text import comment, contains_word, drop_first, first_upper, remove_word
 from conceptree.operators.registry import sql_set
 from conceptree.schema import CONCEPT, as_catalog, predicate
@@ -109,17 +110,8 @@ def closure_counts(candidates: DataFrame, people: DataFrame, ancestors: DataFram
         .join(parents, "ancestor_concept_id", "left_semi")
         .distinct()
     )
-    # Distinct (ancestor, person) spreads evenly even where one ancestor covers everything;
-    # what is left per ancestor is a plain count.
-    below = (
-        people.where("person_id is not null")
-        .select("concept_id", "person_id")
-        .join(links, F.col("concept_id") == F.col("descendant_concept_id"))
-        .select("ancestor_concept_id", "person_id")
-        .distinct()
-        .groupBy(F.col("ancestor_concept_id").alias("concept_id"))
-        .agg(F.count(F.lit(1)).alias("below_count"))
-    )
+    sets = people_above(people, "concept_id", "person_id", links, "descendant_concept_id", "ancestor_concept_id")
+    below = set_sizes(sets, "ancestor_concept_id", "below_count").withColumnRenamed("ancestor_concept_id", "concept_id")
     is_parent = F.col("is_parent")
     return (
         candidates.join(by_tip, "concept_id", "left")
@@ -133,6 +125,34 @@ def closure_counts(candidates: DataFrame, people: DataFrame, ancestors: DataFram
     )
 
 
+def parent_sets(people: DataFrame, ancestors: DataFrame) -> DataFrame:
+    """(concept_id, bucket, people) of every concept in ``ancestors``, to be stored and renewed."""
+    links = ancestors.select("ancestor_concept_id", "descendant_concept_id").distinct()
+    sets = people_above(people, "concept_id", "person_id", links, "descendant_concept_id", "ancestor_concept_id")
+    return sets.withColumnRenamed("ancestor_concept_id", "concept_id")
+
+
+def renewed_counts(counts: DataFrame, sets: DataFrame, added: DataFrame, ancestors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``counts`` (concept_id, patient_count) and ``sets`` of ``parent_sets`` after more people were measured.
+
+    ``added`` (concept_id, person_id) may repeat what is known. Only concepts at or above an added
+    one are counted again, and of those only the buckets that somebody was added to: the count
+    grows by what these buckets hold more than before.
+    """
+    more = materialize(parent_sets(added, ancestors), "added_sets")
+    key = ["concept_id", "bucket"]
+    changed = materialize(renewed(sets, more, "concept_id"), "renewed_sets")
+    before = sets.join(changed.select(*key), key, "left_semi").select(*sets.columns)
+    grown = union_all(
+        changed.select("concept_id", F.bitmap_count("people").alias("n")), before.select("concept_id", (-F.bitmap_count("people")).alias("n"))
+    )
+    grown = grown.groupBy("concept_id").agg(F.sum("n").alias("n"))
+    after = counts.join(grown, "concept_id", "full").select(
+        "concept_id", (F.coalesce("patient_count", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("patient_count")
+    )
+    return after, sets.join(changed.select(*key), key, "left_anti").select(*sets.columns).unionByName(changed)
+
+
 def single_parent_choice(candidates: DataFrame) -> DataFrame:
     """One row per concept: under the parent with the most patients, the smaller id on a tie."""
     counts = candidates.groupBy(F.col("concept_id").alias("parent_concept_id")).agg(

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from conceptree import fixed_values as fixed
-from conceptree.functions.numbering import number_within
+from conceptree.functions.numbering import number_rows, number_within
 from conceptree.functions.tables import exclude, flag, union_all
 from conceptree.functions.text import cut
 from conceptree.operators.registry import fixed_rows, sql_set
@@ -74,6 +74,42 @@ def minmax_codes(closure: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
+def member_intervals(closure: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(aui, lo, hi, code_count): the fewest code ranges that admit a node's codes and no others of ``nodes``.
+
+    Codes are numbered in their order; a range starts where a node lacks the code before one of its
+    own and ends where it lacks the next one, so that starts and ends meet by their rank.
+    """
+    codes = nodes.where("code is not null").select(F.col("aui").alias("child_aui"), "code")
+    placed = number_rows(codes.select("code").distinct(), ["code"], "place")
+    members = materialize(
+        closure.join(codes, "child_aui").select("aui", "code").distinct().join(placed, "code").select("aui", "code", "place"), "members"
+    )
+
+    def borders(step: int, name: str) -> DataFrame:
+        beside = members.select("aui", (F.col("place") + step).alias("place"))
+        open_ = members.join(beside, ["aui", "place"], "left_anti").select("aui", F.col("code").alias(name), F.col("place").alias(f"{name}_place"))
+        return number_within(open_, "aui", [f"{name}_place"])
+
+    return (
+        borders(1, "lo")
+        .join(borders(-1, "hi"), ["aui", "rank"])
+        .select("aui", "lo", "hi", (F.col("hi_place") - F.col("lo_place") + 1).alias("code_count"))
+    )
+
+
+def exact_tests(intervals: DataFrame, column: str) -> DataFrame:
+    """(aui, intervals, code_count, test): one condition on ``column`` that admits a node's codes and no others."""
+    each = F.concat(F.lit(f"{column} "), code_test(F.col("lo"), F.col("hi"), F.col("code_count")))
+    rows = intervals.groupBy("aui").agg(
+        F.array_sort(F.collect_list(F.struct("lo", each.alias("test"))))["test"].alias("tests"), F.sum("code_count").alias("code_count")
+    )
+    test = F.concat_ws(" OR ", "tests")
+    return rows.select(
+        "aui", F.size("tests").alias("intervals"), "code_count", F.when(F.size("tests") > 1, F.concat(F.lit("("), test, F.lit(")"))).otherwise(test).alias("test")
+    )
+
+
 def code_test(low: Column, high: Column, count: Column) -> Column:
     """`= 'A'` for one code, `IN ('A','B')` for two, `BETWEEN 'A' AND 'B'` for more."""
     return (

@@ -521,6 +521,8 @@ _ORACLES["update_from_join"] = """
 SELECT patid, strftime(birth_date, '%Y-%m-%d') AS birth_date, strftime(min(death_date), '%Y-%m-%d') AS died
 FROM demographic LEFT JOIN death ON patid = person_id GROUP BY patid, birth_date
 """
+_ORACLES["stored_replace_append"] = f"SELECT {_COLUMNS} FROM cat_visits UNION ALL SELECT {_COLUMNS} FROM cat_vitals"
+_ORACLES["stored_update"] = _ORACLES["update_from_join"]
 _ORACLES["path_decode"] = "SELECT parent_aui, aui FROM edges"
 _ORACLES["distinct_edges"] = "SELECT DISTINCT parent_aui FROM edges WHERE parent_aui <> ''"
 _ORACLES["case_searched"] = """
@@ -626,6 +628,27 @@ SELECT person_id, CAST(date_diff('day', birth_datetime, DATE '2024-01-01') AS DO
 _ORACLES["ontology_nodes"] = "SELECT aui, code, is_parent, name FROM all_codes"
 _ORACLES["descendant_closure"] = "SELECT DISTINCT aui, child_aui FROM reach"
 _ORACLES["minmax_codes"] = "SELECT aui, min_code, max_code, code_count FROM minmax"
+_TABLES["members"] = """
+SELECT DISTINCT r.aui, c.code, p.place FROM reach r JOIN all_codes c ON r.child_aui = c.aui
+JOIN (SELECT code, row_number() OVER (ORDER BY code) AS place FROM (SELECT DISTINCT code FROM all_codes WHERE code IS NOT NULL)) p ON p.code = c.code
+"""
+_TABLES["islands"] = """
+SELECT aui, min(code) AS lo, max(code) AS hi, count(*) AS n
+FROM (SELECT *, place - row_number() OVER (PARTITION BY aui ORDER BY place) AS island FROM members) GROUP BY aui, island
+"""
+_ORACLES["exact_members"] = """
+SELECT t.*, CAST((SELECT count(DISTINCT code) FROM all_codes c WHERE c.code BETWEEN r.lo AND r.hi) - code_count AS BIGINT) AS besides
+FROM (
+  SELECT aui, CAST(count(*) AS INTEGER) AS intervals, CAST(sum(n) AS BIGINT) AS code_count,
+         CASE WHEN count(*) > 1 THEN '(' ELSE '' END || string_agg('@.DX ' || CASE n WHEN 1 THEN '= ''' || lo || ''''
+             WHEN 2 THEN 'IN (''' || lo || ''',''' || hi || ''')' ELSE 'BETWEEN ''' || lo || ''' AND ''' || hi || '''' END, ' OR ' ORDER BY lo)
+             || CASE WHEN count(*) > 1 THEN ')' ELSE '' END AS test
+  FROM islands GROUP BY aui) t
+JOIN (SELECT aui, min(lo) AS lo, max(hi) AS hi FROM islands GROUP BY aui) r ON r.aui = t.aui
+"""
+_ORACLES["exact_member_counts"] = """
+SELECT m.aui, count(DISTINCT d.patid) AS patient_count FROM members m JOIN diagnosis d ON d.dx = m.code WHERE d.dx_type = '10' GROUP BY m.aui
+"""
 _ORACLES["code_range_predicate"] = """
 SELECT aui, parent_aui, min_code, max_code, code_count, ontology_type, sql_set_where, ui_display_name FROM ontology
 """
@@ -669,6 +692,11 @@ _ORACLES["hierarchy_levels"] = """
 SELECT CAST(parent_concept_id AS VARCHAR) AS parent_concept_id, parent_concept_name, depth, concept_id, concept_code, concept_name FROM levels
 """
 _ORACLES["transitive_closure"] = "SELECT * FROM closure"
+_ORACLES["closure_extended"] = "SELECT * FROM closure"
+_ORACLES["renewed_counts"] = """
+SELECT a.ancestor_concept_id AS concept_id, count(DISTINCT m.person_id) AS patient_count
+FROM ancestors a JOIN measurement m ON m.measurement_concept_id = a.descendant_concept_id GROUP BY 1
+"""
 _ORACLES["backfill_ancestors"] = "SELECT * FROM ancestors"
 for _key, _table in {
     "lab_candidates": "candidates",

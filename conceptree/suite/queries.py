@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from conceptree import fixed_values as fixed
 from conceptree.functions import text
+from conceptree.functions.bitmaps import people_above, set_sizes
 from conceptree.functions.numbering import number_rows
+from conceptree.functions.ranges import match_ranges
 from conceptree.functions.tables import append_absent, exclude, restrict, union_all, update_from
 from conceptree.functions.text import age_in_years
-from conceptree.operators import cohort, extracts, hierarchy, ontology as onto, people
+from conceptree.operators import cohort, extracts, hierarchy, labs, ontology as onto, people
 from conceptree.operators.paths import path_decode
 from conceptree.operators.registry import dataset_registry, fixed_catalog, fixed_rows
 from conceptree.plans.omop import LabBuild, build_catalog_omop, with_links
@@ -20,6 +22,7 @@ from conceptree.plans.vocabulary import get_ontology, insert_concepts
 from conceptree.schema import CONCEPT
 from conceptree.sources.clinical import death_view
 from conceptree.sources.sinks import append_rows
+from conceptree.sources.stored import StoredTable
 from conceptree.sources.testmap import ROOT, TestTables
 from conceptree.session import materialize, new_table_path
 
@@ -153,6 +156,28 @@ def update_from_join(spark, t):
     return shown(update_from(rows, "patid", t["pcornet_death"], "patid", "death_date", "died"))
 
 
+@query("stored_replace_append")
+def stored_replace_append(spark, t):
+    """The visit concepts, replaced by the vital ones, then completed by both."""
+    visits = people.visit_concepts(t["visit_occurrence"], t["concept"], omop(spark))
+    vitals = people.vital_concepts(t["measurement"], t["concept"], omop(spark))
+    table = StoredTable(spark, new_table_path(spark, "stored"), CONCEPT, "external_id", 4)
+    table.append(visits)
+    table.replace(vitals)
+    table.append(visits.unionByName(vitals), ["external_id"])
+    return shown(table.read(), *COUNTED)
+
+
+@query("stored_update")
+def stored_update(spark, t):
+    """Death dates onto the stored demographic rows, written anew only in the buckets of the dead."""
+    rows = t["demographic"].select("patid", "birth_date", F.lit(None).cast("date").alias("died"))
+    table = StoredTable(spark, new_table_path(spark, "stored"), rows.schema, "patid")
+    table.append(rows)
+    table.update(t["pcornet_death"], "patid", "death_date", "died")
+    return shown(table.read())
+
+
 # ---------------------------------------------------------------------------- path decoding
 @query("path_decode")
 def path_decode_edges(spark, t):
@@ -426,6 +451,30 @@ def code_range_predicate(spark, t):
     return parts_ontology(t)
 
 
+@query("exact_members")
+def exact_members(spark, t):
+    """Each node's exact condition, and how many codes its plain range would admit besides."""
+    closure, nodes = _closure(t)
+    intervals = materialize(onto.member_intervals(closure, nodes), "intervals")
+    ranges = intervals.groupBy("aui").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    codes = nodes.where("code is not null").select("code").distinct()
+    admitted = ranges.join(match_ranges(codes, ranges), ["lo", "hi"]).groupBy("aui").agg(F.count(F.lit(1)).alias("admitted"))
+    tests = onto.exact_tests(intervals, "@.DX")
+    return tests.join(admitted, "aui").select("aui", "intervals", "code_count", "test", (F.col("admitted") - F.col("code_count")).alias("besides"))
+
+
+@query("exact_member_counts")
+def exact_member_counts(spark, t):
+    """Patients with a code that is a node's own, not only within its range."""
+    closure, nodes = _closure(t)
+    intervals = materialize(onto.member_intervals(closure, nodes), "intervals")
+    facts = t["diagnosis"].where("dx_type = '10'").select(F.col("dx").alias("code"), "patid").distinct()
+    facts = restrict(facts, "code", nodes.where("code is not null"), "code")  # the ranges are exact for the vocabulary's codes
+    codes = intervals.join(match_ranges(facts.select("code").distinct(), intervals), ["lo", "hi"]).select("aui", "code")
+    sets = people_above(facts, "code", "patid", materialize(codes, "codes"), "code", "aui")
+    return set_sizes(sets, "aui", "patient_count")
+
+
 @query("ontology_to_catalog")
 def ontology_to_catalog(spark, t):
     """Inserted beside the concepts of the hierarchy's first levels, which exist already."""
@@ -522,6 +571,15 @@ def backfill_ancestors(spark, t):
     return lab(spark, t).ancestors
 
 
+@query("closure_extended")
+def closure_extended(spark, t):
+    """The closure without every third concept's links to its parents, then these added."""
+    levels = lab(spark, t).levels
+    added = (F.col("concept_id") % 3 == 0) & F.col("parent_concept_id").isNotNull()
+    stored = materialize(hierarchy.transitive_closure(levels.where(~added)), "old_closure")
+    return hierarchy.extended_closure(stored, levels.where(added))
+
+
 @query("lab_candidates")
 def lab_candidates(spark, t):
     return shown(lab(spark, t).candidates, *LAB)
@@ -542,6 +600,18 @@ def closure_counts(spark, t):
     return shown(lab(spark, t).counted, *LAB)
 
 
+@query("renewed_counts")
+def renewed_counts(spark, t):
+    """Patients of every concept after a quarter of the facts came later."""
+    build = lab(spark, t)
+    ancestors = materialize(build.ancestors, "ancestors")
+    facts = build.people.where("person_id is not null").select("concept_id", "person_id")
+    late = (F.col("concept_id") + F.col("person_id")) % 4 == 0
+    sets = materialize(labs.parent_sets(facts.where(~late), ancestors), "sets")
+    counts = set_sizes(sets, "concept_id", "patient_count")
+    return labs.renewed_counts(counts, sets, facts.where(late), ancestors)[0]
+
+
 @query("single_parent_choice")
 def single_parent_choice(spark, t):
     return shown(lab(spark, t).single_parent, *LAB)

@@ -4,15 +4,19 @@ import pytest
 from conftest import got
 
 from conceptree.functions.tables import append_absent
+from conceptree.operators import hierarchy
 from conceptree.operators.hierarchy import (
     backfill_ancestors,
+    closure_delta,
     descendant_closure,
+    extended_closure,
     hierarchy_levels,
     parent_link,
     root_assign,
     transitive_closure,
 )
 from conceptree.schema import as_catalog
+from conceptree.session import materialize
 
 LEVELS = "parent_concept_id int, concept_id int"
 
@@ -126,3 +130,36 @@ def test_a_deep_chain_is_followed_to_its_end(make):
 def test_a_cycle_ends_the_closure(make):
     edges = make("parent_aui string, aui string", ("a", "b"), ("b", "a"))
     assert got(descendant_closure(edges, make("aui string", "a", "b"))) == [("a", "a"), ("a", "b"), ("b", "a"), ("b", "b")]
+
+
+def test_a_chain_takes_few_rounds(make, monkeypatch):
+    stored = []
+    monkeypatch.setattr(hierarchy, "materialize", lambda df, label: stored.append(label) or materialize(df, label))
+    pairs = closure(make, *[(i, i + 1) for i in range(1, 64)])
+    assert len(pairs) == 64 * 63 // 2 and (1, 64, 63, 63) in pairs
+    assert len(stored) == 7  # the links, then paths of up to 2, 4, 8, 16, 32 and 64 steps
+
+
+def test_descendants_of_a_chain_and_a_cycle(make):
+    links = [(f"n{i}", f"n{i + 1}") for i in range(20)] + [("n20", "n0"), ("x", "n3")]
+    edges = make("parent_aui string, aui string", *links)
+    found = got(descendant_closure(edges, make("aui string", "n0", "x", "alone")))
+    every = [f"n{i}" for i in range(21)]
+    assert found == sorted([("n0", n) for n in every] + [("x", n) for n in every] + [("x", "x"), ("alone", "alone")], key=repr)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_added_edges_equal_a_rebuild(make, seed):
+    rng = random.Random(seed)
+    edges = sorted({(i, j) for j in range(2, 25) for i in rng.sample(range(1, j), min(j - 1, rng.randint(1, 2)))})
+    new = [e for e in edges if rng.random() < 0.3] + [(30, 31)]
+    old = [e for e in edges if e not in new]
+    stored = materialize(transitive_closure(make(LEVELS, *old)), "stored")
+    assert got(extended_closure(stored, make(LEVELS, *new))) == closure(make, *old, *new)
+    assert got(closure_delta(stored, make(LEVELS, *old))) == []
+
+
+def test_an_added_edge_that_closes_a_cycle(make):
+    stored = materialize(transitive_closure(make(LEVELS, (1, 2), (2, 3))), "stored")
+    with pytest.raises(ValueError, match="cycle"):
+        closure_delta(stored, make(LEVELS, (3, 1)))
