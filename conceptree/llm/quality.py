@@ -66,12 +66,13 @@ def statistics(texts: pa.Array) -> np.ndarray:
         lines = [line for line in plain[i].split("\n") if line]
         out[i, 6] = 1 - len(set(lines)) / len(lines) if lines else 0.0
     letters = np.add.reduceat(lengths, begin)
-    position = np.searchsorted(words.starts, words.starts[begin])  # first word of each text
-    from_byte = words.starts[position]
+    # From each text's first byte to its own last one; every second sum is what lies between two such texts.
+    spans = np.stack([words.borders[full], words.borders[full + 1]], axis=1).ravel()
     for k, codes in enumerate(_CLASSES.values()):
         table = np.zeros(256)
         table[codes] = 1
-        out[full, len(NAMES) - len(_CLASSES) + k] = np.add.reduceat(table[words.data], from_byte) / letters
+        sums = np.add.reduceat(np.append(table[words.data], 0.0), spans)[::2]
+        out[full, len(NAMES) - len(_CLASSES) + k] = sums / letters
     return out
 
 

@@ -81,7 +81,10 @@ def _steps(longest: int) -> np.ndarray:
 
 
 class Words:
-    """``first[d]:first[d + 1]`` are the words of text ``d``; word ``i`` is ``data[starts[i]:ends[i]]``."""
+    """``first[d]:first[d + 1]`` are the words of text ``d``; word ``i`` is ``data[starts[i]:ends[i]]``.
+
+    ``data[borders[d]:borders[d + 1]]`` is text ``d``.
+    """
 
     def __init__(self, texts: pa.Array):
         texts = pc.cast(texts, pa.large_string()).fill_null("")
@@ -91,7 +94,7 @@ class Words:
         raw = texts.buffers()[2]
         whole = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
         self.data = whole[offsets[0] : offsets[-1]]
-        borders = offsets - offsets[0]
+        self.borders = borders = offsets - offsets[0]
         letter = ~_SPACE[self.data]
         n = len(letter)
         start = letter.copy()
