@@ -116,7 +116,7 @@ b as (
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
-    n_words between 50 and 1000000 and 2 * n_repeat_words <= n_words and word_chars / n_words between 2 and 14
+    n_words >= 50 and 2 * n_repeat_words <= n_words and word_chars / n_words between 2 and 14
         and n_symbols / n_words <= 0.1 and n_stops / n_words >= 0.01 and n_dup_lines / n_lines <= 0.5
         and n_words / n_lines >= 1 as kept
 from b

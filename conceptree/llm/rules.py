@@ -29,7 +29,7 @@ class Rule:
 
 
 RULES = [
-    Rule("length", "n_words", least=50, most=1_000_000),
+    Rule("length", "n_words", least=50),
     Rule("mean_word_length", "word_length", least=2.0, most=14.0),
     Rule("symbols", "symbol_ratio", most=0.1),
     Rule("stop_words", "stop_ratio", least=0.01),
