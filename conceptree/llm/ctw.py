@@ -35,12 +35,14 @@ from conceptree.session import materialize
 #: Bytes of context. A run, context and byte, must fit into 63 bits.
 DEPTH = 5
 #: Bytes of text that share one table of runs and words, about.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 SLICE_BYTES = 1 << 20
 #: Scores of runs that all tasks hold, at most; 16 bytes each.
 COMMON = 1 << 20
 SMOOTHING = 0.1
 _BLOCKS_OF_TASK = 1 << 24
+_ROWS = 1 << 16  # of an Arrow batch that a task hands on
+_SLICES = 4  # after which equal keys are added up
 _END = 0xFF  # no byte of UTF-8
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -101,7 +103,7 @@ def _added(keys: list[pa.Array], times: list[np.ndarray]) -> tuple[pa.Array, pa.
 
 class _Block:
     def __init__(self):
-        self.size = 0
+        self.size = self.slices = 0
         self.words: tuple[list, list] = ([], [])
         self.runs: tuple[list, list] = ([], [])
 
@@ -116,6 +118,9 @@ class _Block:
             found = pc.value_counts(pa.array(own))
             self.runs[0].append(found.field("values"))
             self.runs[1].append(found.field("counts").to_numpy() * weight)
+        self.slices += 1
+        if self.slices % _SLICES == 0:
+            self.words, self.runs = (([keys], [times.to_numpy()]) for keys, times in (_added(*self.words), _added(*self.runs)))
 
     def close(self) -> list[dict[str, pa.Array]]:
         """The distinct words and runs with their times; runs in order, as neighbours then compress together."""
@@ -135,6 +140,11 @@ def _blocks(schema: pa.Schema, depth: int, block_bytes: int):
             columns = {"block": pa.array([number] * n, pa.int64()), **columns}
             return pa.record_batch([columns.get(f.name, pa.nulls(n, f.type)).cast(f.type) for f in schema], schema=schema)
 
+        def closed(block: _Block) -> Iterator[pa.RecordBatch]:
+            for columns in block.close():
+                for i in range(0, len(columns["times"]), _ROWS):
+                    yield row({name: column.slice(i, _ROWS) for name, column in columns.items()})
+
         one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
         for whole in batches:
             for batch in bounded(whole, "text", SLICE_BYTES):
@@ -144,12 +154,13 @@ def _blocks(schema: pa.Schema, depth: int, block_bytes: int):
                 packed = pa.Codec("zstd", 6).compress(np.ascontiguousarray(texts.data), asbytes=True)
                 columns = {"doc_ids": one(batch.column("doc_id")), "held": one(held_out), "sizes": one(pa.array(texts.sizes))}
                 yield row({**columns, "packed": pa.array([packed], pa.binary())})
+                pa.default_memory_pool().release_unused()
                 if block.size >= block_bytes:
-                    yield from map(row, block.close())
+                    yield from closed(block)
                     number, block = number + 1, None
                     pa.default_memory_pool().release_unused()
         if block:
-            yield from map(row, block.close())
+            yield from closed(block)
 
     return run
 
@@ -327,6 +338,7 @@ def _scored(depth: int, train_tokens: int, distinct: int, train_docs: int, commo
                 ids, held, pa.array(counts + 1), pa.array(known + int(train_docs > 0)), pa.array(np.full(n, train_tokens)),
                 pa.array(base), pa.array(score), pa.array(-score * np.log2(10) / size),
             ]
+            pa.default_memory_pool().release_unused()
             out.append(pa.table(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]))
         return pa.concat_tables(out)
 
