@@ -42,7 +42,7 @@ COMMON = 1 << 20
 SMOOTHING = 0.1
 _BLOCKS_OF_TASK = 1 << 24
 _ROWS = 1 << 16  # of an Arrow batch that a task hands on
-_SLICES = 4  # after which equal keys are added up
+_SLICES = 8  # after which equal keys are added up
 _END = 0xFF  # no byte of UTF-8
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -64,17 +64,23 @@ class Texts:
         data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
         return cls(_LOWER[data], np.diff(offsets))
 
-    def words(self) -> tuple[pa.DictionaryArray, np.ndarray]:
-        """All words one after the other, and how many each text has."""
+    def words(self) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Distinct words, the number of each word in that list, one after the other, and how many each text has."""
         offsets = np.append(0, np.cumsum(self.sizes)).astype(np.int64)
         array = pa.Array.from_buffers(
             pa.large_string(), len(self.sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(self.data))]
         )
         split = pc.ascii_split_whitespace(array)
-        flat, parent = pc.list_flatten(split), pc.list_parent_indices(split).to_numpy()
-        full = pc.not_equal(pc.binary_length(flat), 0)
-        counts = np.bincount(parent[full.to_numpy(zero_copy_only=False)], minlength=len(self.sizes))
-        return flat.filter(full).dictionary_encode(), counts
+        counts = pc.list_value_length(split).to_numpy().astype(np.int64)
+        coded = pc.list_flatten(split).dictionary_encode()
+        words, numbers = coded.dictionary, coded.indices.to_numpy()
+        empty = pc.index(words, pa.scalar("", words.type)).as_py()  # beside white space that nothing precedes or follows
+        if empty >= 0:
+            full = numbers != empty
+            counts = np.bincount(np.repeat(np.arange(len(counts)), counts)[full], minlength=len(counts))
+            numbers = numbers[full] - (numbers[full] > empty)
+            words = pa.concat_arrays([words[:empty], words[empty + 1 :]])
+        return words, numbers, counts
 
     def runs(self, depth: int) -> np.ndarray:
         """For each byte and end symbol of the texts, it and the ``depth`` bytes before it as one number.
@@ -88,10 +94,12 @@ class Texts:
         for k in range(depth + 1):
             runs <<= 8
             runs |= laid[k : len(laid) - depth + k]
-        begins = np.cumsum(self.sizes) - self.sizes + gap * np.arange(1, n + 1) - depth
-        size = self.sizes + 1
-        stops = np.cumsum(size)
-        return runs[np.repeat(begins - (stops - size), size) + np.arange(int(size.sum()))]
+        # What stands between an end symbol and the next text is not a text's.
+        runs, stops = runs[gap - depth :], np.cumsum(self.sizes + gap)
+        between = (stops[:-1, None] - np.arange(gap - 1)[None, ::-1] - 1).ravel()
+        wanted = np.ones(int(stops[-1]) - gap + 1 if n else 0, bool)
+        wanted[between] = False
+        return runs[: len(wanted)][wanted]
 
 
 def _added(keys: list[pa.Array], times: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
@@ -109,15 +117,15 @@ class _Block:
 
     def add(self, texts: Texts, training: np.ndarray, depth: int) -> None:
         self.size += len(texts.data)
-        coded, counts = texts.words()
+        words, numbers, counts = texts.words()
         learnt = np.repeat(training, counts)
-        self.words[0].append(coded.dictionary)
-        self.words[1].append(np.bincount(coded.indices.to_numpy()[learnt], minlength=len(coded.dictionary)))
+        self.words[0].append(words)
+        self.words[1].append(np.bincount(numbers[learnt], minlength=len(words)))
         runs, learnt = texts.runs(depth), np.repeat(training, texts.sizes + 1)
         for own, weight in ((runs[learnt], 1), (runs[~learnt], 0)):
-            found = pc.value_counts(pa.array(own))
-            self.runs[0].append(found.field("values"))
-            self.runs[1].append(found.field("counts").to_numpy() * weight)
+            found, times = np.unique(own, return_counts=True)
+            self.runs[0].append(pa.array(found))
+            self.runs[1].append(times * weight)
         self.slices += 1
         if self.slices % _SLICES == 0:
             self.words, self.runs = (([keys], [times.to_numpy()]) for keys, times in (_added(*self.words), _added(*self.runs)))
@@ -151,10 +159,9 @@ def _blocks(schema: pa.Schema, depth: int, block_bytes: int):
                 block = block or _Block()
                 texts, held_out = Texts.of(batch.column("text")), batch.column("held_out")
                 block.add(texts, ~held_out.to_numpy(zero_copy_only=False), depth)
-                packed = pa.Codec("zstd", 6).compress(np.ascontiguousarray(texts.data), asbytes=True)
+                packed = pa.Codec("zstd", 3).compress(np.ascontiguousarray(texts.data), asbytes=True)
                 columns = {"doc_ids": one(batch.column("doc_id")), "held": one(held_out), "sizes": one(pa.array(texts.sizes))}
                 yield row({**columns, "packed": pa.array([packed], pa.binary())})
-                pa.default_memory_pool().release_unused()
                 if block.size >= block_bytes:
                     yield from closed(block)
                     number, block = number + 1, None
@@ -311,34 +318,38 @@ def _scored(depth: int, train_tokens: int, distinct: int, train_docs: int, commo
         of_runs = right.select(["run", "value"]).filter(pc.is_valid(right["run"])).sort_by("run")
         own_scores = of_runs["run"].to_numpy(), of_runs["value"].to_numpy()
         del right, of_words, of_runs
-        out = []
+        slices = []
         for i in range(len(left)):
             ids, held, sizes = (left[c][i].values for c in ("doc_ids", "held", "sizes"))
             sizes = sizes.to_numpy()
             data = pa.decompress(left["packed"][i].as_buffer(), int(sizes.sum()), codec="zstd")
             texts = Texts(np.frombuffer(data, np.uint8), sizes)
-            coded, counts = texts.words()
-            n = len(sizes)
-            known, base = np.zeros(n, np.int64), np.zeros(n)
-            if len(coded):
-                found = times[pc.index_in(pc.cast(coded.dictionary, pa.string()), words).to_numpy()]
-                owner, own = np.repeat(np.arange(n), counts), found[coded.indices.to_numpy()]
-                known = np.bincount(owner[own > 0], minlength=n)
-                base = np.bincount(owner, np.log10(own + SMOOTHING) - total, n)
+            slices.append((ids, held, texts, *texts.words()))
+        # The words of the whole block are looked up at once.
+        wanted = pa.concat_arrays([pa.array([], pa.string()), *(s[3].cast(pa.string()) for s in slices)])
+        found = times[pc.index_in(wanted, words).to_numpy()] if len(wanted) else np.zeros(0)
+        out, begin = [], 0
+        for ids, held, texts, own_words, numbers, counts in slices:
+            sizes, n = texts.sizes, len(texts.sizes)
+            owner, own = np.repeat(np.arange(n), counts), found[begin : begin + len(own_words)][numbers]
+            begin += len(own_words)
+            known = np.bincount(owner[own > 0], minlength=n)
+            base = np.bincount(owner, np.log10(own + SMOOTHING) - total, n)
             base += np.log10(train_docs + SMOOTHING) - total
             runs = pa.array(texts.runs(depth)).dictionary_encode()
             wanted = runs.dictionary.to_numpy()
+            order = np.argsort(wanted)
+            wanted = wanted[order]
             value = np.zeros(len(wanted))
             for known_runs, scores in (common, own_scores):
                 at, here = _places(known_runs, wanted)
-                value[here] = scores[at[here]]
+                value[order[here]] = scores[at[here]]
             size = sizes + 1
             score = np.add.reduceat(value[runs.indices.to_numpy()], np.cumsum(size) - size)
             columns = [
                 ids, held, pa.array(counts + 1), pa.array(known + int(train_docs > 0)), pa.array(np.full(n, train_tokens)),
                 pa.array(base), pa.array(score), pa.array(-score * np.log2(10) / size),
             ]
-            pa.default_memory_pool().release_unused()
             out.append(pa.table(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]))
         return pa.concat_tables(out)
 
