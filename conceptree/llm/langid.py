@@ -9,13 +9,13 @@ bounded sample of labelled documents. A character that no piece covers is a piec
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from conceptree.llm.words import bounded, mix, small_batches
@@ -33,7 +33,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 20
 #: Distinct words whose scores a task keeps from batch to batch.
 KNOWN = 1 << 19
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def public_pieces(name: str = "piece_bpe_32k.model") -> list[str]:

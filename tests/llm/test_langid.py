@@ -52,3 +52,8 @@ def test_kept_scores_are_those_of_new_ones(p, monkeypatch):
     monkeypatch.setattr(langid, "KNOWN", 3)
     np.testing.assert_array_equal(scores.of(words), wanted)
     assert wanted[1].tolist() == [0, 0, 0] and wanted[0].tolist() == wanted[4].tolist()
+
+
+def test_letters():
+    assert not any(langid._LETTER.search(t) for t in ("½ ²", "Ⅷ", "12_3", "!", ""))
+    assert all(langid._LETTER.search(t) for t in ("1a", "é", "中", "ª"))
