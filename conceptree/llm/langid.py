@@ -5,6 +5,10 @@ with a mark at its start, is scored by the forward algorithm, which sums the pro
 its segmentations into pieces; a text's likelihood is the product over its words. The
 probabilities are fitted by expectation-maximisation with the same sums, on the word counts of a
 bounded sample of labelled documents. A character that no piece covers is a piece of its own kind.
+
+A word of any length is summed over all its segmentations: pieces are looked for in overlapping runs
+of ``LONGEST`` characters, and the sums at the last places go on from run to run. Only the fit takes
+longer words run by run.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from conceptree.session import materialize
 #: Documents of each language that the model is fitted on, about.
 SAMPLE_ROWS = 4000
 ROUNDS = 2
-#: Longer words are scored in runs of so many characters.
+#: Longer words are read in runs of so many characters.
 LONGEST = 48
 UNKNOWN_LANGUAGE = "und"
 _START = "▁"
@@ -135,11 +139,16 @@ def _by_length(runs: list[str], most: int = 1 << 15) -> Iterator[np.ndarray]:
             yield part[i : i + most]
 
 
-def forward(pieces: Pieces, runs: list[str], p: np.ndarray) -> np.ndarray:
-    """Log probability of each run under each language; ``p`` is scaled, pieces by languages."""
-    out = np.zeros((len(runs), p.shape[1]))
-    for part in _by_length(runs):
-        lengths, matches = pieces.matches([runs[i] for i in part.tolist()])
+def forward(pieces: Pieces, words: list[str], p: np.ndarray) -> np.ndarray:
+    """Log probability of each word under each language; ``p`` is scaled, pieces by languages."""
+    out = np.zeros((len(words), p.shape[1]))
+    sizes = np.array([*map(len, words)])
+    if len(long := np.flatnonzero(sizes > LONGEST)):
+        out[long] = _forward_long(pieces, [words[i] for i in long.tolist()], p)
+    short = np.flatnonzero(sizes <= LONGEST)
+    for part in _by_length([words[i] for i in short.tolist()]):
+        part = short[part]
+        lengths, matches = pieces.matches([words[i] for i in part.tolist()])
         alpha = np.zeros((lengths.max() + 1, len(part), p.shape[1]))
         alpha[0] = 1
         for (a, b), (rows, number) in sorted(matches.items()):
@@ -148,6 +157,48 @@ def forward(pieces: Pieces, runs: list[str], p: np.ndarray) -> np.ndarray:
     return out
 
 
+def _forward_long(pieces: Pieces, words: list[str], p: np.ndarray, most: int = 1 << 11) -> np.ndarray:
+    """``forward`` for words of any length, all of them one character further at a time.
+
+    The sums at the last ``pieces.longest`` places of each word are held, and scaled up now and then;
+    about ``most`` runs are searched for pieces at once.
+    """
+    back, langs = pieces.longest - 1, p.shape[1]
+    lengths = np.array([*map(len, words)])
+    order = np.argsort(-lengths, kind="stable")
+    lengths, padded = lengths[order], ["\0" * back + words[i] for i in order.tolist()]
+    chance = np.vstack([p, np.zeros((1, langs))])  # the last row, -1: no piece
+    last = np.zeros((len(words), pieces.longest, langs))  # the latest place first
+    last[:, 0] = 1
+    log = np.zeros((len(words), langs))
+    at = 0
+    while at < lengths[0]:
+        on = int((lengths > at).sum())
+        step = LONGEST * max(1, most // on)
+        ends = np.minimum(lengths[:on] - at, step)
+        counts = -(-ends // LONGEST)
+        first = np.cumsum(counts) - counts
+        runs = [padded[k][i : i + back + LONGEST] for k in range(on) for i in range(at, at + int(ends[k]), LONGEST)]
+        number = np.full((len(runs), LONGEST, pieces.longest), -1, np.int32)
+        for some in range(0, len(runs), most):
+            for (a, b), (rows, found) in pieces.matches(runs[some : some + most])[1].items():
+                if b > back:
+                    number[some + rows, b - back - 1, b - a - 1] = found
+        for t in range(int(ends[0])):
+            going = int(np.searchsorted(-ends, -t))
+            sums = (last[:going] * chance[number[first[:going] + t // LONGEST, t % LONGEST]]).sum(axis=1)
+            last[:going, 1:] = last[:going, :-1]
+            last[:going, 0] = sums
+            if t % 16 == 15:
+                top = last[:going].max(axis=1)
+                last[:going] /= top[:, None]
+                log[:going] += np.log(top)
+        at += step
+    out = np.zeros_like(log)
+    out[order] = log + np.log(last[:, 0]) - lengths[:, None] * np.log(_SCALE)
+    return out
+
+
 def expected(pieces: Pieces, runs: list[str], weight: np.ndarray, p: np.ndarray) -> np.ndarray:
     """Expected number of each piece over all segmentations; ``p`` is scaled, of one language."""
     counts = np.zeros(pieces.size)
@@ -243,10 +294,12 @@ def fit(docs: DataFrame, pieces: list[str] | None = None, sample_rows: int = SAM
     rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where(
         "lang is not null and text is not null"
     )
-    share = rows.groupBy("lang").agg((F.lit(float(sample_rows)) / F.count(F.lit(1))).alias("share"))
-    sampled = rows.join(share, "lang").where(
-        (F.xxhash64(F.lit(31), "text") / F.lit(float(1 << 63)) + 1) / 2 <= F.col("share")
-    )
+    # As many rows as there are languages; as literals, they are not joined, and no text is shuffled.
+    shares = {r["lang"]: sample_rows / r["count"] for r in rows.groupBy("lang").count().collect()}
+    share = F.lit(0.0)
+    for lang, own in shares.items():
+        share = F.when(F.col("lang") == lang, F.lit(own)).otherwise(share)
+    sampled = rows.where((F.xxhash64(F.lit(31), "text") / F.lit(float(1 << 63)) + 1) / 2 <= share)
     counts = materialize(
         sampled.select("lang", "text")
         .mapInArrow(_word_counts, "lang string, word string, n long")
@@ -283,15 +336,10 @@ class _Scores:
         if len(self.row) + len(forms) > KNOWN:
             self.row, self.log = {}, self.log[:0]
         fresh = [form for form in forms if form not in self.row]
-        runs, owner = [], []
-        for k, form in enumerate(fresh):
-            if form:
-                own = _runs(form)
-                runs.extend(own)
-                owner.extend([k] * len(own))
         log = np.zeros((len(fresh), self.log.shape[1]))
-        if runs and log.shape[1]:
-            np.add.at(log, np.array(owner), forward(self.pieces, runs, self.p))
+        worded = [k for k, form in enumerate(fresh) if form]
+        if worded and log.shape[1]:
+            log[worded] = forward(self.pieces, [_START + fresh[k].lower() for k in worded], self.p)
         self.row.update(zip(fresh, range(len(self.log), len(self.log) + len(fresh)), strict=True))
         self.log = np.concatenate([self.log, log])
         return self.log[np.fromiter(map(self.row.__getitem__, forms), np.int64, len(forms))]

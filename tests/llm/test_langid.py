@@ -1,5 +1,8 @@
 """The sums over all segmentations against their enumeration."""
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pytest
 
@@ -30,6 +33,31 @@ def test_forward(p):
         np.testing.assert_allclose(log, np.log(sum(np.prod(p[s], axis=0) for s in segmentations(run))))
 
 
+def log_of_all_segmentations(word, p):
+    """In exact fractions, place by place: longer words have too many segmentations to list."""
+    ways = [[Fraction(1)] * p.shape[1]]
+    for b in range(1, len(word) + 1):
+        total = [Fraction(0)] * p.shape[1]
+        for a in range(b):
+            piece = word[a:b]
+            if piece in PIECES or b - a == 1:
+                row = p[PIECES.index(piece) if piece in PIECES else len(PIECES)]
+                total = [t + w * Fraction(x) for t, w, x in zip(total, ways[a], row.tolist(), strict=True)]
+        ways.append(total)
+    return [math.log(t.numerator) - math.log(t.denominator) for t in ways[-1]]
+
+
+@pytest.mark.parametrize("most", [1, 3, 1 << 11])
+def test_long_words_are_summed_across_runs(p, most):
+    """Pieces lie across every border of the runs; words of several lengths go on together."""
+    words = ["▁" + "abc" * 40, "▁" + "bca" * 17, "▁" + "ab" * 24, "▁" + "abcxa" * 70, "▁" + "c" * 95, "▁" + "abcab" * 19 + "ab"]
+    pieces, scaled = langid.Pieces(PIECES), langid.scaled(PIECES, p)
+    wanted = [log_of_all_segmentations(w, p) for w in words]
+    np.testing.assert_allclose(langid._forward_long(pieces, words, scaled, most), wanted)
+    np.testing.assert_allclose(langid.forward(pieces, ["▁ab", *words, "▁"], scaled)[1:-1], wanted)
+    np.testing.assert_allclose(langid._forward_long(pieces, RUNS, scaled, most), langid.forward(pieces, RUNS, scaled))
+
+
 def test_expected(p):
     weight = np.arange(1.0, len(RUNS) + 1)
     found = langid.expected(langid.Pieces(PIECES), RUNS, weight, langid.scaled(PIECES, p)[:, 0])
