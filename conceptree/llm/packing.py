@@ -5,9 +5,12 @@ every source lasts to the end; mixing weights are realised before (see ``mixing`
 is a queue in permuted order, and place ``p`` of a source with share ``w`` belongs to group
 ``p // (w * GROUP)``, so that a group of about ``GROUP`` tokens, packed by one task, holds all
 sources in the target proportions. A window gives each source a quantum, its share of
-the window's size; the source with the largest deficit is served with its next document until the
-window is full, and deficits carry over to the next window. Where the last document of a queue
-reaches beyond its group, the source starts the next group with that deficit.
+the window's size; the source with the largest deficit is served until the window is full, and
+deficits carry over to the next window. A turn ends where the deficit is used up, in the middle of
+a document if need be, but not before ``TURN`` tokens, or the document's end, so that a window isn't cut into
+pieces of a few tokens each. So no source whose queue lasts is ever ``TURN`` tokens or more ahead of its share of the
+group's windows so far. Where the last document of a queue reaches beyond its group, the source starts
+the next group with that deficit; when other queues have run out, the last windows of a group take what is left.
 
 Windows have ``LENGTH`` tokens; what is left at the end of a group is cut into windows whose sizes
 are powers of two, so no padding is needed anywhere. Only lengths are scheduled: texts are
@@ -16,6 +19,7 @@ tokenised once, and the ids are stored and shuffled once to be cut.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -30,6 +34,8 @@ from conceptree.session import materialize
 
 LENGTH = 4096
 GROUP = 1 << 19
+#: A turn takes so many tokens at least.
+TURN = 128
 _WINDOW_BITS = 24
 
 
@@ -70,7 +76,7 @@ def schedule(queues: list[list[int]], shares: np.ndarray, deficits: np.ndarray)
         offset = 0
         while offset < size:
             s = int(np.argmax(np.where(idle, -np.inf, deficits)))
-            length = min(size - offset, queues[s][head[s]] - start[s])
+            length = min(size - offset, queues[s][head[s]] - start[s], max(TURN, math.ceil(deficits[s])))
             yield s, head[s], start[s], length, window, offset
             offset += length
             start[s] += length
