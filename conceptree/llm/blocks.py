@@ -8,8 +8,21 @@ from conceptree.session import materialize
 
 
 def group_key(*columns: str) -> Column:
-    """One text per distinct combination of values; null is a value of its own."""
-    return F.concat_ws("", *[F.when(F.col(c).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(c).cast("string"))) for c in columns])
+    """One text per distinct combination of values, each behind its length; null is a value of its own."""
+
+    def marked(column: str) -> Column:
+        text = F.col(column).cast("string")
+        return F.when(text.isNull(), F.lit("n")).otherwise(F.concat(F.char_length(text).cast("string"), F.lit(":"), text))
+
+    return F.concat_ws("", *[marked(c) for c in columns])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, behind as many underscores as it takes for ``df`` not to have it, in upper or lower case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def running_totals(

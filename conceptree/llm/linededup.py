@@ -21,9 +21,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from conceptree.functions.tables import union_all
+from conceptree.llm.blocks import free_name
 from conceptree.llm.words import mix, small_batches
 from conceptree.session import materialize
 
@@ -206,15 +207,27 @@ def remove_shared_lines(docs: DataFrame, min_words: int = MIN_WORDS, drop_emptie
     Its columns and rows stay; with ``drop_emptied``, documents that lose their last word go.
     "Earlier" is a smaller doc_id. Repeated lines of one document stay. A null text and rows
     without doc_id are left as they are; rows that repeat a doc_id are one document, and each loses the
-    line numbers found in any of them. An empty table gives an empty result.
+    line numbers found in any of them. Other columns, whatever their names, go along. An empty table gives an empty result.
     """
-    removed = materialize(lines_to_remove(docs, min_words), "lines_removed").select(F.col("doc_id").alias("_doc"), "removed")
-    removed = removed.withColumnRenamed("removed", "_removed")
-    rows = docs.join(removed.hint("merge"), docs["doc_id"].cast("long") == F.col("_doc"), "left")
-    left = F.array_join(
-        F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("_removed", i)), "\n"
-    )
-    rows = rows.withColumn("text", F.when(F.col("_removed").isNull(), F.col("text")).otherwise(left))
+    doc, removed = free_name(docs, "_doc"), free_name(docs, "_removed")
+    found = materialize(lines_to_remove(docs, min_words), "lines_removed").select(F.col("doc_id").alias(doc), F.col("removed").alias(removed))
+    rows = docs.join(found.hint("merge"), docs["doc_id"].cast("long") == F.col(doc), "left")
+    rows = rows.withColumn("text", F.when(F.col(removed).isNull() | F.col("text").isNull(), F.col("text")).otherwise(_without(removed)))
     if drop_emptied:
-        rows = rows.where(F.col("_removed").isNull() | (F.btrim("text", F.lit(" \t\n\x0b\f\r")) != ""))
+        rows = rows.where(F.col(removed).isNull() | (F.btrim("text", F.lit(" \t\n\x0b\f\r")) != ""))
     return rows.select(*docs.columns)
+
+
+def _without(removed: str) -> Column:
+    """The text without the lines numbered in the sorted array ``removed``: what lies between them is copied once."""
+
+    def kept(lines: Column) -> Column:
+        edges = F.concat(F.array(F.lit(-1)), F.filter(removed, lambda i: i < F.size(lines)), F.array(F.size(lines)))
+        return F.transform(F.array(edges), lambda at: F.flatten(F.transform(F.sequence(F.lit(1), F.size(at) - 1), lambda k: between(lines, at, k))))[0]
+
+    def between(lines: Column, at: Column, k: Column) -> Column:
+        before = F.element_at(at, k)
+        return F.slice(lines, before + 2, F.element_at(at, k + 1) - before - 1)
+
+    # Lambdas over arrays of one element, so that lines and edges are made once for a text.
+    return F.array_join(F.transform(F.array(F.split("text", "\n", -1)), kept)[0], "\n")

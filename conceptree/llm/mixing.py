@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from conceptree.llm.blocks import group_key, running_totals
+from conceptree.llm.blocks import free_name, group_key, running_totals
 from conceptree.session import materialize
 
 #: The exponent is looked for between 0 (equal weights) and this; 1 keeps the natural shares.
@@ -148,9 +148,11 @@ def mix_sources(
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs``, each as often as its document is drawn, with the columns of ``docs``."""
-    times = mix_sources(docs, **how).groupBy("doc_id", "source").agg(F.count(F.lit(1)).cast("int").alias("_times"))
-    marks = times.select(group_key("doc_id", "source").alias("_mark"), "_times")
-    rows = docs.withColumn("_mark", group_key("doc_id", "source"))
-    found = rows.join(marks, "_mark")
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    """The rows of ``docs``, each as often as its document is drawn, with the columns of ``docs``.
+
+    Other columns, whatever their names, go along; for nulls, ties, repeated rows and empty tables see ``mix_sources``.
+    """
+    mark, times, copy = (free_name(docs, c) for c in ("_mark", "_times", "_copy"))
+    drawn = mix_sources(docs, **how).groupBy("doc_id", "source").agg(F.count(F.lit(1)).cast("int").alias(times))
+    found = docs.withColumn(mark, group_key("doc_id", "source")).join(drawn.select(group_key("doc_id", "source").alias(mark), times), mark)
+    return found.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)

@@ -4,11 +4,13 @@ import random
 import zlib
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from conftest import got
 from pyspark.sql import functions as F
 
-from conceptree.llm import linededup, mixing, topk, warc
+from conceptree.llm import linededup, mixing, packing, topk, warc
+from conceptree.llm.blocks import group_key
 from conceptree.llm.langid import identify_languages
 from conceptree.llm.neardup import near_duplicates
 from conceptree.llm.packing import pack, window_sizes
@@ -16,7 +18,9 @@ from conceptree.llm.passages import remove_repeated_passages
 from conceptree.llm.quality import score_quality
 from conceptree.llm.rules import quality_rules
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, key long, mark string, n long, block int, before long"
+CLASHING = ("n_chars long, score double, key long, mark string, n long, block int, before long, _removed int, _doc long, "
+            "_id long, _mark string, _copy int, _times int, _lang_pred string, _score double")
+SCHEMA = "doc_id long, text string, lang string, source string, " + CLASHING
 WORDS = [f"{a}{b}" for a in ("the", "an", "or", "wh", "st", "ly") for b in ("ing", "er", "ed", "ion", "es", "ou")]
 
 
@@ -35,7 +39,7 @@ ROWS = [
 @pytest.fixture(scope="module")
 def docs(make, spark):
     rows = make("doc_id long, text string, lang string, source string", *ROWS)
-    for name, kind in [c.split(" ") for c in SCHEMA.split(", ")][4:]:
+    for name, kind in [c.split(" ") for c in CLASHING.split(", ")]:
         rows = rows.withColumn(name, F.lit(7).cast(kind))
     return rows
 
@@ -146,5 +150,43 @@ def test_top_k(make):
 def test_stages_on_odd_rows(spark, docs, none):
     for rows in (docs, none):
         for _, stage in corpus_pipeline.STAGES[:-1]:
-            assert stage(spark, rows, "").columns == rows.columns
-            stage(spark, rows, "").count()
+            left = stage(spark, rows, "")
+            assert left.columns == rows.columns
+            extra = {tuple(r) for r in left.drop("doc_id", "text", "lang", "source").collect()}
+            assert extra <= {tuple(r) for r in rows.drop("doc_id", "text", "lang", "source").collect()}
+        assert (corpus_pipeline.STAGES[-1][1](spark, rows, "").count() > 0) == (rows is docs)
+
+
+def test_group_keys_tell_values_apart(make):
+    rows = make("a string, b string", ("1va", "b"), ("1", "avb"), ("1v", "ab"), (None, "n"), ("n", None), ("", None), (None, ""))
+    assert rows.select(group_key("a", "b").alias("key")).distinct().count() == 7
+
+
+def test_lines_between_removed_ones(make):
+    text = "a\n\nb\nc\n"
+    rows = make("text string, gone array<int>", *[(text, gone) for gone in ([], [0], [4], [1, 3], [0, 1, 2, 3, 4], [2, 9])])
+    left = [r[0] for r in rows.select(linededup._without("gone")).collect()]
+    assert left == [text, "\nb\nc\n", "a\n\nb\nc", "a\nb\n", "", "a\n\nc\n"]
+
+
+def test_windows_hold_target_proportions():
+    """No source is a turn ahead of its share at any window's end while all queues last, and every token is served once."""
+    rng = np.random.default_rng(4)
+    for sources in (1, 2, 7, 20):
+        tokens = rng.dirichlet(np.ones(sources)) * 300_000 + 5_000
+        queues = []
+        for t in tokens:
+            queue = []
+            while sum(queue) < t:
+                queue.append(int(rng.integers(1, 3_000)))
+            queues.append(queue)
+        shares = np.array([sum(q) for q in queues], float)
+        shares /= shares.sum()
+        served, done, at = np.zeros(sources), 0, {}
+        for s, k, start, length, window, offset in packing.schedule(queues, shares, np.zeros(sources)):
+            assert start == at.get((s, k), 0) and length > 0
+            at[s, k] = start + length
+            served[s] += length
+            done += length
+            assert served[s] < shares[s] * min(sum(map(sum, queues)), (window + 1) * packing.LENGTH) + packing.TURN
+        assert at == {(s, k): n for s, q in enumerate(queues) for k, n in enumerate(q)}
