@@ -202,13 +202,10 @@ def numeric_concept_values(
         columns = {c.lower(): c for c in data.rows.columns}
         for birth in ("birth_datetime", "birth_date"):
             if birth in columns:
-                ages = mine.where(F.col("number").contains("DATEDIFF")).select("external_id", "dataset")
+                # The age concepts, a few fixed ones, as one list: a join of all people would have one key.
+                ages = mine.where(F.col("number").contains("DATEDIFF")).agg(F.collect_list("external_id")).scalar()
                 age = age_in_years(F.col(columns[birth]), F.lit(as_of).cast("date"))
-                parts.append(
-                    data.rows.select(person, age.alias("value"), F.lit(name).alias("dataset"))
-                    .join(ages, "dataset")
-                    .select("external_id", "person_id", "value")
-                )
+                parts.append(data.rows.select(F.explode(ages).alias("external_id"), person, age.alias("value")))
         if "value_as_number" in columns:
             parts += _measured_numbers(mine.where("number = '@.value_as_number'"), data, person, ancestors)
     return union_all(*parts)

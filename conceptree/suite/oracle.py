@@ -500,6 +500,10 @@ for _name in ("cat_omop", "cat_pcornet"):
 # ================================================================================ queries
 _ORACLES["scan_filter"] = "SELECT aui, sab, code, tty, str FROM terms"
 _ORACLES["semi_join_restrict"] = "SELECT aui, ptr FROM paths"
+_ORACLES["stored_vocabulary_paths"] = "SELECT aui, ptr FROM paths"
+_ORACLES["stored_vocabulary_terms"] = """
+SELECT aui, sab, code, tty, str FROM mrconso WHERE sab IN (SELECT sab FROM mrconso WHERE tty = 'HT')
+"""
 _ORACLES["values_source"] = """
 SELECT enc_type, ui_display_name, count(*) AS encounters, count(DISTINCT patid) AS patients
 FROM encounter JOIN (VALUES ('AV', 'Outpatient'), ('ED', 'Emergency'), ('EI', 'Emergency/Inpatient'), ('IP', 'Inpatient'))

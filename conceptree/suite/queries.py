@@ -22,6 +22,7 @@ from conceptree.plans.vocabulary import get_ontology, insert_concepts
 from conceptree.schema import CONCEPT
 from conceptree.sources.clinical import death_view
 from conceptree.sources.sinks import append_rows
+from conceptree.sources.layout import VocabularyLayout
 from conceptree.sources.stored import StoredTable
 from conceptree.sources.testmap import ROOT, TestTables
 from conceptree.session import materialize, new_table_path
@@ -122,6 +123,25 @@ def semi_join_restrict(spark, t):
     return onto.vocabulary_paths(t["mrhier"], parts_terms(t))
 
 
+@query("stored_vocabulary_paths")
+def stored_vocabulary_paths(spark, t):
+    """The paths of one vocabulary, read from its folder alone."""
+    return _layout(spark, t).paths(VOCABULARY)
+
+
+@query("stored_vocabulary_terms")
+def stored_vocabulary_terms(spark, t):
+    """The terms of the vocabularies that have headings: which folders are read is known at run time only."""
+    headings = t["mrconso"].groupBy("sab").agg(F.count_if(F.col("tty") == "HT").alias("headings"))
+    return _layout(spark, t).terms_of(materialize(headings, "vocabularies").where("headings > 0").select("sab"))
+
+
+def _layout(spark, t) -> VocabularyLayout:
+    layout = VocabularyLayout(spark, new_table_path(spark, "vocabularies"))
+    layout.write(t["mrconso"], t["mrhier"])
+    return layout
+
+
 @query("values_source")
 def values_source(spark, t):
     """Inline encounter types beside the encounters they select."""
