@@ -33,15 +33,21 @@ def match_ranges(codes: DataFrame, ranges: DataFrame) -> DataFrame:
     texts = codes.union(ranges.select("lo")).union(ranges.select("hi")).distinct()
     places = number_rows(texts, ["code"], "at", start=0)
 
-    level = F.col("level")
-    points = (
-        codes.join(places, "code")
-        .select("code", "at", F.explode(F.sequence(F.lit(0), F.lit(_TOP))).alias("level"))
-        .select("code", "level", F.call_function("shiftright", F.col("at"), level).alias("block"))
-    )
-
     first = places.select(F.col("code").alias("lo"), F.col("at").alias("a"))
     last = places.select(F.col("code").alias("hi"), (F.col("at") + 1).alias("b"))
+    spans = ranges.join(first, "lo").join(last, "hi")
+    return match_places(codes.join(places, "code"), spans).select("lo", "hi", "code")
+
+
+def match_places(points: DataFrame, spans: DataFrame) -> DataFrame:
+    """Each row of ``points`` with each row of ``spans`` for which ``a <= at < b``.
+
+    ``points`` has a number ``at``, ``spans`` have ``a`` and ``b``; numbers are at least 0. Other columns go along.
+    """
+    level = F.col("level")
+    points = points.select("*", F.explode(F.sequence(F.lit(0), F.lit(_TOP))).alias("level")).withColumn(
+        "block", F.call_function("shiftright", F.col("at"), level)
+    )
     size = F.call_function("shiftleft", F.lit(1).cast("long"), level)
     # Whole blocks of this size inside [a, b): numbers f .. t - 1. Those that pair up into
     # larger blocks are left to the next level; what remains is an odd one at either end.
@@ -54,16 +60,10 @@ def match_ranges(codes: DataFrame, ranges: DataFrame) -> DataFrame:
     )
     rest = F.when(f < t, F.sequence(f, t - 1)).otherwise(F.array().cast("array<bigint>"))
     blocks = (
-        ranges.join(first, "lo")
-        .join(last, "hi")
-        .select("lo", "hi", "a", "b", F.explode(F.sequence(F.lit(0), F.lit(_TOP))).alias("level"))
-        .select(
-            "lo",
-            "hi",
-            "level",
-            F.call_function("shiftright", F.col("a") + size - 1, level).alias("f"),
-            F.call_function("shiftright", F.col("b"), level).alias("t"),
-        )
-        .select("lo", "hi", "level", F.explode(F.when(level < _TOP, odd_ends).otherwise(rest)).alias("block"))
+        spans.select("*", F.explode(F.sequence(F.lit(0), F.lit(_TOP))).alias("level"))
+        .withColumn("f", F.call_function("shiftright", F.col("a") + size - 1, level))
+        .withColumn("t", F.call_function("shiftright", F.col("b"), level))
+        .withColumn("block", F.explode(F.when(level < _TOP, odd_ends).otherwise(rest)))
+        .drop("f", "t")
     )
-    return blocks.join(points, ["level", "block"]).select("lo", "hi", "code")
+    return blocks.join(points, ["level", "block"]).drop("level", "block")

@@ -697,6 +697,10 @@ SELECT CAST(parent_concept_id AS VARCHAR) AS parent_concept_id, parent_concept_n
 """
 _ORACLES["transitive_closure"] = "SELECT * FROM closure"
 _ORACLES["closure_extended"] = "SELECT * FROM closure"
+_ORACLES["interval_labels"] = """
+SELECT ancestor_concept_id, descendant_concept_id, CAST(1 AS BIGINT) AS root_concept_id FROM closure
+UNION ALL SELECT DISTINCT concept_id, concept_id, 1 FROM levels
+"""
 _ORACLES["renewed_counts"] = """
 SELECT a.ancestor_concept_id AS concept_id, count(DISTINCT m.person_id) AS patient_count
 FROM ancestors a JOIN measurement m ON m.measurement_concept_id = a.descendant_concept_id GROUP BY 1
@@ -782,6 +786,7 @@ SELECT external_id, CASE WHEN external_id LIKE 'demographics:vital:deceased' THE
                          ELSE ui_display_patient_count END
 FROM cat_demographics
 """
+_ORACLES["cohort_counts_labels"] = _ORACLES["cohort_counts_omop"]
 _ORACLES["numeric_concept_values"] = """
 SELECT 'lab:' || measurement_concept_id AS external_id, person_id, value_as_number AS value FROM measurement
 WHERE value_as_number IS NOT NULL AND measurement_concept_id IN (SELECT concept_id FROM cleaned WHERE is_numeric = 1)

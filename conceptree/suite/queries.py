@@ -14,6 +14,7 @@ from conceptree.functions.ranges import match_ranges
 from conceptree.functions.tables import append_absent, exclude, restrict, union_all, update_from
 from conceptree.functions.text import age_in_years
 from conceptree.operators import cohort, extracts, hierarchy, labs, ontology as onto, people
+from conceptree.operators.intervals import interval_labels
 from conceptree.operators.paths import path_decode
 from conceptree.operators.registry import dataset_registry, fixed_catalog, fixed_rows
 from conceptree.plans.omop import LabBuild, build_catalog_omop, with_links
@@ -600,6 +601,18 @@ def closure_extended(spark, t):
     return hierarchy.extended_closure(stored, levels.where(added))
 
 
+def lab_labels(build: LabBuild):
+    return interval_labels(build.levels.select(F.col("parent_concept_id").alias("above"), F.col("concept_id").alias("below")))
+
+
+@query("interval_labels")
+def interval_label_pairs(spark, t):
+    """Each laboratory concept with all that its intervals hold, and with its root."""
+    labels = lab_labels(lab(spark, t))
+    roots = labels.places.select(F.col("node").alias("descendant_concept_id"), F.col("root").alias("root_concept_id"))
+    return labels.descendants().join(roots, "descendant_concept_id")
+
+
 @query("lab_candidates")
 def lab_candidates(spark, t):
     return shown(lab(spark, t).candidates, *LAB)
@@ -726,19 +739,34 @@ def cohort_counts(spark, t):
     return cohort.cohort_counts(catalog, pcornet_datasets(t))
 
 
-@query("cohort_counts_omop")
-def cohort_counts_omop(spark, t):
-    """Patients of every lab and vital-status concept, by equality, descent, result and absence."""
-    build = lab(spark, t)
-    catalog = build.concepts.unionByName(
+def omop_catalog(spark: SparkSession, t: TestTables, build: LabBuild) -> DataFrame:
+    return build.concepts.unionByName(
         people.demographic_concepts(t["person"], t["concept"], t["death"], omop(spark))
     )
-    datasets = {
+
+
+def omop_datasets(t: TestTables) -> dict[str, cohort.Dataset]:
+    return {
         "dbo.measurement": cohort.Dataset(t["measurement"]),
         "dbo.person": cohort.Dataset(t["person"]),
         "dbo.v_death": cohort.Dataset(death_view(t["death"])),
     }
-    return cohort.cohort_counts(catalog, datasets, build.ancestors)
+
+
+@query("cohort_counts_omop")
+def cohort_counts_omop(spark, t):
+    """Patients of every lab and vital-status concept, by equality, descent, result and absence."""
+    build = lab(spark, t)
+    return cohort.cohort_counts(omop_catalog(spark, t, build), omop_datasets(t), build.ancestors)
+
+
+@query("cohort_counts_labels")
+def cohort_counts_labels(spark, t):
+    """The same, with descent told by interval labels; no table of ancestors is read for it."""
+    build = lab(spark, t)
+    catalog = materialize(omop_catalog(spark, t, build), "catalog")
+    wanted = catalog.where("predicate.kind = 'descendant_of'").select(F.col("predicate.lo").cast("long").alias("node"))
+    return cohort.cohort_counts(catalog, omop_datasets(t), lab_labels(build).descendants(wanted))
 
 
 @query("numeric_concept_values")
