@@ -7,11 +7,16 @@ from it, and the vectors sorted by these are cut into blocks, the annuli. The an
 query block's own place give each query a bound on its k-th score, that is a radius; by the
 triangle inequality only annuli within that radius of the query's distance to their pivot can hold
 better ones, and the search stops there.
+
+Equal vectors are one class, which is indexed once: of its ids, only the ``k + 1`` smallest can be a result
+of any query, and its queries share one search. Pivots grow with the square root of the classes. Blocks
+meet by their numbers and borders first; vectors follow to the pairs that are left.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +25,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from conceptree.llm.words import small_batches
 from conceptree.session import materialize
 
-PIVOTS = 32
+#: Pivots at least and at most; between them a sixteenth of the square root of the classes.
+PIVOTS, MOST_PIVOTS = 32, 2048
 #: Vectors of an annulus and of a query block.
 ANNULUS, QUERIES = 2048, 512
 _EXACT = float(1 << 53)
@@ -59,10 +65,11 @@ def _matrix(rows: list[bytes], dim: int) -> np.ndarray:
 
 
 class Pivots:
-    """Pivots among the lifted vectors; ``most`` is the largest squared norm."""
+    """Pivots among the lifted vectors; ``most`` is the largest squared norm, ``ids`` an id of each."""
 
-    def __init__(self, vectors: np.ndarray, most: float):
-        self.vectors = np.unique(vectors, axis=0)
+    def __init__(self, vectors: np.ndarray, ids: list[int], most: float):
+        self.vectors = vectors
+        self.single = np.unique(ids, return_index=True)[1]
         self.most = most
         self.lifts = np.sqrt(np.maximum(most - (self.vectors**2).sum(axis=1), 0))
 
@@ -74,36 +81,47 @@ class Pivots:
         return np.sqrt(np.maximum(square, 0))
 
 
-def _keyed(pivots: Pivots, dim: int):
+def _keyed(pivots: Pivots, dim: int, k: int):
+    """Nearest pivot and distance; and the k-th score with the pivots, which no k-th score is below."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                d = pivots.distances(_matrix(batch.column("v").to_pylist(), dim), lifted=True)
+                x = _matrix(batch.column("v").to_pylist(), dim)
+                d = pivots.distances(x, lifted=True)
                 near = d.argmin(axis=1)
+                floor = np.full(len(x), -np.inf)
+                if len(pivots.single) >= k:
+                    s = _scores(x, pivots.vectors[pivots.single]).astype(float)
+                    floor = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+                columns = [pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(d)), near]), pa.array(floor)]
                 yield pa.record_batch(
-                    [batch.column("vec_id"), batch.column("v"), pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(d)), near])],
-                    ["vec_id", "v", "pivot", "distance"],
+                    [*(batch.column(c) for c in ("class", "ids", "v")), *columns], ["class", "ids", "v", "pivot", "distance", "floor"]
                 )
 
     return run
 
 
+_ROW = ("class", "ids", "v", "pivot", "distance", "floor")
+_BLOCK = {
+    "pivot": pa.int32(), "low": pa.float64(), "high": pa.float64(), "classes": pa.list_(pa.int64()),
+    "ids": pa.list_(pa.list_(pa.int64())), "vectors": pa.list_(pa.binary()), "floors": pa.list_(pa.float64()),
+}
+
+
 def _annuli(size: int):
     """Cuts rows sorted by pivot and distance into blocks of one pivot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(rows: list[tuple]) -> pa.RecordBatch:
-            ids, vectors, pivot, distance = zip(*rows, strict=True)
-            columns = [
-                pa.array([pivot[0]], pa.int32()), pa.array([distance[0]]), pa.array([distance[-1]]),
-                pa.array([list(ids)], pa.list_(pa.int64())), pa.array([list(vectors)], pa.list_(pa.binary())),
-            ]
-            return pa.record_batch(columns, ["pivot", "low", "high", "ids", "vectors"])
+            classes, ids, vectors, pivot, distance, floors = map(list, zip(*rows, strict=True))
+            values = pivot[0], distance[0], distance[-1], classes, ids, vectors, floors
+            return pa.record_batch([pa.array([v], t) for v, t in zip(values, _BLOCK.values(), strict=True)], list(_BLOCK))
 
         held: list[tuple] = []
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("vec_id", "v", "pivot", "distance")), strict=True):
-                if held and (row[2] != held[0][2] or len(held) == size):
+            for row in zip(*(batch.column(c).to_pylist() for c in _ROW), strict=True):
+                if held and (row[3] != held[0][3] or len(held) == size):
                     yield done(held)
                     held = []
                 held.append(row)
@@ -114,9 +132,10 @@ def _annuli(size: int):
 
 
 def _blocks(keyed: DataFrame, size: int, name: str) -> DataFrame:
-    ranged = keyed.repartitionByRange("pivot", "distance", "vec_id").sortWithinPartitions("pivot", "distance", "vec_id")
-    blocks = ranged.select("vec_id", "v", "pivot", "distance").mapInArrow(
-        _annuli(size), "pivot int, low double, high double, ids array<long>, vectors array<binary>"
+    ranged = keyed.repartitionByRange("pivot", "distance", "class").sortWithinPartitions("pivot", "distance", "class")
+    blocks = ranged.select(*_ROW).mapInArrow(
+        _annuli(size),
+        "pivot int, low double, high double, classes array<long>, ids array<array<long>>, vectors array<binary>, floors array<double>",
     )
     return materialize(blocks.withColumn(name, F.monotonically_increasing_id()), name)
 
@@ -130,28 +149,25 @@ def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.array([[min(max(sum(a * b for a, b in zip(r, s, strict=True)), -most - 1), most) for s in whole[1]] for r in whole[0]], np.int64)
 
 
-def _by_id(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order of the columns by id, and where each id starts in it."""
-    order = np.argsort(ids, kind="stable")
-    own = ids[order]
-    return order, np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-
-
 def _first_bounds(k: int, dim: int):
-    """The k-th score of each query within one annulus, of the best scores of each id."""
+    """The k-th score of each query within one annulus; an id of several classes counts in one of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                s = _scores(_matrix(row["q_vectors"], dim), _matrix(row["vectors"], dim)).astype(float)
-                s[np.array(row["q_ids"])[:, None] == np.array(row["ids"])] = -np.inf
-                order, starts = _by_id(np.array(row["ids"]))
-                if len(starts) < s.shape[1]:
-                    s = np.maximum.reduceat(s[:, order], starts, axis=1)
-                if s.shape[1] >= k:
-                    bound = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
-                    ok = np.isfinite(bound)
-                    yield pa.record_batch([pa.array(np.array(row["q_ids"])[ok]), pa.array(bound[ok])], ["vec_id", "bound"])
+                sizes = [len(ids) for ids in row["ids"]]
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                held = np.bincount(owner[np.unique(np.concatenate(row["ids"]), return_index=True)[1]], minlength=len(sizes))
+                if held.sum() < k:
+                    continue
+                used = np.flatnonzero(held)
+                s = _scores(_matrix(row["q_vectors"], dim), _matrix(row["vectors"], dim)[used]).astype(float)
+                top = np.argpartition(-s, min(k, len(used)) - 1, axis=1)[:, :k]
+                s = np.take_along_axis(s, top, axis=1)
+                order = np.argsort(-s, axis=1)
+                enough = (np.cumsum(held[used][np.take_along_axis(top, order, axis=1)], axis=1) >= k).argmax(axis=1)
+                bound = np.take_along_axis(s, np.take_along_axis(order, enough[:, None], axis=1), axis=1)[:, 0]
+                yield pa.record_batch([pa.array(row["q_classes"], pa.int64()), pa.array(bound)], ["class", "bound"])
 
     return run
 
@@ -182,27 +198,30 @@ def _rings(pivots: Pivots, q: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarra
 
 
 def _results(k: int, pivots: Pivots, dim: int):
+    """The k best ids of each query class in an annulus, of those that reach its bound."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids, q_ids, bounds = (np.array(row[c]) for c in ("ids", "q_ids", "bounds"))
+                ids = [np.array(own, np.int64) for own in row["ids"]]
+                asked, bounds = np.array(row["q_classes"], np.int64), np.array(row["bounds"], float)
                 q = _matrix(row["q_vectors"], dim)
-                low, high = _rings(pivots, q, bounds.astype(float))
+                low, high = _rings(pivots, q, bounds)
                 inside = np.flatnonzero((low[:, row["pivot"]] <= row["high"]) & (high[:, row["pivot"]] >= row["low"]))
-                s = _scores(q[inside], _matrix(row["vectors"], dim))
-                order, starts = _by_id(ids)
-                if len(starts) < len(ids):
-                    s, ids = np.maximum.reduceat(s[:, order], starts, axis=1), ids[order][starts]
-                out = [[], [], []]
-                for i, own in zip(inside.tolist(), s, strict=True):
-                    at = np.flatnonzero((own >= bounds[i]) & (ids != q_ids[i]))
-                    if len(at) > k:
-                        at = at[np.lexsort((ids[at], -own[at]))[:k]]
-                    out[0].append(np.full(len(at), q_ids[i]))
-                    out[1].append(ids[at])
-                    out[2].append(own[at])
-                if inside.size:
-                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in out], ["query_id", "vec_id", "score"])
+                out: list[list] = [[], [], []]
+                for i, own in zip(inside.tolist(), _scores(q[inside], _matrix(row["vectors"], dim)), strict=True):
+                    at = np.flatnonzero(own >= bounds[i]).tolist()
+                    if at:
+                        found = np.concatenate([ids[c] for c in at])
+                        score = np.repeat(own[at], [len(ids[c]) for c in at])
+                        best = np.lexsort((-score, found))
+                        best = best[np.append(True, found[best][1:] != found[best][:-1])]
+                        best = best[np.lexsort((found[best], -score[best]))[:k]]
+                        out[0].append(np.full(len(best), asked[i]))
+                        out[1].append(found[best])
+                        out[2].append(score[best])
+                if out[0]:
+                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in out], ["class", "vec_id", "score"])
 
     return run
 
@@ -226,51 +245,70 @@ def exact_top_k(vectors: DataFrame, column: str = "embedding", k: int = 20, ever
     dim, most = whole.agg(F.max("dim"), F.max("norm2")).first()
     if dim is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    spread = whole.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(PIVOTS).select("v").collect()
-    pivots = Pivots(_matrix([bytes(r["v"]) for r in spread], dim), most)
+    # A query's own id may be among its class' k + 1 best, and k are left without it.
+    one_more = k + 1
+    rows = whole.select("vec_id", "v").distinct()
+    # The limit on the row number is applied before the shuffle too, so a hot vector sends k + 1 rows a task.
+    place = F.row_number().over(W.partitionBy("v").orderBy("vec_id"))
+    classes = rows.withColumn("place", place).where(F.col("place") <= one_more).groupBy("v")
+    classes = classes.agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    classes = materialize(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
+    asking = whole.where(F.col("vec_id") % every == 0).select("vec_id", "v").distinct()
+    asking = materialize(asking.join(classes.select("v", "class"), "v").select(F.col("vec_id").alias("query_id"), "class"), "asking")
+
+    n = min(MOST_PIVOTS, max(PIVOTS, isqrt(classes.count()) // 16))
+    spread = classes.orderBy(F.xxhash64("v"), "class").limit(n).select("v", F.col("ids")[0].alias("id")).collect()
+    pivots = Pivots(_matrix([bytes(r["v"]) for r in spread], dim), [r["id"] for r in spread], most)
     keyed = materialize(
-        whole.select("vec_id", "v").distinct().mapInArrow(_keyed(pivots, dim), "vec_id long, v binary, pivot int, distance double"), "keyed"
+        classes.mapInArrow(
+            _keyed(pivots, dim, one_more), "class long, ids array<long>, v binary, pivot int, distance double, floor double"
+        ),
+        "keyed",
     )
-    annuli = _blocks(keyed, ANNULUS, "annulus")
-    asked = keyed.where(F.col("vec_id") % every == 0)
-    block = lambda df: df.select("query_block", "pivot", "low", "high", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    queries = block(_blocks(asked, QUERIES, "query_block"))
-    near = queries.withColumnsRenamed({"low": "q_low", "high": "q_high"}).join(annuli, "pivot").where("low <= q_high and high >= q_low")
+    annuli = _blocks(keyed, ANNULUS, "annulus").drop("classes", "floors")
+    asked = keyed.join(asking.select("class").distinct(), "class", "left_semi")
+    queries = _blocks(asked, QUERIES, "query_block").drop("ids").withColumnsRenamed({"classes": "q_classes", "vectors": "q_vectors"})
+
+    # Blocks meet by pivot on their borders alone.
+    borders = annuli.select("annulus", "pivot", "low", "high")
+    near = queries.select("query_block", "pivot", F.col("low").alias("q_low"), F.col("high").alias("q_high"))
+    near = near.join(borders, "pivot").where("low <= q_high and high >= q_low").select("query_block", "annulus")
     bounds = (
-        near.select("q_ids", "q_vectors", "ids", "vectors")
-        .mapInArrow(_first_bounds(k, dim), "vec_id long, bound double")
-        .groupBy("vec_id")
+        near.join(queries.select("query_block", "q_classes", "q_vectors"), "query_block")
+        .join(annuli.select("annulus", "ids", "vectors"), "annulus")
+        .select("q_classes", "q_vectors", "ids", "vectors")
+        .mapInArrow(_first_bounds(one_more, dim), "class long, bound double")
+        .groupBy("class")
         .agg(F.max("bound").alias("bound"))
     )
-    rows = queries.select("query_block", F.posexplode(F.arrays_zip("q_ids", "q_vectors")).alias("at", "q"))
-    rows = rows.join(bounds, F.col("q.q_ids") == F.col("vec_id"), "left")
+    rows = queries.select("query_block", F.posexplode(F.arrays_zip("q_classes", "q_vectors", "floors")).alias("at", "q"))
+    rows = rows.join(bounds, F.col("q.q_classes") == F.col("class"), "left")
     bounded = rows.groupBy("query_block").agg(
-        F.sort_array(F.collect_list(F.struct("at", F.coalesce("bound", F.lit(float("-inf"))).alias("bound"), "q"))).alias("rows")
+        F.sort_array(F.collect_list(F.struct("at", F.greatest("bound", "q.floors").alias("bound"), "q"))).alias("rows")
     )
     bounded = materialize(
         bounded.select(
             "query_block",
-            F.col("rows.q.q_ids").alias("q_ids"),
+            F.col("rows.q.q_classes").alias("q_classes"),
             F.col("rows.q.q_vectors").alias("q_vectors"),
             F.col("rows.bound").alias("bounds"),
         ),
         "bounded",
     )
     reach = bounded.mapInArrow(_reaches(pivots, dim), "query_block long, pivot int, least double, most double")
-    pairs = (
-        reach.join(annuli.select("annulus", "pivot", "low", "high"), "pivot")
-        .where("low <= most and high >= least")
-        .select("query_block", "annulus")
-    )
+    pairs = reach.join(borders, "pivot").where("low <= most and high >= least").select("query_block", "annulus")
     found = (
         pairs.join(bounded, "query_block")
         .join(annuli, "annulus")
-        .select("q_ids", "q_vectors", "bounds", "pivot", "low", "high", "ids", "vectors")
-        .mapInArrow(_results(k, pivots, dim), "query_id long, vec_id long, score long")
-        .groupBy("query_id", "vec_id")
+        .select("q_classes", "q_vectors", "bounds", "pivot", "low", "high", "ids", "vectors")
+        .mapInArrow(_results(one_more, pivots, dim), "class long, vec_id long, score long")
+        .groupBy("class", "vec_id")
         .agg(F.max("score").alias("score"))
     )
+    first = F.row_number().over(W.partitionBy("class").orderBy(F.desc("score"), "vec_id"))
+    found = materialize(found.withColumn("rank", first).where(F.col("rank") <= one_more).drop("rank"), "class_results")
+    scored = asking.join(found, "class").where("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
     )
