@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from conceptree.functions.tables import union_all
 from conceptree.llm.words import Words, bounded, connected, discard, grams, mix, signed, small_batches, stored
@@ -247,7 +247,7 @@ def _cells(rows: DataFrame) -> DataFrame:
     own = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.struct(block.alias("block"), i.alias("part"), F.lit(True).alias("own")))
     visits = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(i.alias("block"), part.alias("part"), F.lit(False).alias("own")))
     cells = F.explode(F.when(F.col("label") == F.col("largest"), own).otherwise(F.concat(own, visits)))
-    return rows.join(sizes, "key").withColumn("cell", cells).select("key", "cell.block", "cell.part", "cell.own", "member", "label")
+    return rows.join(stored(sizes, "cell_sizes"), "key").withColumn("cell", cells).select("key", "cell.block", "cell.part", "cell.own", "member", "label")
 
 
 def _sorted_cells(cells: DataFrame, *more: str) -> DataFrame:
@@ -273,15 +273,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     classes = stored(
         able.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes"
     )
-    by_key = W.partitionBy("key")
-    buckets = stored(
-        classes.select("rep", "signature")
-        .mapInArrow(_keys, "key long, member long")
-        .withColumn("pivot", F.min("member").over(by_key))
-        .withColumn("n", F.count(F.lit(1)).over(by_key))
-        .where("n > 1"),
-        "buckets",
-    )
+    keys = stored(classes.select("rep", "signature").mapInArrow(_keys, "key long, member long"), "keys")
+    heads = keys.groupBy("key").agg(F.min("member").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # Both sides are stored tables, so the adaptive skew join splits a hot key; heads grow with the documents.
+    buckets = stored(keys.join(stored(heads, "heads").hint("merge"), "key"), "buckets")
+    discard(keys)
     members = buckets.select(F.col("member").alias("doc_id")).distinct()
     texts = stored(rows.join(members, "doc_id").select("doc_id", "text"), "texts")
     signatures = classes.select(F.col("rep").alias("member"), "signature")
