@@ -27,7 +27,7 @@ from conceptree.session import materialize
 
 #: Pivots at least and at most; between them a sixteenth of the square root of the classes.
 PIVOTS, MOST_PIVOTS = 32, 2048
-#: Vectors of an annulus and of a query block.
+#: Ids of an annulus, and vectors of a query block.
 ANNULUS, QUERIES = 2048, 512
 _EXACT = float(1 << 53)
 
@@ -110,7 +110,7 @@ _BLOCK = {
 
 
 def _annuli(size: int):
-    """Cuts rows sorted by pivot and distance into blocks of one pivot."""
+    """Cuts rows sorted by pivot and distance into blocks of one pivot and about ``size`` ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(rows: list[tuple]) -> pa.RecordBatch:
@@ -119,20 +119,23 @@ def _annuli(size: int):
             return pa.record_batch([pa.array([v], t) for v, t in zip(values, _BLOCK.values(), strict=True)], list(_BLOCK))
 
         held: list[tuple] = []
+        n_ids = 0
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in _ROW), strict=True):
-                if held and (row[3] != held[0][3] or len(held) == size):
+                if held and (row[3] != held[0][3] or n_ids >= size):
                     yield done(held)
-                    held = []
+                    held, n_ids = [], 0
                 held.append(row)
+                n_ids += len(row[1])
         if held:
             yield done(held)
 
     return run
 
 
-def _blocks(keyed: DataFrame, size: int, name: str) -> DataFrame:
-    ranged = keyed.repartitionByRange("pivot", "distance", "class").sortWithinPartitions("pivot", "distance", "class")
+def _blocks(keyed: DataFrame, size: int, count: int, name: str) -> DataFrame:
+    # Four full blocks a partition: the session's own number could cut few rows into many small blocks with weak bounds.
+    ranged = keyed.repartitionByRange(count // (4 * size) + 1, "pivot", "distance", "class").sortWithinPartitions("pivot", "distance", "class")
     blocks = ranged.select(*_ROW).mapInArrow(
         _annuli(size),
         "pivot int, low double, high double, classes array<long>, ids array<array<long>>, vectors array<binary>, floors array<double>",
@@ -149,6 +152,13 @@ def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.array([[min(max(sum(a * b for a, b in zip(r, s, strict=True)), -most - 1), most) for s in whole[1]] for r in whole[0]], np.int64)
 
 
+def _by_id(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the columns by id, and where each id starts in it."""
+    order = np.argsort(ids, kind="stable")
+    own = ids[order]
+    return order, np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+
+
 def _first_bounds(k: int, dim: int):
     """The k-th score of each query within one annulus; an id of several classes counts in one of them."""
 
@@ -203,25 +213,26 @@ def _results(k: int, pivots: Pivots, dim: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids = [np.array(own, np.int64) for own in row["ids"]]
+                sizes = np.array([len(own) for own in row["ids"]])
+                ids, owner = np.concatenate(row["ids"]), np.repeat(np.arange(len(sizes)), sizes)
                 asked, bounds = np.array(row["q_classes"], np.int64), np.array(row["bounds"], float)
                 q = _matrix(row["q_vectors"], dim)
                 low, high = _rings(pivots, q, bounds)
                 inside = np.flatnonzero((low[:, row["pivot"]] <= row["high"]) & (high[:, row["pivot"]] >= row["low"]))
-                out: list[list] = [[], [], []]
-                for i, own in zip(inside.tolist(), _scores(q[inside], _matrix(row["vectors"], dim)), strict=True):
-                    at = np.flatnonzero(own >= bounds[i]).tolist()
-                    if at:
-                        found = np.concatenate([ids[c] for c in at])
-                        score = np.repeat(own[at], [len(ids[c]) for c in at])
-                        best = np.lexsort((-score, found))
-                        best = best[np.append(True, found[best][1:] != found[best][:-1])]
-                        best = best[np.lexsort((found[best], -score[best]))[:k]]
-                        out[0].append(np.full(len(best), asked[i]))
-                        out[1].append(found[best])
-                        out[2].append(score[best])
-                if out[0]:
-                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in out], ["class", "vec_id", "score"])
+                s = _scores(q[inside], _matrix(row["vectors"], dim))[:, owner]
+                order, starts = _by_id(ids)
+                if len(starts) < len(ids):
+                    s, ids = np.maximum.reduceat(s[:, order], starts, axis=1), ids[order][starts]
+                good = s >= bounds[inside, None]
+                if len(ids) > k:
+                    good &= s >= np.partition(s, len(ids) - k, axis=1)[:, len(ids) - k, None]
+                for i in np.flatnonzero(good.sum(axis=1) > k).tolist():  # ties for the last place: smaller ids
+                    at = np.flatnonzero(good[i])
+                    good[i, at[np.lexsort((ids[at], -s[i, at]))[k:]]] = False
+                at, found = np.nonzero(good)
+                out = asked[inside[at]], ids[found], s[at, found]
+                if len(at):
+                    yield pa.record_batch([pa.array(c, pa.int64()) for c in out], ["class", "vec_id", "score"])
 
     return run
 
@@ -256,7 +267,8 @@ def exact_top_k(vectors: DataFrame, column: str = "embedding", k: int = 20, ever
     asking = whole.where(F.col("vec_id") % every == 0).select("vec_id", "v").distinct()
     asking = materialize(asking.join(classes.select("v", "class"), "v").select(F.col("vec_id").alias("query_id"), "class"), "asking")
 
-    n = min(MOST_PIVOTS, max(PIVOTS, isqrt(classes.count()) // 16))
+    count = classes.count()
+    n = min(MOST_PIVOTS, max(PIVOTS, isqrt(count) // 16))
     spread = classes.orderBy(F.xxhash64("v"), "class").limit(n).select("v", F.col("ids")[0].alias("id")).collect()
     pivots = Pivots(_matrix([bytes(r["v"]) for r in spread], dim), [r["id"] for r in spread], most)
     keyed = materialize(
@@ -265,9 +277,10 @@ def exact_top_k(vectors: DataFrame, column: str = "embedding", k: int = 20, ever
         ),
         "keyed",
     )
-    annuli = _blocks(keyed, ANNULUS, "annulus").drop("classes", "floors")
-    asked = keyed.join(asking.select("class").distinct(), "class", "left_semi")
-    queries = _blocks(asked, QUERIES, "query_block").drop("ids").withColumnsRenamed({"classes": "q_classes", "vectors": "q_vectors"})
+    annuli = _blocks(keyed, ANNULUS, count, "annulus").drop("classes", "floors")
+    asked = keyed.join(asking.select("class").distinct(), "class", "left_semi").withColumn("ids", F.slice("ids", 1, 1))
+    asked = materialize(asked, "asked")
+    queries = _blocks(asked, QUERIES, asked.count(), "query_block").drop("ids").withColumnsRenamed({"classes": "q_classes", "vectors": "q_vectors"})
 
     # Blocks meet by pivot on their borders alone.
     borders = annuli.select("annulus", "pivot", "low", "high")
