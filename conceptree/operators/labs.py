@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from conceptree import fixed_values as fixed
 from conceptree.functions.bitmaps import people_above, renewed, set_sizes
-from conceptree.functions.tables import flag, restrict, union_all
+from conceptree.functions.tables import flag, restrict
 from conceptree.functions.text import comment, contains_word, drop_first, first_upper, remove_word
 from conceptree.operators.registry import sql_set
 from conceptree.schema import CONCEPT, as_catalog, predicate
@@ -105,10 +105,8 @@ def closure_counts(candidates: DataFrame, people: DataFrame, ancestors: DataFram
         F.countDistinct("person_id").alias("own_count"), F.bool_or("has_number").alias("own_number")
     )
     parents = candidates.where("is_parent").select(F.col("concept_id").alias("ancestor_concept_id")).distinct()
-    links = (
-        ancestors.select("ancestor_concept_id", "descendant_concept_id")
-        .join(parents, "ancestor_concept_id", "left_semi")
-        .distinct()
+    links = ancestors.select("ancestor_concept_id", "descendant_concept_id").join(
+        parents, "ancestor_concept_id", "left_semi"
     )
     sets = people_above(people, "concept_id", "person_id", links, "descendant_concept_id", "ancestor_concept_id")
     below = set_sizes(sets, "ancestor_concept_id", "below_count").withColumnRenamed("ancestor_concept_id", "concept_id")
@@ -127,7 +125,7 @@ def closure_counts(candidates: DataFrame, people: DataFrame, ancestors: DataFram
 
 def parent_sets(people: DataFrame, ancestors: DataFrame) -> DataFrame:
     """(concept_id, bucket, people) of every concept in ``ancestors``, to be stored and renewed."""
-    links = ancestors.select("ancestor_concept_id", "descendant_concept_id").distinct()
+    links = ancestors.select("ancestor_concept_id", "descendant_concept_id")
     sets = people_above(people, "concept_id", "person_id", links, "descendant_concept_id", "ancestor_concept_id")
     return sets.withColumnRenamed("ancestor_concept_id", "concept_id")
 
@@ -139,18 +137,14 @@ def renewed_counts(counts: DataFrame, sets: DataFrame, added: DataFrame, ancesto
     one are counted again, and of those only the buckets that somebody was added to: the count
     grows by what these buckets hold more than before.
     """
-    more = materialize(parent_sets(added, ancestors), "added_sets")
     key = ["concept_id", "bucket"]
-    changed = materialize(renewed(sets, more, "concept_id"), "renewed_sets")
-    before = sets.join(changed.select(*key), key, "left_semi").select(*sets.columns)
-    grown = union_all(
-        changed.select("concept_id", F.bitmap_count("people").alias("n")), before.select("concept_id", (-F.bitmap_count("people")).alias("n"))
-    )
-    grown = grown.groupBy("concept_id").agg(F.sum("n").alias("n"))
+    changed = materialize(renewed(sets, parent_sets(added, ancestors), "concept_id"), "renewed_sets")
+    grown = changed.groupBy("concept_id").agg(F.sum(F.bit_count("people") - F.bit_count("before")).alias("n"))
     after = counts.join(grown, "concept_id", "full").select(
         "concept_id", (F.coalesce("patient_count", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("patient_count")
     )
-    return after, sets.join(changed.select(*key), key, "left_anti").select(*sets.columns).unionByName(changed)
+    kept = sets.join(changed.select(*key), key, "left_anti").select(*sets.columns)
+    return after, kept.unionByName(changed.select(*sets.columns))
 
 
 def single_parent_choice(candidates: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import pytest
 from conftest import got
 
+from conceptree.functions import bitmaps
 from conceptree.functions.bitmaps import people_above, set_sizes
 from conceptree.operators import labs, ontology
 from conceptree.session import materialize
@@ -91,6 +92,23 @@ def test_people_are_shuffled_once(make, spark):
     assert plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
 
 
+def test_small_sets_take_no_more_than_their_people(make):
+    """A set of few people had 4 KB for each of its buckets."""
+    rows = materialize(make("c int, p long", *[(i, i * 64) for i in range(50)]), "rows")
+    links = make("above int, below int", *[(i, i) for i in range(50)], *[(100, i) for i in range(50)])
+    sets = people_above(rows, "c", "p", links, "below", "above")
+    assert sets.schema["people"].dataType.simpleString() == "bigint" and sets.count() == 100
+
+
+def test_keys_below_the_same_meet_their_ancestors_once(make, monkeypatch):
+    """300 tests below the same two: the people are joined to one group, and only its bitmaps to the two."""
+    stored = {}
+    monkeypatch.setattr(bitmaps, "materialize", lambda df, label: stored.setdefault(label, materialize(df, label)))
+    links = make("above int, below int", *[(a, i) for a in (1000, 1001) for i in range(300)])
+    sets = people_above(make("c int, p long", *[(i, i % 7) for i in range(300)]), "c", "p", links, "below", "above")
+    assert got(set_sizes(sets, "above", "n")) == [(1000, 7), (1001, 7)] and stored["groups"].count() == 1
+
+
 def test_counts_renewed(make):
     links = make("ancestor_concept_id int, descendant_concept_id int", (1, 1), (1, 2), (1, 3), (2, 2), (3, 3), (4, 4))
     old = [(2, 1), (2, 2), (3, 2), (4, 9)]
