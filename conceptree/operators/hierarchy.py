@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from conceptree import fixed_values as fixed
-from conceptree.functions.tables import doubled, iterate, union_all, update_from
+from conceptree.functions.tables import doubled, flag, iterate, restrict, union_all, update_from
 from conceptree.session import materialize
 
 
@@ -27,13 +27,17 @@ def hierarchy_levels(
         .where("concept_id_1 <> concept_id_2")
         .select(F.col("concept_id_2").alias("parent"), F.col("concept_id_1").alias("concept_id"))
         .join(members.select("concept_id"), "concept_id", "left_semi")
-        .select("parent", F.col("concept_id").alias("child")),
+        .select("parent", F.col("concept_id").alias("child"))
+        .distinct(),
         "edges",
     )
+    # Only the depths of parents are asked for, so the steps go over links between parents.
+    parents = materialize(edges.select("parent").distinct(), "parents")
+    inner = materialize(restrict(edges, "child", parents, "parent"), "inner_edges")
 
     def below(nodes: DataFrame) -> DataFrame:
         return (
-            nodes.join(edges, nodes["concept_id"] == edges["parent"])
+            nodes.join(inner, nodes["concept_id"] == inner["parent"])
             .select(F.col("child").alias("concept_id"))
             .distinct()
         )
@@ -42,7 +46,7 @@ def hierarchy_levels(
     reached = iterate(root, below, "levels", once=True)
     depths = reached.groupBy("concept_id").agg(F.min("step").alias("step"))
     pairs = (
-        depths.join(edges.distinct(), F.col("concept_id") == F.col("parent"))
+        depths.join(edges, F.col("concept_id") == F.col("parent"))
         .select("parent", "child", (F.col("step") + 2).alias("depth"))
         .unionByName(
             root.select(
@@ -51,6 +55,7 @@ def hierarchy_levels(
         )
     )
     above = members.select(F.col("concept_id").alias("parent"), F.col("concept_name").alias("parent_concept_name"))
+    above = materialize(restrict(above, "parent", parents, "parent"), "parent_names")
     return (
         pairs.join(members, F.col("child") == F.col("concept_id"))
         .join(above, "parent", "left")
@@ -79,17 +84,18 @@ def transitive_closure(levels: DataFrame) -> DataFrame:
 
     Each round doubles the length of the paths that are covered: the pairs of paths of up to n steps
     are continued by those that some path of exactly n steps joins. Such a path is missing once n
-    passes the longest, so a hierarchy of depth d takes about log2(d) rounds. A concept that is its
-    own ancestor is an error that names it.
+    passes the longest, so a hierarchy of depth d takes about log2(d) rounds. The rounds go over the
+    concepts that have something below them; the tips, mostly the greater part, follow in one join. A
+    concept that is its own ancestor is an error that names it.
     """
     one = F.lit(1)
-    pairs = materialize(
+    edges = (
         levels.where("parent_concept_id is not null")
         .select(F.col("parent_concept_id").alias("ancestor"), F.col("concept_id").alias("descendant"))
         .distinct()
-        .select("ancestor", "descendant", one.alias("low"), one.alias("high"), F.lit(True).alias("exact")),
-        "closure",
     )
+    edges = materialize(flag(edges, "descendant", edges, "ancestor", "goes_on"), "links")
+    pairs = edges.where("goes_on").select("ancestor", "descendant", one.alias("low"), one.alias("high"), F.lit(True).alias("exact"))
     n = 1
     while True:
         loop = F.max(F.when(F.col("ancestor") == F.col("descendant"), F.col("ancestor")))
@@ -109,7 +115,20 @@ def transitive_closure(levels: DataFrame) -> DataFrame:
             "closure",
         )
         n *= 2
-    return pairs.select(
+    pairs = pairs.select("ancestor", "descendant", "low", "high")
+    # A tip is below its parents and all that is above them.
+    last = edges.where("not goes_on")
+    over = pairs.select("ancestor", F.col("descendant").alias("middle"), "low", "high")
+    tips = last.select(F.col("ancestor").alias("middle"), "descendant").join(over, "middle").select(
+        "ancestor", "descendant", (F.col("low") + 1).alias("low"), (F.col("high") + 1).alias("high")
+    )
+    tips = (
+        last.select("ancestor", "descendant", one.alias("low"), one.alias("high"))
+        .unionByName(tips)
+        .groupBy("ancestor", "descendant")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    )
+    return pairs.unionByName(tips).select(
         F.col("ancestor").alias(_PAIR[0]), F.col("descendant").alias(_PAIR[1]), F.col("low").alias(_LEVELS[0]), F.col("high").alias(_LEVELS[1])
     )
 
@@ -141,24 +160,30 @@ def closure_delta(closure: DataFrame, added: DataFrame) -> DataFrame:
         .distinct(),
         "added",
     )
-    self = lambda column: edges.select(F.col(column).alias("a"), F.col(column).alias("d"), F.lit(0).alias("low"), F.lit(0).alias("high")).distinct()
-    above = materialize(known.join(edges.select(F.col("a").alias("d")), "d", "left_semi").select(*edges.columns).unionByName(self("a")), "above")
-    below = materialize(known.join(edges.select(F.col("d").alias("a")), "a", "left_semi").select(*edges.columns).unionByName(self("d")), "below")
-    between = below.join(edges.select(F.col("a").alias("d")), "d", "left_semi").select(*edges.columns)
+    # Pairs of a node with itself are left out: they would be as many as the added edges.
+    tops = materialize(edges.select("a").distinct(), "added_tops")
+    inside = known.select("a").distinct().join(edges.select(F.col("d").alias("a")).distinct().hint("merge"), "a", "left_semi")
+    inside = materialize(inside, "added_ends")
+    above = materialize(known.join(tops.select(F.col("a").alias("d")), "d", "left_semi").select(*edges.columns), "above")
+    below = materialize(known.join(inside, "a", "left_semi").select(*edges.columns), "below")
+    between = materialize(below.join(tops.select(F.col("a").alias("d")), "d", "left_semi").select(*edges.columns), "between")
     self_loop = F.max(F.when(F.col("a") == F.col("d"), F.col("a")))
     paths, seen = edges, None
     while True:
-        to_next = _followed(paths, between)
+        at_top = paths.join(tops.select(F.col("a").alias("d")), "d", "left_semi").select(*edges.columns)
+        to_next = materialize(_ways(at_top.unionByName(_followed(paths, between))), "to_next")
         _no_cycle(union_all(paths, to_next).agg(self_loop).first()[0], "added edges")
         size = paths.agg(F.count(F.lit(1)), F.sum("low"), F.sum("high")).first()
         if size == seen:
             break
         seen = size
         paths = materialize(_ways(paths.unionByName(_followed(to_next, paths))), "added_paths")
-    found = materialize(_ways(_followed(_followed(above, paths), below)), "delta")
+    reaching = materialize(paths.unionByName(_followed(above, paths)), "reaching")
+    found = materialize(_ways(reaching.unionByName(_followed(reaching, below))), "delta")
     _no_cycle(found.agg(self_loop).first()[0], "added edges")
     old = known.select("a", "d", F.col("low").alias("low0"), F.col("high").alias("high0"))
-    changed = found.join(old, ["a", "d"], "left").where("low0 is null or low < low0 or high > high0")
+    # Both grow with the closure: not to be collected for a broadcast, however well they are packed.
+    changed = found.join(old.hint("merge"), ["a", "d"], "left").where("low0 is null or low < low0 or high > high0")
     return changed.select(
         F.col("a").alias(_PAIR[0]), F.col("d").alias(_PAIR[1]), F.least("low", "low0").alias(_LEVELS[0]), F.greatest("high", "high0").alias(_LEVELS[1])
     )
@@ -167,7 +192,7 @@ def closure_delta(closure: DataFrame, added: DataFrame) -> DataFrame:
 def extended_closure(closure: DataFrame, added: DataFrame) -> DataFrame:
     """The closure after edges were added; rows that these don't change are kept as they are."""
     delta = materialize(closure_delta(closure, added), "closure_delta")
-    return closure.join(delta.select(*_PAIR), _PAIR, "left_anti").select(*delta.columns).unionByName(delta)
+    return closure.join(delta.select(*_PAIR).hint("merge"), _PAIR, "left_anti").select(*delta.columns).unionByName(delta)
 
 
 def backfill_ancestors(concept_ancestor: DataFrame, closure: DataFrame) -> DataFrame:
@@ -176,7 +201,7 @@ def backfill_ancestors(concept_ancestor: DataFrame, closure: DataFrame) -> DataF
     Only the missing pairs are stored; the ancestor table itself is not copied.
     """
     pair = ["ancestor_concept_id", "descendant_concept_id"]
-    missing = closure.join(concept_ancestor.select(*pair), pair, "left_anti").select(*closure.columns)
+    missing = closure.join(concept_ancestor.select(*pair).hint("merge"), pair, "left_anti").select(*closure.columns)
     return concept_ancestor.unionByName(materialize(missing, "missing"))
 
 
@@ -216,14 +241,16 @@ def parent_link(catalog: DataFrame, relink: DataFrame | None = None) -> DataFram
 
 def root_assign(catalog: DataFrame) -> DataFrame:
     """Set ``root_id`` from the root above each concept, only where it is null."""
-    links = materialize(
-        catalog.where("parent_id is not null").select(F.col("id").alias("child"), F.col("parent_id").alias("parent")),
-        "links",
-    )
+    links = catalog.where("parent_id is not null").select(F.col("id").alias("child"), F.col("parent_id").alias("parent"))
+    links = materialize(flag(links, "child", links, "parent", "goes_on"), "links")
+    # The steps go over concepts that have something below them; the tips follow in one join.
+    inner = materialize(links.where("goes_on").select("child", "parent"), "inner_links")
 
     def below(nodes: DataFrame) -> DataFrame:
-        return nodes.join(links, nodes["node"] == links["parent"]).select("root", F.col("child").alias("node"))
+        return nodes.join(inner, nodes["node"] == inner["parent"]).select("root", F.col("child").alias("node"))
 
     roots = catalog.where("is_root").select(F.col("id").alias("root"), F.col("id").alias("node"))
-    reached = iterate(roots, below, "roots", once=True)
+    reached = iterate(roots, below, "roots", once=True).select("root", "node")
+    tips = links.where("not goes_on").join(reached.withColumnRenamed("node", "parent"), "parent")
+    reached = reached.unionByName(tips.select("root", F.col("child").alias("node")))
     return update_from(catalog, "id", reached, "node", "root", "root_id", F.col("root_id").isNull())

@@ -45,7 +45,7 @@ class LabBuild:
 
     @cached_property
     def closure(self) -> DataFrame:
-        return transitive_closure(self.levels)
+        return materialize(transitive_closure(self.levels), "closure")
 
     @cached_property
     def ancestors(self) -> DataFrame:

@@ -163,3 +163,22 @@ def test_an_added_edge_that_closes_a_cycle(make):
     stored = materialize(transitive_closure(make(LEVELS, (1, 2), (2, 3))), "stored")
     with pytest.raises(ValueError, match="cycle"):
         closure_delta(stored, make(LEVELS, (3, 1)))
+
+
+def test_rounds_leave_the_tips_out(make, monkeypatch):
+    """Tips, mostly the greater part of a hierarchy, are joined once and not in every round."""
+    sizes = []
+    monkeypatch.setattr(hierarchy, "materialize", lambda df, label: sizes.append((label, (out := materialize(df, label)).count())) or out)
+    edges = [(i, i + 1) for i in range(1, 5)] + [(5, 100 + i) for i in range(200)] + [(2, 100)]
+    pairs = closure(make, *edges)
+    assert (1, 101, 5, 5) in pairs and (1, 100, 2, 5) in pairs and (5, 100, 1, 1) in pairs and len(pairs) == 10 + 5 * 200
+    assert max(n for label, n in sizes if label == "closure") == 10
+
+
+def test_added_tips_are_not_collected(spark, make):
+    """The old closure grows with the hierarchy: it is not sent around whole, even where its file is small."""
+    old = materialize(make("ancestor_concept_id int, descendant_concept_id int, min_levels_of_separation int, max_levels_of_separation int", (1, 2, 1, 1)), "old")
+    added = make("parent_concept_id int, concept_id int", *[(2, 10 + i) for i in range(20)])
+    extended = hierarchy.extended_closure(old, added)
+    assert extended.count() == 1 + 2 * 20
+    assert "BroadcastHashJoin" not in extended._jdf.queryExecution().executedPlan().toString()
