@@ -30,13 +30,38 @@ def match_ranges(codes: DataFrame, ranges: DataFrame) -> DataFrame:
         lambda: materialize(ranges.select("lo", "hi").where("lo <= hi").distinct(), "ranges"),
     )
 
-    texts = codes.union(ranges.select("lo")).union(ranges.select("hi")).distinct()
+    # A range of one code needs no order.
+    equal = ranges.where("lo = hi").join(codes, F.col("lo") == F.col("code")).select("lo", "hi", "code")
+    wide = ranges.where("lo < hi")
+    if wide.isEmpty():
+        return equal
+    texts = codes.union(wide.select("lo")).union(wide.select("hi")).distinct()
     places = number_rows(texts, ["code"], "at", start=0)
 
     first = places.select(F.col("code").alias("lo"), F.col("at").alias("a"))
     last = places.select(F.col("code").alias("hi"), (F.col("at") + 1).alias("b"))
-    spans = ranges.join(first, "lo").join(last, "hi")
-    return match_places(codes.join(places, "code"), spans).select("lo", "hi", "code")
+    spans = wide.join(first, "lo").join(last, "hi")
+    return equal.unionByName(match_places(codes.join(places, "code"), spans).select("lo", "hi", "code"))
+
+
+def code_groups(codes: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Distinct (code, first): the codes of one ``first``, the smallest of them, lie in the very same ranges.
+
+    The ends of the ranges cut the sorted codes into stretches, at most twice as many as there are ranges;
+    codes before the first and after the last end lie in none and are left out.
+    """
+    codes = materialize(codes.select("code").where(F.col("code").isNotNull()).distinct(), "codes")
+    ranges = materialize(ranges.select("lo", "hi").where("lo <= hi").distinct(), "ranges")
+    texts = codes.union(ranges.select("lo")).union(ranges.select("hi")).distinct()
+    places = number_rows(texts, ["code"], "at", start=0)
+    starts = ranges.join(places, F.col("lo") == F.col("code")).select("at")
+    after = ranges.join(places, F.col("hi") == F.col("code")).select((F.col("at") + 1).alias("at"))
+    borders = number_rows(starts.union(after).distinct(), ["at"], "stretch")
+    ends = borders.select(F.col("at").alias("b"), (F.col("stretch") - 1).alias("stretch"))
+    spans = materialize(borders.withColumnRenamed("at", "a").join(ends, "stretch"), "stretches")
+    held = materialize(match_places(codes.join(places, "code"), spans).select("code", "stretch"), "held")
+    firsts = materialize(held.groupBy("stretch").agg(F.min("code").alias("first")), "firsts")
+    return held.join(firsts, "stretch").select("code", "first")
 
 
 def match_places(points: DataFrame, spans: DataFrame) -> DataFrame:
@@ -66,4 +91,6 @@ def match_places(points: DataFrame, spans: DataFrame) -> DataFrame:
         .withColumn("block", F.explode(F.when(level < _TOP, odd_ends).otherwise(rest)))
         .drop("f", "t")
     )
+    # Stored, so that Spark sees when the blocks are few, and the many copies of the points stay in place.
+    blocks = materialize(blocks, "blocks")
     return blocks.join(points, ["level", "block"]).drop("level", "block")

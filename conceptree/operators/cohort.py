@@ -13,8 +13,9 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
+from conceptree.functions.bitmaps import people_above, set_sizes
 from conceptree.functions.numbering import number_rows
-from conceptree.functions.ranges import match_ranges
+from conceptree.functions.ranges import code_groups, match_ranges
 from conceptree.functions.tables import union_all
 from conceptree.functions.text import age_in_years
 from conceptree.session import at_once, materialize
@@ -172,15 +173,35 @@ def _people_counts(tests: DataFrame, people: DataFrame, value: str | None, ances
     several = tests.where("kind <> 'eq'")
     if several.isEmpty():
         return counts
-    admitted = materialize(admitted_codes(several, lambda: people.select("code"), ancestors), "admitted")
-    reached = (
-        people.join(admitted.select("test_id", *on), on)
-        .select("test_id", "person")
-        .distinct()
-        .groupBy("test_id")
-        .agg(F.count(F.lit(1)).alias("patient_count"))
-    )
-    return counts.unionByName(reached)
+    people = _numbered(people)
+    ranges, lists = several.where("kind = 'between'"), several.where("kind <> 'between'")
+    if not ranges.isEmpty():
+        # The codes that lie in the same ranges count as one.
+        groups = materialize(code_groups(people.select("code"), ranges), "code_groups")
+        grouped = people.join(groups, "code").drop("code").withColumnRenamed("first", "code")
+        firsts = groups.select(F.col("first").alias("code"))
+        counts = counts.unionByName(_reached(grouped, admitted_codes(ranges, lambda: firsts), on))
+    if not lists.isEmpty():
+        counts = counts.unionByName(_reached(people, admitted_codes(lists, lambda: people.select("code"), ancestors), on))
+    return counts
+
+
+def _numbered(people: DataFrame) -> DataFrame:
+    """``people`` with whole numbers for persons, as bitmaps need them."""
+    if people.schema["person"].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint"):
+        return people
+    numbers = number_rows(people.select("person").distinct(), ["person"], "_number")
+    others = [c for c in people.columns if c != "person"]
+    return materialize(people.join(numbers, "person").select(*others, F.col("_number").alias("person")), "people")
+
+
+def _reached(people: DataFrame, admitted: DataFrame, on: list[str]) -> DataFrame:
+    """(test_id, patient_count): distinct people of the codes that each test admits."""
+    key = F.struct(*on) if len(on) > 1 else F.col(on[0])
+    known = " and ".join(f"{c} is not null" for c in on)
+    links = materialize(admitted.where(known).select(key.alias("key"), "test_id"), "admitted")
+    rows = people.where(known).select(key.alias("key"), "person")
+    return set_sizes(people_above(rows, "key", "person", links, "key", "test_id"), "test_id", "patient_count")
 
 
 def numeric_concept_values(

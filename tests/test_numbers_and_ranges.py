@@ -4,7 +4,7 @@ from conftest import got
 from pyspark.sql import functions as F
 
 from conceptree.functions.numbering import number_rows, number_within
-from conceptree.functions.ranges import match_ranges
+from conceptree.functions.ranges import code_groups, match_ranges
 from conceptree.operators.cohort import range_join_codes
 from conceptree.operators.ontology import dedupe_suffix
 
@@ -64,3 +64,13 @@ def test_diagnoses_in_ranges(make):
 def test_suffixes_avoid_names_that_exist(make):
     rows = make("k string, a int", ("x", 1), ("x", 2), ("x_2", 3))
     assert got(dedupe_suffix(rows, "k", ["a"])) == [("x", 1), ("x_2", 3), ("x__2", 2)]
+
+
+def test_codes_of_the_same_ranges_are_one_group(make):
+    rng = random.Random(5)
+    codes = sorted({f"{rng.randrange(3000):04d}" for _ in range(400)})
+    ranges = [tuple(sorted((f"{rng.randrange(3000):04d}", f"{rng.randrange(3000):04d}"))) for _ in range(12)] + [(codes[7], codes[7])]
+    found = dict(got(code_groups(make("code string", *codes, None), make("lo string, hi string", *ranges)), "code", "first"))
+    held = lambda code: frozenset(r for r in ranges if r[0] <= code <= r[1])
+    assert {c for c in codes if held(c)} <= set(found) and len(set(found.values())) <= 2 * len(ranges)
+    assert all(held(c) == held(first) and first <= c for c, first in found.items())

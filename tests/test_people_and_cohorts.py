@@ -4,6 +4,7 @@ import pytest
 from conftest import got
 from pyspark.sql import functions as F
 
+from conceptree.session import materialize
 from conceptree.operators import cohort, extracts, people
 from conceptree.operators.registry import dataset_registry, fixed_catalog
 from conceptree.schema import as_catalog, predicate
@@ -178,3 +179,13 @@ def test_a_hot_code_and_a_hot_person(spark, make):
 def test_parquet_tables(spark, make, tmp_path):
     make("a int", 1).write.parquet(f"{tmp_path}/person.parquet")
     assert ParquetTables(spark, str(tmp_path))["person"].count() == 1
+
+
+def test_ranges_meet_groups_of_codes(make, monkeypatch):
+    """Six hundred codes in the same three ranges are admitted as one; persons may be named by texts."""
+    sizes = {}
+    monkeypatch.setattr(cohort, "materialize", lambda df, label: sizes.setdefault(label, (out := materialize(df, label)).count()) and out or out)
+    facts = make("person_id string, code string", *[(f"p{i % 9}", f"C{i:03d}") for i in range(600)], ("q", "D"), (None, "C001"))
+    rows = concepts(make, *[(f"r{i}", "between", "code", f"{c}", "C9", None, None, None) for i, c in enumerate("ABC")])
+    assert dict(got(cohort.cohort_counts(rows, {"d": cohort.Dataset(facts)}))) == {"r0": 9, "r1": 9, "r2": 9}
+    assert sizes["admitted"] == 3
