@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from conceptree.functions.numbering import number_rows
 from conceptree.functions.ranges import match_places
-from conceptree.functions.tables import doubled, union_all
+from conceptree.functions.tables import doubled, flag, union_all
 from conceptree.session import materialize
 
 _AFTER = (1 << 63) - 1  # sorts after whatever lies below
@@ -48,19 +48,27 @@ def root_paths(edges: DataFrame) -> DataFrame:
     is known, so a hierarchy of depth d takes about log2(d) rounds. A cycle is an error that names a node of it.
     """
     nodes = edges.select(F.explode(F.array("above", "below")).alias("node")).where("node is not null").distinct()
-    parents = edges.where("above is not null and below is not null").groupBy(F.col("below").alias("node")).agg(F.min("above").alias("top"))
-    rows = materialize(nodes.join(parents, "node", "left").withColumn("path", F.array("node")), "root_paths")
+    links = edges.where("above is not null and below is not null")
+    parents = links.groupBy(F.col("below").alias("node")).agg(F.min("above").alias("top"))
+    placed = materialize(flag(nodes.join(parents, "node", "left"), "node", links, "above", "goes_on"), "root_paths")
+    # The rounds go over nodes that have something below them; the tips, mostly the greater part, follow in one join.
+    rows = placed.where("goes_on").select("node", "top", F.array("node").alias("path"))
     while True:
         loop = F.max(F.when(F.array_contains("path", F.col("top")), F.col("top")))
         at, more = rows.where("top is not null").agg(loop, F.count(F.lit(1))).first()
         if at is not None:
             raise ValueError(f"labels: the hierarchy has a cycle through {at}")
         if not more:
-            return rows.select("node", "path")
+            break
         up = rows.select(F.col("node").alias("top"), F.col("top").alias("next"), F.col("path").alias("before"))
         longer = rows.where("top is not null").join(up, "top")
         longer = longer.select("node", F.col("next").alias("top"), F.concat("before", "path").alias("path"))
         rows = materialize(rows.where("top is null").unionByName(longer), "root_paths")
+    rows = rows.select("node", "path")
+    tips, above = placed.where("not goes_on"), rows.select(F.col("node").alias("top"), "path")
+    hung = tips.join(above, "top").select("node", F.concat("path", F.array("node")).alias("path"))
+    alone = tips.where("top is null").select("node", F.array("node").alias("path"))
+    return union_all(rows, hung, alone)
 
 
 def interval_labels(edges: DataFrame) -> IntervalLabels:
@@ -69,7 +77,7 @@ def interval_labels(edges: DataFrame) -> IntervalLabels:
     Rows grow with the nodes and with what is reached over second parents, not with the depth.
     """
     edges = materialize(edges.select(F.col("above").cast("long"), F.col("below").cast("long")).distinct(), "edges")
-    paths = root_paths(edges)
+    paths = materialize(root_paths(edges), "paths")
     entered = paths.select("node", "path", F.lit(True).alias("enters"))
     left = paths.select("node", F.concat("path", F.array(F.lit(_AFTER))).alias("path"), F.lit(False).alias("enters"))
     tour = materialize(number_rows(entered.unionByName(left), ["path"], "at", start=0), "tour")
