@@ -45,7 +45,7 @@ def people_above(rows: DataFrame, key: str, person: str, links: DataFrame, below
     lists = materialize(
         links.where(F.col(below).isNotNull())
         .groupBy(F.col(below).alias(key))
-        .agg(F.sort_array(F.collect_set(F.when(~itself, F.col(above)))).alias("list"), F.bool_or(itself).alias("itself")),
+        .agg(F.sort_array(F.collect_set(F.when(~itself, F.struct(F.col(above).alias("above"))))).alias("list"), F.bool_or(itself).alias("itself")),
         "lists",
     )
     groups = materialize(
@@ -68,8 +68,8 @@ def people_above(rows: DataFrame, key: str, person: str, links: DataFrame, below
     )
     own = F.col("own") if kinds[0] == kinds[1] else F.lit(None).cast(kinds[1])
     return (
-        sets.join(groups.select("group", F.explode("list").alias("_above")), "group", "left")
-        .select(F.coalesce("_above", own).alias(above), "bucket", "people")
+        sets.join(groups.select("group", F.explode("list").alias("_to")), "group", "left")
+        .select(F.coalesce("_to.above", own).alias(above), "bucket", "people")
         .groupBy(above, "bucket")
         .agg(F.bit_or("people").alias("people"))
     )

@@ -109,6 +109,12 @@ def test_keys_below_the_same_meet_their_ancestors_once(make, monkeypatch):
     assert got(set_sizes(sets, "above", "n")) == [(1000, 7), (1001, 7)] and stored["groups"].count() == 1
 
 
+def test_a_link_to_nothing_keeps_its_set(make):
+    links = make("above int, below int", (None, 1), (1, 1), (2, 1), (None, 2))
+    sets = people_above(make("c int, p long", (1, 5), (2, 6), (2, 5)), "c", "p", links, "below", "above")
+    assert got(set_sizes(sets, "above", "n")) == [(1, 1), (2, 1), (None, 2)]
+
+
 def test_counts_renewed(make):
     links = make("ancestor_concept_id int, descendant_concept_id int", (1, 1), (1, 2), (1, 3), (2, 2), (3, 3), (4, 4))
     old = [(2, 1), (2, 2), (3, 2), (4, 9)]
