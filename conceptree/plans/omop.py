@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from conceptree import fixed_values as fixed
 from conceptree.functions.numbering import number_rows
@@ -23,12 +23,20 @@ from conceptree.session import at_once, materialize
 
 
 def with_links(new: DataFrame, order: list[str], existing: DataFrame | None = None) -> DataFrame:
-    """``existing`` plus ``new``: ids for the new rows in the order of ``order``, then parents and roots."""
+    """``existing`` plus ``new``: ids for the new rows in the order of ``order``, then parents and roots.
+
+    Parents and roots are found on the few columns that name them and meet the whole rows once. A row is
+    known by its new id, or by its place in a copy of ``existing``, whose ids may repeat.
+    """
     last = existing.agg({"id": "max"}).first()[0] if existing is not None else None
-    rows = conform(number_rows(new.drop("id"), order, start=(last or 0) + 1), CONCEPT)
+    numbered = conform(number_rows(new.drop("id"), order, start=(last or 0) + 1), CONCEPT)
+    rows = numbered.select("*", F.lit(True).alias("_new"), F.col("id").alias("_row"))
     if existing is not None:
-        rows = existing.unionByName(rows)
-    return root_assign(materialize(parent_link(materialize(rows, "catalog")), "linked"))
+        placed = existing.select("*", F.lit(False).alias("_new"), F.monotonically_increasing_id().alias("_row"))
+        rows = materialize(placed, "existing").unionByName(rows)
+    links = rows.select("_new", "_row", "id", "parent_id", "root_id", "external_id", "external_parent_id", "is_root")
+    found = root_assign(materialize(parent_link(links), "linked")).select("_new", "_row", "parent_id", "root_id")
+    return rows.drop("parent_id", "root_id").join(found, ["_new", "_row"]).select(*CONCEPT.names)
 
 
 class LabBuild:

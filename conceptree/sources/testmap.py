@@ -128,9 +128,12 @@ class TestTables:
         part = self._part_codes().select("p_partkey", "tid", "bn", "combo", "concept_id")
         even = F.col("l_partkey") % 2 == 0
         value = _lookup(F.col("l_returnflag"), {f: v for f, (v, _) in VALUES.items()})
+        # Parts first: a filter on the concept leaves few lines to look up orders for.
         return (
-            self._sales("l_quantity", "l_returnflag")
+            self.raw("lineitem")
+            .select("l_orderkey", "l_partkey", "l_shipdate", "l_quantity", "l_returnflag")
             .join(part, F.col("l_partkey") == F.col("p_partkey"))
+            .join(self.raw("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
             .select(
                 F.col("o_custkey").alias("person_id"),
                 F.when((F.col("tid") == 105) & (F.col("bn") == 1), F.col("combo"))
