@@ -204,17 +204,20 @@ def lab_name_cleanup(candidates: DataFrame) -> DataFrame:
 def value_concepts(candidates: DataFrame, people: DataFrame, concept: DataFrame) -> DataFrame:
     """The catalog rows plus one per tip and coded result, with its distinct patients.
 
-    The facts are counted by (test, result) first; only those counts meet the names. What
-    is found is stored, so that the facts are read once for the rows and the parent flags.
+    The facts are counted by (test, result) first, and the counts meet the names of the results that
+    occur before they meet the rows: results are few, and whole rows would gather in one task for each.
+    What is found is stored, so that the facts are read once for the rows and the parent flags.
     """
-    counts = (
+    counts = materialize(
         people.where("value_id is not null")
         .groupBy("concept_id", "value_id")
-        .agg(F.count("person_id").alias("patients"))
+        .agg(F.count("person_id").alias("patients")),
+        "result_counts",
     )
     names = concept.select(F.col("concept_id").alias("value_id"), F.col("concept_name").alias("value_name"))
+    names = materialize(restrict(names, "value_id", counts.select("value_id").distinct(), "value_id"), "result_names")
     tips = candidates.where("not is_parent")
-    found = materialize(tips.join(counts, "concept_id").join(names, "value_id"), "results")
+    found = materialize(tips.join(counts.join(names, "value_id"), "concept_id"), "results")
 
     value = F.col("value_id").cast("string")
     p = F.col("predicate")

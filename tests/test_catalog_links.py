@@ -2,7 +2,10 @@
 
 import pytest
 from conftest import got
+from pyspark.sql import functions as F
 
+from conceptree.operators import labs
+from conceptree.operators.registry import dataset_registry
 from conceptree.plans import omop
 from conceptree.schema import CONCEPT, conform
 from conceptree.session import materialize
@@ -21,7 +24,7 @@ def stored(monkeypatch):
         seen[label] = materialize(df, label)
         return seen[label]
 
-    for module in (omop, queries):
+    for module in (omop, labs, queries):
         monkeypatch.setattr(module, "materialize", keep)
     return seen
 
@@ -58,3 +61,18 @@ def test_roots_are_stored_apart(make, stored):
     shown = queries.linked(rows)
     assert stored["roots"].count() == 1
     assert got(shown.where("id > 7"), "id", "parent", "root") == [(8, "a", "a"), (9, None, None)]
+
+
+def test_only_names_of_found_results_meet_the_rows(spark, make, stored):
+    levels = make("parent_concept_id int, concept_id int, concept_name string", (None, 1, "a"), (1, 2, "b"), (1, 3, "c"))
+    people = make(
+        "concept_id int, value_id int, person_id long, has_number boolean",
+        (2, 7, 1, False), (2, 7, 2, False), (3, 8, 1, False), (3, 9, 1, False), (3, None, 1, False),
+    )
+    names = make("concept_id int, concept_name string", (7, "x"), (7, "y"), (8, "z"), (10, "no"), (None, "null"))
+    rows = labs.value_concepts(labs.lab_candidates(levels, dataset_registry(spark, "omop")), people, names)
+    found = rows.where(F.col("external_id").rlike(":.*:"))
+    assert got(found, "external_id", "ui_display_name", "ui_display_patient_count") == [
+        ("lab:2:7", "x", 2), ("lab:2:7", "y", 2), ("lab:3:8", "z", 1),
+    ]
+    assert got(stored["result_names"], "value_id", "value_name") == [(7, "x"), (7, "y"), (8, "z")]
